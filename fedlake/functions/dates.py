@@ -26,8 +26,12 @@ _DIRECTIVES = {
 }
 
 
-def strptime_to_java(fmt: str) -> str:
-    """Translate a strptime format into a Java DateTimeFormatter pattern."""
+def strptime_to_java(fmt: str, for_output: bool = False) -> str:
+    """Translate a strptime format into a Java DateTimeFormatter pattern.
+
+    Parsing uses variable-width fields where a separator follows (strptime
+    takes ``1/3/2024``); output always uses strftime's fixed widths.
+    """
     tokens: list[tuple[str, str]] = []  # (kind, value): kind in {"d", "lit"}
     i = 0
     while i < len(fmt):
@@ -49,7 +53,8 @@ def strptime_to_java(fmt: str) -> str:
         if kind == "lit":
             out.append(val if not val.isalpha() and val != "'" else ("''" if val == "'" else f"'{val}'"))
             continue
-        touches = (k > 0 and tokens[k - 1][0] == "d") or (k + 1 < len(tokens) and tokens[k + 1][0] == "d")
+        touches = for_output or (k > 0 and tokens[k - 1][0] == "d") or (
+            k + 1 < len(tokens) and tokens[k + 1][0] == "d")
         out.append(_DIRECTIVES[val][1 if touches else 0])
     return "".join(out)
 
@@ -73,7 +78,7 @@ def date_parse_multi(c, formats=("%Y-%m-%d",), strip_time: bool = True) -> Colum
 def date_shift_format(c, days: int = 0, in_formats=("%Y-%m-%d",), out_format: str = "%Y-%m-%d") -> Column:
     """F32: parse, add ``days``, format."""
     d = date_parse_multi(c, in_formats)
-    return F.date_format(F.date_add(d, days), strptime_to_java(out_format))
+    return F.date_format(F.date_add(d, days), strptime_to_java(out_format, for_output=True))
 
 
 def date_not_future(c, as_of) -> Column:
