@@ -75,7 +75,7 @@ class Rule:
 
 
 def _is_blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c.cast("string")) == "")
+    return c.isNull() | c.cast("string").rlike(r"^\s*$")
 
 
 def rule_ok(df_types: dict, r: Rule) -> Column:

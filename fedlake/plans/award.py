@@ -90,24 +90,87 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "usaspending_permalink": NarrowCol(lambda: F.concat(F.lit("/award/"), _c("l_orderkey").cast("string")),
                                            "'/award/' || CAST(l.l_orderkey AS VARCHAR)"),
         "last_modified_date": NarrowCol(lambda: _c("l_shipdate"), "l.l_shipdate"),
+        # wider transaction columns used by the entity mappings
+        "contract_award_unique_key": NarrowCol(lambda: F.concat(F.lit("CONT_AWD_"), _c("l_orderkey").cast("string")),
+                                               "'CONT_AWD_' || CAST(l.l_orderkey AS VARCHAR)"),
+        "parent_award_id_piid": NarrowCol(lambda: F.floor(_c("l_orderkey") / 8) * 8,
+                                          "CAST(floor(l.l_orderkey / 8) * 8 AS BIGINT)"),
+        "awarding_agency_code": NarrowCol(lambda: F.lpad(_c("sn_region").cast("string"), 3, "0"),
+                                          "lpad(CAST(sn.n_regionkey AS VARCHAR), 3, '0')", ("supplier", "snation")),
+        "awarding_agency_name": NarrowCol(lambda: _c("sr_name"), "sr.r_name", ("supplier", "snation", "sregion")),
+        "funding_agency_code": NarrowCol(lambda: F.lpad(_c("cn_region").cast("string"), 3, "0"),
+                                         "lpad(CAST(cn.n_regionkey AS VARCHAR), 3, '0')",
+                                         ("orders", "customer", "cnation")),
+        "funding_agency_name": NarrowCol(lambda: _c("cr_name"), "cr.r_name",
+                                         ("orders", "customer", "cnation", "cregion")),
+        "recipient_parent_uei_text": NarrowCol(lambda: (F.floor(_c("o_custkey") / 10) * 10).cast("string"),
+                                               "CAST(CAST(floor(o.o_custkey / 10) * 10 AS BIGINT) AS VARCHAR)",
+                                               ("orders",)),
+        "recipient_country_code": NarrowCol(lambda: _c("cn_name"), "cn.n_name", ("orders", "customer", "cnation")),
+        "recipient_state_code": NarrowCol(lambda: F.lpad(_c("c_nationkey").cast("string"), 2, "0"),
+                                          "lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0')", ("orders", "customer")),
+        "recipient_city_name": NarrowCol(lambda: _c("c_mktsegment"), "c.c_mktsegment", ("orders", "customer")),
+        "recipient_county_name": NarrowCol(lambda: _c("cr_name"), "cr.r_name",
+                                           ("orders", "customer", "cnation", "cregion")),
+        "recipient_zip_4_code": NarrowCol(lambda: F.format_string("%05d", _c("o_custkey")),
+                                          "printf('%05d', o.o_custkey)", ("orders",)),
+        "recipient_address_line_1": NarrowCol(lambda: F.concat(_c("c_name"), F.lit(" Way")), "c.c_name || ' Way'",
+                                              ("orders", "customer")),
+        "recipient_phone_number": NarrowCol(
+            lambda: F.format_string("(%03d) 555-%04d", _c("c_nationkey") + 200, _c("o_custkey") % 10000),
+            "printf('(%03d) 555-%04d', c.c_nationkey + 200, o.o_custkey % 10000)", ("orders", "customer")),
+        "primary_place_of_performance_country_code": NarrowCol(lambda: _c("sn_name"), "sn.n_name",
+                                                               ("supplier", "snation")),
+        "primary_place_of_performance_state_code": NarrowCol(lambda: F.lpad(_c("s_nationkey").cast("string"), 2, "0"),
+                                                             "lpad(CAST(s.s_nationkey AS VARCHAR), 2, '0')",
+                                                             ("supplier",)),
+        "primary_place_of_performance_city_name": NarrowCol(lambda: F.lit("DEPOT"), "'DEPOT'"),
+        "primary_place_of_performance_county_name": NarrowCol(lambda: _c("sr_name"), "sr.r_name",
+                                                              ("supplier", "snation", "sregion")),
+        "primary_place_of_performance_zip_4": NarrowCol(lambda: F.format_string("%05d", _c("l_suppkey")),
+                                                        "printf('%05d', l.l_suppkey)"),
+        "naics_code": NarrowCol(lambda: F.format_string("%06d", _c("p_size") * 1000), "printf('%06d', p.p_size * 1000)",
+                                ("part",)),
+        "naics_description": NarrowCol(lambda: _c("p_type"), "p.p_type", ("part",)),
+        "award_type": NarrowCol(lambda: _c("l_returnflag"), "l.l_returnflag"),
+        "action_type": NarrowCol(lambda: _c("l_linestatus"), "l.l_linestatus"),
+        "action_date": NarrowCol(lambda: _c("o_orderdate"), "o.o_orderdate", ("orders",)),
+        "period_of_performance_start_date": NarrowCol(lambda: _c("o_orderdate"), "o.o_orderdate", ("orders",)),
+        "period_of_performance_current_end_date": NarrowCol(lambda: _c("l_shipdate"), "l.l_shipdate"),
+        "current_total_value_of_award": NarrowCol(lambda: _c("o_totalprice"), "o.o_totalprice", ("orders",)),
+        "prime_award_transaction_recipient_cd_current": NarrowCol(
+            lambda: F.concat(F.lpad(_c("c_nationkey").cast("string"), 2, "0"), F.lit("-"),
+                             F.lpad((_c("o_custkey") % 12).cast("string"), 2, "0")),
+            "lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') || '-' || lpad(CAST(o.o_custkey % 12 AS VARCHAR), 2, '0')",
+            ("orders", "customer")),
+        "veteran_owned_business": NarrowCol(
+            lambda: F.when(_c("c_mktsegment") == "AUTOMOBILE", "t").otherwise("f"),
+            "CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 't' ELSE 'f' END", ("orders", "customer")),
+        "emerging_small_business": NarrowCol(
+            lambda: F.when(_c("c_acctbal") < 1000, "t").otherwise("f"),
+            "CASE WHEN c.c_acctbal < 1000 THEN 't' ELSE 'f' END", ("orders", "customer")),
     }
 
 # dimension name -> (table, renamed projection, join keys, sql join clause)
 _DIMS = {
-    "orders": ("orders", ["o_orderkey", "o_custkey", "o_totalprice"], ("l_orderkey", "o_orderkey"),
+    "orders": ("orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"], ("l_orderkey", "o_orderkey"),
                "LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey"),
-    "customer": ("customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], ("o_custkey", "c_custkey"),
+    "customer": ("customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"], ("o_custkey", "c_custkey"),
                  "LEFT JOIN customer c ON o.o_custkey = c.c_custkey"),
-    "cnation": ("nation", [("n_nationkey", "cn_key"), ("n_name", "cn_name")], ("c_nationkey", "cn_key"),
-                "LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey"),
+    "cnation": ("nation", [("n_nationkey", "cn_key"), ("n_name", "cn_name"), ("n_regionkey", "cn_region")],
+                ("c_nationkey", "cn_key"), "LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey"),
+    "cregion": ("region", [("r_regionkey", "cr_key"), ("r_name", "cr_name")], ("cn_region", "cr_key"),
+                "LEFT JOIN region cr ON cn.n_regionkey = cr.r_regionkey"),
     "supplier": ("supplier", ["s_suppkey", "s_name", "s_nationkey"], ("l_suppkey", "s_suppkey"),
                  "LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey"),
-    "snation": ("nation", [("n_nationkey", "sn_key"), ("n_name", "sn_name")], ("s_nationkey", "sn_key"),
-                "LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey"),
-    "part": ("part", ["p_partkey", "p_name", "p_brand", "p_type"], ("l_partkey", "p_partkey"),
+    "snation": ("nation", [("n_nationkey", "sn_key"), ("n_name", "sn_name"), ("n_regionkey", "sn_region")],
+                ("s_nationkey", "sn_key"), "LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey"),
+    "sregion": ("region", [("r_regionkey", "sr_key"), ("r_name", "sr_name")], ("sn_region", "sr_key"),
+                "LEFT JOIN region sr ON sn.n_regionkey = sr.r_regionkey"),
+    "part": ("part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"], ("l_partkey", "p_partkey"),
              "LEFT JOIN part p ON l.l_partkey = p.p_partkey"),
 }
-_DIM_ORDER = ["orders", "customer", "cnation", "supplier", "snation", "part"]
+_DIM_ORDER = ["orders", "customer", "cnation", "cregion", "supplier", "snation", "sregion", "part"]
 
 DEFAULT_NARROW = [
     "award_id_piid", "modification_number", "action_date_fiscal_year", "awarding_sub_agency_code",

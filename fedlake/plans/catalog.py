@@ -29,7 +29,7 @@ def _load_all() -> None:
     from . import (  # noqa: F401
         summary_queries,
     )
-    for mod in ("clean_queries", "validate_queries", "entity_queries", "store_queries",
+    for mod in ("clean_queries", "validate_queries", "entity_queries", "store_queries", "derive_queries",
                 "metric_queries", "stream_queries"):
         try:
             __import__(f"{__package__}.{mod}")
