@@ -106,9 +106,13 @@ def register_calculation(name: str, fn: CalcFn) -> None:
 
 
 def register_pandas_calculation(name: str, fn: Callable, return_type: str = "double") -> None:
-    """X1 fallback: a plain function over pandas Series, run Arrow-batched."""
-    udf = F.pandas_udf(fn, return_type)
-    _CALCULATIONS[name] = lambda cols, **p: udf(*_cols(cols))
+    """X1 fallback: a plain function over pandas Series, run Arrow-batched.
+
+    The UDF is built when first used (on the driver), not at registration,
+    so modules that register calculations import cleanly on executors."""
+    def build(cols, **p):
+        return F.pandas_udf(fn, return_type)(*_cols(cols))
+    _CALCULATIONS[name] = build
 
 
 def calculate(name: str, cols: Sequence, **params) -> Column:
@@ -116,7 +120,8 @@ def calculate(name: str, cols: Sequence, **params) -> Column:
         name = params.pop("function")
     if name not in _CALCULATIONS:
         raise KeyError(f"unknown calculation type {name!r}")
-    return _CALCULATIONS[name](list(cols), **params)
+    # formulas substitute source names; every other calculation gets Columns
+    return _CALCULATIONS[name](list(cols) if name == "formula" else _cols(cols), **params)
 
 
 def derive_fields(df: DataFrame, derived: dict[str, dict]) -> DataFrame:
