@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import materialize as _materialize
 
 # 64 MiB of estimated row payload is well inside an executor's broadcast budget.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -47,11 +47,19 @@ def broadcast_limit(df: DataFrame) -> int:
     return max(1, max_bytes // estimated_row_bytes(df))
 
 
+_MEASURED: dict[tuple[int, int, int], bool] = {}
+
+
 def fits_broadcast(small: DataFrame, max_rows: int | None = None) -> bool:
-    """Measure the side (parquet scans answer from footers) against the bound."""
+    """Measure the side against the bound: ``limit(n+1).count()`` stops
+    scanning as soon as the bound is exceeded. A verdict is remembered per
+    session and plan (``semanticHash``), so a dimension used by many joins is
+    measured once."""
     limit = broadcast_limit(small) if max_rows is None else max_rows
-    # limit(n+1).count() stops scanning once the bound is exceeded
-    return small.limit(limit + 1).count() <= limit
+    key = (id(small.sparkSession), small.semanticHash(), limit)
+    if key not in _MEASURED:
+        _MEASURED[key] = small.limit(limit + 1).count() <= limit
+    return _MEASURED[key]
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -59,12 +67,17 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join ``big`` with a side expected to be small, broadcasting it only if
     the measured size is within bounds.
 
-    ``materialize`` checkpoints a derived ``small`` first so the size check
-    and the join read the same stored rows instead of recomputing them.
+    ``materialize`` writes a derived ``small`` to the shared folder first
+    (counting its rows in the same job), so the size check and the join read
+    the same stored rows instead of recomputing them.
     """
     if materialize:
-        small = cut_lineage(small)
-    if fits_broadcast(small, max_rows):
+        small, n = _materialize(small, "join-side")
+        limit = broadcast_limit(small) if max_rows is None else max_rows
+        fits = n <= limit
+    else:
+        fits = fits_broadcast(small, max_rows)
+    if fits:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 

@@ -243,10 +243,11 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
     payload = F.struct(*[F.col(n) for n in m])
     # ties on the order columns are broken by the record itself, so the pick
     # never depends on input order
-    ordering = F.struct(*[F.col(f"__ord{i}") for i in range(len(order_by))], payload.alias("__payload"))
-    agg = F.max_by(payload, ordering)
+    # max over one struct (order columns, then the record): a single
+    # aggregation buffer instead of max_by's value + ordering pair
+    agg = F.max(F.struct(*[F.col(f"__ord{i}") for i in range(len(order_by))], payload.alias("__payload")))
     flat_keys = [k.replace(".", "_") for k in keys if "." not in k and k.replace(".", "_") not in m]
-    return mapped.groupBy(*key_names).agg(agg.alias("_e")).select(*[F.col(k) for k in flat_keys], "_e.*")
+    return mapped.groupBy(*key_names).agg(agg.alias("_m")).select(*[F.col(k) for k in flat_keys], "_m.__payload.*")
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:

@@ -32,6 +32,19 @@ def reference_edges(src: DataFrame, src_type: str, src_key: str, ref_key: Column
         .where(F.col("dst_id").isNotNull())
 
 
+def role_edges(src: DataFrame, src_type: str, src_key: str, refs: dict[str, Column], dst_type: str,
+               rel: str = "{role}") -> DataFrame:
+    """Edges for several reference roles of one entity in a single pass
+    (one row per role via ``explode``; null references dropped)."""
+    roles = F.array(*[F.struct(F.lit(r).alias("role"), c.cast("string").alias("dst_id")) for r, c in refs.items()])
+    ex = src.select(F.col(src_key).cast("string").alias("src_id"), F.explode(roles).alias("_r"))
+    return ex.where(F.col("_r.dst_id").isNotNull()).select(
+        F.lit(src_type).alias("src_type"), "src_id",
+        F.format_string(rel.replace("{role}", "%s"), F.col("_r.role")).alias("rel") if "{role}" in rel
+        else F.lit(rel).alias("rel"),
+        F.lit(dst_type).alias("dst_type"), F.col("_r.dst_id").alias("dst_id"), F.col("_r.role").alias("role"))
+
+
 def resolve_edges(edges: DataFrame, targets: DataFrame, target_key: str) -> DataFrame:
     """Many-to-one resolution: each edge gets ``dst_found`` (left join on the key)."""
     t = targets.select(F.col(target_key).cast("string").alias("__tk")).distinct()

@@ -150,18 +150,18 @@ def top_n(df: DataFrame, order: Sequence[tuple[str, bool]], n: int = 100) -> Dat
 def with_position(df: DataFrame, keys: Sequence[tuple[str, bool]], name: str = "pos") -> DataFrame:
     """Global 1-based position under a total order, without a single-task window.
 
-    Range-partitioned sort, checkpointed so every later read sees the same
-    partitions; per-partition row counts (one row per partition) give each
+    Range-partitioned sort, written once with each row's partition id and
+    in-partition sequence stored; per-partition row counts (one row per partition) give each
     partition its offset. The data itself never sits in one task. ``keys``
     must form a total order (add a unique tiebreak) for positions to be stable.
     """
     from pyspark.sql import Window
 
-    from ..session import cut_lineage
+    from ..session import materialize
 
-    sorted_df = cut_lineage(sort_mixed(df, keys)
-                            .withColumn("_pid", F.spark_partition_id())
-                            .withColumn("_mid", F.monotonically_increasing_id()))
+    sorted_df, _ = materialize(sort_mixed(df, keys)
+                               .withColumn("_pid", F.spark_partition_id())
+                               .withColumn("_mid", F.monotonically_increasing_id()), "sorted")
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_min_mid"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_min_mid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))

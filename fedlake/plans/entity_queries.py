@@ -500,12 +500,10 @@ def q_rel_contract_agency_roles(spark, sf_dir):
     (template references), resolved against the agency entities."""
     c = _contracts(spark, sf_dir)
     a = _agencies(spark, sf_dir)
-    parts = []
-    for role, ref in (("awarding", "agencies.awarding.office_ref"), ("funding", "agencies.funding.office_ref"),
-                      ("parent_award", "agencies.parent_award.ref")):
-        parts.append(relations.reference_edges(c, "contract", "contract_award_unique_key", F.col(ref), "agency",
-                                               f"contract_to_{role}_agency", role))
-    edges = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    refs = {"awarding": F.col("agencies.awarding.office_ref"), "funding": F.col("agencies.funding.office_ref"),
+            "parent_award": F.col("agencies.parent_award.ref")}
+    edges = relations.role_edges(c, "contract", "contract_award_unique_key", refs, "agency",
+                                 "contract_to_{role}_agency")
     return relations.resolve_edges(edges, a, "agency_key")
 
 

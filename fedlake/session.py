@@ -83,6 +83,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back, cutting the lineage; the row count is observed during that one
+    write job (no second pass). Survives executor loss: the files are on
+    shared storage."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    obs = Observation(f"fedlake_{name}")
+    path = scratch_path(spark, name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.parquet(path), int(obs.get["rows"])
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
