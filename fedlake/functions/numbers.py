@@ -36,13 +36,14 @@ def num_decimal(c, scale: int = 2, precision: int = 18) -> Column:
 
 
 def num_round_clamp(c, ndigits: int | None = None, min_value=None, max_value=None,
-                    integer: bool = False, on_error: str = "null") -> Column:
+                    integer: bool = False, on_error: str = "null", numeric_input: bool = False) -> Column:
     """parse, round half-even on a decimal, clamp to [min, max], optional int.
 
     ``on_error='raise'`` fails on unparseable input as the transformer does.
+    ``numeric_input`` skips the text parse for columns that are already numbers.
     """
     raw = as_col(c)
-    v = str_trim(raw.cast("string")).try_cast("decimal(38,10)")
+    v = raw.try_cast("decimal(38,10)") if numeric_input else str_trim(raw.cast("string")).try_cast("decimal(38,10)")
     if ndigits is not None:
         v = F.bround(v, ndigits)
     if min_value is not None:

@@ -57,7 +57,10 @@ def compile_op(c: Column, op: dict, *, source_type: str | None = None) -> Column
     if t == "convert_to_float":
         return numbers.num_parse(c)
     if t == "round":
-        return numbers.num_round_clamp(c, int(op.get("ndigits", 0)), op.get("min_value"), op.get("max_value"))
+        numeric = bool(source_type) and (source_type in ("double", "float", "bigint", "int", "smallint", "tinyint")
+                                         or source_type.startswith("decimal"))
+        return numbers.num_round_clamp(c, int(op.get("ndigits", 0)), op.get("min_value"), op.get("max_value"),
+                                       numeric_input=numeric)
     if t == "strip_time":
         return dates.date_strip_time(c)
     if t == "normalize_date":

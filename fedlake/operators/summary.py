@@ -88,20 +88,7 @@ def latest_records(df: DataFrame, group: str, date: str, with_total: bool = Fals
     return joined.drop("_g", "_max_date")
 
 
-def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
-                    value: str = "potential_total_value_of_award",
-                    fields: Sequence[str] | None = None,
-                    additional_fields: Sequence[str] | None = None,
-                    *, formatted: bool = True, with_total: bool = False,
-                    tiebreak: Sequence[str] = ()) -> DataFrame:
-    """A3: latest record(s) per group with tie count, sorted by value desc.
-
-    ``fields`` are the default output fields after the group key (award schema
-    defaults); ``additional_fields`` are appended when present in ``df`` and
-    not already listed. ``with_total`` adds ``total_count`` (all rows of the
-    group), the modification count the source describes but does not compute.
-    ``tiebreak`` columns extend the sort so that a limit on top is deterministic.
-    """
+def _report_fields(df: DataFrame, group: str, fields, additional_fields, with_total: bool) -> list[str]:
     fields = list(AWARD_DEFAULT_FIELDS if fields is None else fields)
     out_fields = [group] + [f for f in fields if f != group]
     for f in additional_fields or ():
@@ -109,9 +96,12 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
             out_fields.append(f)
     if with_total and "total_count" not in out_fields:
         out_fields.append("total_count")
-    needed = [c for c in dict.fromkeys(out_fields + [date, value, group] + list(tiebreak))
-              if c not in ("row_count", "total_count")]
-    rows = latest_records(df.select(*needed), group, date, with_total)
+    return out_fields
+
+
+def _report(rows: DataFrame, group: str, date: str, value: str, out_fields: list[str], formatted: bool,
+            tiebreak: Sequence[str]) -> DataFrame:
+    """Sort by value (largest first, nulls last), then format value and date."""
     ordered = rows.orderBy(F.col(value).desc_nulls_last(), F.col(group).asc_nulls_last(),
                            *[F.col(t).asc_nulls_last() for t in tiebreak])
     sel: list[Column] = []
@@ -125,6 +115,65 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
     return ordered.select(*sel)
 
 
+def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
+                    value: str = "potential_total_value_of_award",
+                    fields: Sequence[str] | None = None,
+                    additional_fields: Sequence[str] | None = None,
+                    *, formatted: bool = True, with_total: bool = False,
+                    tiebreak: Sequence[str] = ()) -> DataFrame:
+    """A3: latest record(s) per group with tie count, sorted by value desc.
+
+    ``fields`` are the default output fields after the group key (award schema
+    defaults); ``additional_fields`` are appended when present in ``df`` and
+    not already listed. ``with_total`` adds ``total_count`` (all rows of the
+    group), the modification count the source describes but does not compute.
+    ``tiebreak`` columns extend the sort so that a limit on top is deterministic.
+    """
+    out_fields = _report_fields(df, group, fields, additional_fields, with_total)
+    needed = [c for c in dict.fromkeys(out_fields + [date, value, group] + list(tiebreak))
+              if c not in ("row_count", "total_count")]
+    rows = latest_records(df.select(*needed), group, date, with_total)
+    return _report(rows, group, date, value, out_fields, formatted, tiebreak)
+
+
+def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]]],
+                         date: str = "last_modified_date", value: str = "potential_total_value_of_award",
+                         fields: Sequence[str] | None = None, *, formatted: bool = True) -> list[DataFrame]:
+    """A4: several latest-per-group reports over one table, sharing one pass.
+
+    The per-group tables of all views come from a single scan: each row is
+    exploded into one (view, group as text, date) entry per view and
+    partially aggregated, then written once. Each view then joins its slice
+    (broadcast when its measured row count fits) and sorts. Group keys are
+    compared as text, so keys must have a faithful text form (codes, ids).
+    """
+    from ..session import materialize
+    from .joins import broadcast_limit
+
+    tags = F.array(*[F.struct(F.lit(i).alias("v"), F.col(g).cast("string").alias("g"))
+                     for i, (g, _) in enumerate(views)])
+    ex = df.select(F.col(date).alias("d"), F.explode(tags).alias("x")).select("x.v", "x.g", "d") \
+        .where(F.col("g").isNotNull())
+    per_day = ex.groupBy("v", "g", "d").agg(F.count(F.lit(1)).alias("_n"))
+    tables = per_day.groupBy("v", "g").agg(
+        F.max("d").alias("_max_date"), F.max_by("_n", "d").alias("_n_at_max"),
+        F.sum(F.when(F.col("d").isNull(), F.col("_n"))).alias("_n_null")
+    ).select("v", F.col("g").alias("_g"), "_max_date", F.coalesce("_n_at_max", "_n_null").alias("row_count"))
+    tables, _ = materialize(tables, "latest-tables")
+    sizes = {r["v"]: r["n"] for r in tables.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = []
+    for i, (group, extras) in enumerate(views):
+        t = tables.where(F.col("v") == i).drop("v")
+        out_fields = _report_fields(df, group, fields, extras, False)
+        needed = [c for c in dict.fromkeys(out_fields + [date, value, group]) if c != "row_count"]
+        rows = df.where(F.col(group).isNotNull()).select(*needed)
+        cond = (F.col(group).cast("string") == F.col("_g")) & F.col(date).eqNullSafe(F.col("_max_date"))
+        side = F.broadcast(t) if sizes.get(i, 0) <= broadcast_limit(t) else t
+        joined = rows.join(side, cond, "inner").drop("_g", "_max_date")
+        out.append(_report(joined, group, date, value, out_fields, formatted, ()))
+    return out
+
+
 def latest_by_group_join_form(df: DataFrame, group: str, date: str) -> DataFrame:
     """J1 + J2 as joins (the source's literal formulation): rows joined to the
     per-group max on (group, date) null-safely, then per-group counts joined

@@ -41,6 +41,13 @@ def _c(name):
     return F.col(name)
 
 
+def _padded(prefix: str, n: Column, width: int) -> Column:
+    """``prefix`` + zero-padded non-negative integer (``printf('%0Nd')``), without
+    a per-row ``String.format`` call; longer numbers are kept whole."""
+    s = n.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s))
+
+
 @lru_cache(maxsize=1)
 def narrow_spec() -> dict[str, NarrowCol]:
     """Award column -> (Spark Column builder, DuckDB SQL, dimensions needed)."""
@@ -65,10 +72,10 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "recipient_name_raw": NarrowCol(lambda: F.upper(_c("c_name")), "upper(c.c_name)", ("orders", "customer")),
         "recipient_parent_uei": NarrowCol(lambda: F.floor(_c("o_custkey") / 10) * 10,
                                           "CAST(floor(o.o_custkey / 10) * 10 AS BIGINT)", ("orders",)),
-        "recipient_parent_name": NarrowCol(lambda: F.format_string("Parent#%09d", F.floor(_c("o_custkey") / 10) * 10),
+        "recipient_parent_name": NarrowCol(lambda: _padded("Parent#", F.floor(_c("o_custkey") / 10) * 10, 9),
                                            "printf('Parent#%09d', CAST(floor(o.o_custkey / 10) * 10 AS BIGINT))",
                                            ("orders",)),
-        "recipient_parent_name_raw": NarrowCol(lambda: F.format_string("PARENT#%09d", F.floor(_c("o_custkey") / 10) * 10),
+        "recipient_parent_name_raw": NarrowCol(lambda: _padded("PARENT#", F.floor(_c("o_custkey") / 10) * 10, 9),
                                                "printf('PARENT#%09d', CAST(floor(o.o_custkey / 10) * 10 AS BIGINT))",
                                                ("orders",)),
         "transaction_description": NarrowCol(lambda: _c("p_name"), "p.p_name", ("part",)),
@@ -112,12 +119,13 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "recipient_city_name": NarrowCol(lambda: _c("c_mktsegment"), "c.c_mktsegment", ("orders", "customer")),
         "recipient_county_name": NarrowCol(lambda: _c("cr_name"), "cr.r_name",
                                            ("orders", "customer", "cnation", "cregion")),
-        "recipient_zip_4_code": NarrowCol(lambda: F.format_string("%05d", _c("o_custkey")),
+        "recipient_zip_4_code": NarrowCol(lambda: _padded("", _c("o_custkey"), 5),
                                           "printf('%05d', o.o_custkey)", ("orders",)),
         "recipient_address_line_1": NarrowCol(lambda: F.concat(_c("c_name"), F.lit(" Way")), "c.c_name || ' Way'",
                                               ("orders", "customer")),
         "recipient_phone_number": NarrowCol(
-            lambda: F.format_string("(%03d) 555-%04d", _c("c_nationkey") + 200, _c("o_custkey") % 10000),
+            lambda: F.concat(_padded("(", _c("c_nationkey") + 200, 3), F.lit(") 555-"),
+                             _padded("", _c("o_custkey") % 10000, 4)),
             "printf('(%03d) 555-%04d', c.c_nationkey + 200, o.o_custkey % 10000)", ("orders", "customer")),
         "primary_place_of_performance_country_code": NarrowCol(lambda: _c("sn_name"), "sn.n_name",
                                                                ("supplier", "snation")),
@@ -127,9 +135,9 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "primary_place_of_performance_city_name": NarrowCol(lambda: F.lit("DEPOT"), "'DEPOT'"),
         "primary_place_of_performance_county_name": NarrowCol(lambda: _c("sr_name"), "sr.r_name",
                                                               ("supplier", "snation", "sregion")),
-        "primary_place_of_performance_zip_4": NarrowCol(lambda: F.format_string("%05d", _c("l_suppkey")),
+        "primary_place_of_performance_zip_4": NarrowCol(lambda: _padded("", _c("l_suppkey"), 5),
                                                         "printf('%05d', l.l_suppkey)"),
-        "naics_code": NarrowCol(lambda: F.format_string("%06d", _c("p_size") * 1000), "printf('%06d', p.p_size * 1000)",
+        "naics_code": NarrowCol(lambda: _padded("", _c("p_size") * 1000, 6), "printf('%06d', p.p_size * 1000)",
                                 ("part",)),
         "naics_description": NarrowCol(lambda: _c("p_type"), "p.p_type", ("part",)),
         "award_type": NarrowCol(lambda: _c("l_returnflag"), "l.l_returnflag"),

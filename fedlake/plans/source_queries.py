@@ -93,7 +93,8 @@ def q_export_views(spark, sf_dir):
     narrow_path = scratch_path(spark, "narrow")
     award_narrow(spark, sf_dir, cols).write.parquet(narrow_path)
     narrow = spark.read.parquet(narrow_path)
-    views = {k: summary.latest_by_group(narrow, g, additional_fields=e) for k, g, e in VIEWS}
+    reports = summary.latest_by_group_many(narrow, [(g, e) for _, g, e in VIEWS])
+    views = {k: r for (k, _, _), r in zip(VIEWS, reports)}
     root = scratch_path(spark, "views")
     paths = sinks.export_views(views, root)
     parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("view"), "n")

@@ -98,8 +98,31 @@ def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
     return spark.read.parquet(path), int(obs.get["rows"])
 
 
+# A table is spread over the cores only when it is mid-sized and held in fewer
+# files than there are cores (a file with one row group is read by one task).
+SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MAX_BYTES = 4 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the default parallelism when the input is a
+    mid-sized table in too few files to keep the cores busy. Large inputs
+    (many files) and tiny ones (broadcast sides) are returned untouched, so
+    at cluster scale this adds no shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        n_files = len(df.inputFiles())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
+        return df
+    if n_files < cores and SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
+        return df.repartition(cores)
+    return df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
