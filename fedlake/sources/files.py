@@ -53,7 +53,14 @@ def scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
               .option("mode", "PERMISSIVE"))
     if flag_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(string_schema(cols, flag_corrupt)).csv(path)
+    df = reader.schema(string_schema(cols, flag_corrupt)).csv(path)
+    if flag_corrupt:
+        # Spark flags short rows too; only a row with cells beyond the header
+        # is malformed (short rows read their missing cells as null)
+        wide = ", ".join([f"`c{i}` string" for i in range(len(cols))] + ["`__extra` string"])
+        extra = F.from_csv(F.col(CORRUPT), wide, {"sep": sep, "quote": quote, "escape": quote})["__extra"]
+        df = df.withColumn(CORRUPT, F.when(extra.isNotNull(), F.col(CORRUPT)))
+    return df
 
 
 def union_csv_parts(spark: SparkSession, paths: Sequence[str], **kw) -> DataFrame:
