@@ -75,7 +75,8 @@ def compile_op(c: Column, op: dict, *, source_type: str | None = None) -> Column
     if t == "decode":
         return codes.code_decode(c, op["table"])
     if t == "derive_fiscal_year":
-        return dates.fiscal_year(c, int(op.get("fiscal_year_start_month", 10)))
+        src = F.col(op["source_field"]) if op.get("source_field") else c
+        return dates.fiscal_year(src, int(op.get("fiscal_year_start_month", 10)))
     raise ValueError(f"unsupported transform operation {t!r}")
 
 

@@ -298,13 +298,13 @@ def dot_path_write(assignments: dict[str, Column]) -> list[Column]:
 def resolve_patterns(columns: Iterable[str], rules: Sequence[tuple[str, Sequence[str]]]) -> dict[str, str]:
     """Column -> rule name. ``rules`` is an ordered list of (rule name,
     field names or wildcard patterns). An explicit name beats any pattern;
-    among patterns the first listed wins."""
+    among explicit names, and among patterns, the first listed wins."""
     out: dict[str, str] = {}
     cols = list(columns)
     for name, fields in rules:
         for f in fields:
             if not any(ch in f for ch in "*?[") and f in cols:
-                out[f] = name
+                out.setdefault(f, name)
     for name, fields in rules:
         for f in fields:
             if any(ch in f for ch in "*?["):

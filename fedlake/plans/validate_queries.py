@@ -346,3 +346,55 @@ def q_violations_by_rule(spark, sf_dir):
     """Violation counts per rule and severity."""
     o = load(spark, sf_dir, "orders")
     return V.violations_by_rule(V.validate(o, ORDER_RULES))
+
+
+# --- config-driven cleaning + validation (F48 + V15 from field properties) ---------------
+
+_CFG_COLS = ["contract_transaction_unique_key", "federal_action_obligation", "potential_total_value_of_award",
+             "current_total_value_of_award", "action_date_fiscal_year", "awarding_agency_code",
+             "product_or_service_code", "recipient_state_code", "last_modified_date", "action_date",
+             "transaction_description", "award_type"]
+_CFG_FAILS = [
+    ("NOT (o.o_totalprice IS NULL OR l.l_extendedprice IS NULL OR "
+     "o.o_totalprice <= CAST(l.l_extendedprice AS DECIMAL(18,2)))", "current_total_value_of_award:compare"),
+    ("CAST(o.o_orderdate AS DATE) > DATE '2000-01-01'", "action_date:date.not_future:not_future"),
+    ("NOT regexp_matches(upper(p.p_brand), '^[A-Z0-9]{4}$')", "product_or_service_code:string.psc:pattern"),
+    ("NOT regexp_matches(trim(upper(lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0'))), '^[A-Z]{2}$')",
+     "recipient_state_code:string.state_code:pattern"),
+    ("NOT (trim(upper(l.l_returnflag)) IN ('A', 'B', 'C', 'D'))", "award_type:enum.contract_type:enum"),
+    ("NOT (year(CAST(o.o_orderdate AS DATE) + INTERVAL 3 MONTH) BETWEEN 2000 AND 2100)",
+     "action_date_fiscal_year:derived.fiscal_year:range"),
+]
+
+
+def _cfg_sql():
+    from .award import award_narrow_sql
+    base = award_narrow_sql(_CFG_COLS)
+    n = " + ".join(f"CAST(coalesce({p}, false) AS INTEGER)" for p, _ in _CFG_FAILS)
+    ids = ", ".join(f"CASE WHEN coalesce({p}, false) THEN '{i}' END" for p, i in _CFG_FAILS)
+    sel = (f"CONCAT_WS('_', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR)) AS "
+           f"contract_transaction_unique_key, CAST(year(CAST(o.o_orderdate AS DATE) + INTERVAL 3 MONTH) AS BIGINT) "
+           f"AS action_date_fiscal_year, CAST({n} AS INTEGER) AS n_violations, "
+           f"array_to_string(list_sort(list_filter([{ids}], lambda x: x IS NOT NULL)), ',') AS violation_ids")
+    return sel, base[base.index(" FROM "):]
+
+
+_CFG_SEL, _CFG_FROM = _cfg_sql()
+
+
+@register("config_clean_validate", f"SELECT {_CFG_SEL} {_CFG_FROM}")
+def q_config_clean_validate(spark, sf_dir):
+    """F48 + V15 + P9 driven by the field-property config: wildcard field
+    patterns resolved to the award columns, cleaning operations applied, every
+    rule checked (as-of date for "not in the future" is a parameter), the
+    fiscal year derived after validation and range-checked."""
+    import os
+
+    from ..spec import clean_and_validate, load_config
+    from .award import award_narrow
+    cfg = load_config(os.path.join(os.path.dirname(__file__), "award_rules.yaml"))
+    t = award_narrow(spark, sf_dir, _CFG_COLS)
+    out = clean_and_validate(t, cfg, as_of="2000-01-01")
+    ids = F.array_join(F.array_sort(F.transform("violations", lambda v: v["rule_id"])), ",")
+    return out.select("contract_transaction_unique_key", "action_date_fiscal_year",
+                      F.size("violations").alias("n_violations"), ids.alias("violation_ids"))
