@@ -90,14 +90,18 @@ def null_safe_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str,
     return cond
 
 
+def _key_set(parent: DataFrame, parent_key: str) -> DataFrame:
+    return parent.select(F.col(parent_key).alias("__pk")).where(F.col("__pk").isNotNull()).distinct()
+
+
 def fk_valid(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Rows of ``child`` whose key exists in ``parent`` (J7, semi join)."""
-    p = parent.select(F.col(parent_key).alias("__pk")).where(F.col("__pk").isNotNull())
-    return child.join(p, F.col(child_key) == F.col("__pk"), "left_semi")
+    """Rows of ``child`` whose key exists in ``parent`` (J7, semi join against
+    the distinct parent keys, broadcast only when measured small)."""
+    return join_small(child, _key_set(parent, parent_key), F.col(child_key) == F.col("__pk"), "left_semi",
+                      materialize=True)
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Rows of ``child`` with a non-null key that is missing in ``parent``."""
-    p = parent.select(F.col(parent_key).alias("__pk")).where(F.col("__pk").isNotNull())
-    return (child.where(F.col(child_key).isNotNull())
-            .join(p, F.col(child_key) == F.col("__pk"), "left_anti"))
+    """Rows of ``child`` with a non-null key that is missing in ``parent`` (J7, anti join)."""
+    return join_small(child.where(F.col(child_key).isNotNull()), _key_set(parent, parent_key),
+                      F.col(child_key) == F.col("__pk"), "left_anti", materialize=True)

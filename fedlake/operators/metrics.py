@@ -107,9 +107,11 @@ def issue_labels(checks: Sequence[tuple[Column, str]]) -> Column:
 
 def gap_report(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, kind: str) -> DataFrame:
     """Keys of ``left`` with no counterpart in ``right`` (anti join on derived keys)."""
+    from .joins import join_small
     lk = left.select(left_key.alias("key")).where(F.col("key").isNotNull()).distinct()
-    rk = right.select(right_key.alias("__rk")).where(F.col("__rk").isNotNull())
-    return lk.join(rk, F.col("key") == F.col("__rk"), "left_anti").select(F.lit(kind).alias("kind"), "key")
+    rk = right.select(right_key.alias("__rk")).where(F.col("__rk").isNotNull()).distinct()
+    return join_small(lk, rk, F.col("key") == F.col("__rk"), "left_anti", materialize=True) \
+        .select(F.lit(kind).alias("kind"), "key")
 
 
 def issue_list(gaps: DataFrame, gate: DataFrame) -> DataFrame:

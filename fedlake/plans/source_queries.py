@@ -251,3 +251,44 @@ def q_first_file_per_year(spark, sf_dir):
     listing = listing.withColumn("file_name", F.format_string("FY%d_P%02d_Contracts_Full.zip", "fiscal_year",
                                                               "period"))
     return files.newest_per_group(listing, "fiscal_year", "period", ["file_name", "period"])
+
+
+@register("write_csv",
+          "SELECT concat_ws(',', CAST(o_orderkey AS VARCHAR), o_orderstatus, CAST(o_totalprice AS VARCHAR), "
+          "o_orderpriority) AS line FROM orders")
+def q_write_csv(spark, sf_dir):
+    """S3: CSV written with a fixed field list; the written text read back line
+    by line (header lines excluded)."""
+    path = scratch_path(spark, "orders-csv-text")
+    fields = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    sinks.write_csv(load(spark, sf_dir, "orders"), path, fields)
+    lines = spark.read.text(path)
+    return lines.where(F.col("value") != ",".join(fields)).select(F.col("value").alias("line"))
+
+
+@register("scan_json_doc",
+          "SELECT r.r_regionkey AS region_key, r.r_name AS region_name, CAST(count(*) AS BIGINT) AS n_nations, "
+          "string_agg(n.n_name, ',' ORDER BY n.n_nationkey) AS nations FROM region r JOIN nation n "
+          "ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2")
+def q_scan_json_doc(spark, sf_dir):
+    """One JSON document per file (a region with its nations, gzip), read
+    back whole-document."""
+    from ..operators.relations import chunked_collect
+    r = load(spark, sf_dir, "region")
+    n = load(spark, sf_dir, "nation")
+    from ..operators.joins import join_small
+    pairs = join_small(n, r, n.n_regionkey == r.r_regionkey, "inner").select(
+        F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("region_name"), "n_nationkey", "n_name")
+    docs = chunked_collect(pairs, ["region_key", "region_name"],
+                           F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")), "n_nationkey",
+                           alias="nations")
+    path = scratch_path(spark, "region-docs")
+    (docs.select("region_key", "chunk", F.to_json(F.struct("region_key", "region_name", "nations")).alias("doc"))
+     .repartition("region_key", "chunk").write.partitionBy("region_key", "chunk").option("compression", "gzip")
+     .text(path))
+    back = files.scan_json_doc(spark, path, T.StructType([
+        T.StructField("region_key", T.IntegerType()), T.StructField("region_name", T.StringType()),
+        T.StructField("nations", T.ArrayType(T.StructType([T.StructField("key", T.IntegerType()),
+                                                            T.StructField("name", T.StringType())])))]))
+    return back.select("region_key", "region_name", F.size("nations").cast("bigint").alias("n_nations"),
+                       F.array_join(F.transform("nations", lambda x: x["name"]), ",").alias("nations"))
