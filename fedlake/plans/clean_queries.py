@@ -20,7 +20,8 @@ from .catalog import register
 
 @register("str_trim",
           "SELECT doc_id, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text_trimmed, "
-          "length(regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '')) AS trimmed_len FROM documents")
+          "CAST(length(regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '')) AS INTEGER) AS trimmed_len "
+          "FROM documents")
 def q_str_trim(spark, sf_dir):
     """strip all leading/trailing whitespace from every document text."""
     d = load(spark, sf_dir, "documents")
@@ -88,7 +89,7 @@ def q_str_extract(spark, sf_dir):
 
 
 @register("str_truncate",
-          "SELECT doc_id, substring(text, 1, 4000) AS text_4000, length(substring(text, 1, 4000)) AS len "
+          "SELECT doc_id, substring(text, 1, 4000) AS text_4000, CAST(length(substring(text, 1, 4000)) AS INTEGER) AS len "
           "FROM documents")
 def q_str_truncate(spark, sf_dir):
     """F8: truncate every document to 4000 characters (description rule)."""
@@ -415,7 +416,7 @@ def q_code_decode(spark, sf_dir):
           "SELECT p_partkey, CASE WHEN len(a) BETWEEN 2 AND 3 AND list_bool_and(list_transform(a, "
           "lambda x: length(x) >= 3)) THEN array_to_string(a, '|') END AS words, "
           "CASE WHEN len(a) BETWEEN 2 AND 3 AND list_bool_and(list_transform(a, lambda x: length(x) >= 3)) "
-          "THEN len(a) END AS n_words FROM (SELECT p_partkey, list_filter(list_transform(string_split(p_name || ' ' "
+          "THEN CAST(len(a) AS INTEGER) END AS n_words FROM (SELECT p_partkey, list_filter(list_transform(string_split(p_name || ' ' "
           "|| p_type, ' '), lambda x: nullif(upper(x), '')), lambda x: x IS NOT NULL) AS a FROM part)")
 def q_array_clean(spark, sf_dir):
     """transform items, drop nulls, size bounds and per-item validity."""

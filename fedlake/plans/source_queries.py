@@ -213,7 +213,7 @@ def _crosswalk(spark, sf_dir):
 
 
 @register("crosswalk_split",
-          f"SELECT Element, Definition, len({_XW_SPLIT}) AS n_values, array_to_string({_XW_SPLIT}, '|') AS domain_values "
+          f"SELECT Element, Definition, CAST(len({_XW_SPLIT}) AS INTEGER) AS n_values, array_to_string({_XW_SPLIT}, '|') AS domain_values "
           f"FROM ({_XW_SQL})")
 def q_crosswalk_split(spark, sf_dir):
     """Crosswalk read with multi-line definitions kept and list cells split

@@ -373,7 +373,7 @@ def _cfg_sql():
     n = " + ".join(f"CAST(coalesce({p}, false) AS INTEGER)" for p, _ in _CFG_FAILS)
     ids = ", ".join(f"CASE WHEN coalesce({p}, false) THEN '{i}' END" for p, i in _CFG_FAILS)
     sel = (f"CONCAT_WS('_', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR)) AS "
-           f"contract_transaction_unique_key, CAST(year(CAST(o.o_orderdate AS DATE) + INTERVAL 3 MONTH) AS BIGINT) "
+           f"contract_transaction_unique_key, CAST(year(CAST(o.o_orderdate AS DATE) + INTERVAL 3 MONTH) AS INTEGER) "
            f"AS action_date_fiscal_year, CAST({n} AS INTEGER) AS n_violations, "
            f"array_to_string(list_sort(list_filter([{ids}], lambda x: x IS NOT NULL)), ',') AS violation_ids")
     return sel, base[base.index(" FROM "):]
