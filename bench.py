@@ -77,11 +77,17 @@ def main() -> None:
     def q_latest_lineitem():
         noop(summary_queries.latest_by_part(spark, SF_DIR))
 
-    def q_eight_views():
-        cols = list(dict.fromkeys(c for _, g, e in VIEWS for c in view_columns(g, e)))
+    narrow_cols = list(dict.fromkeys(c for _, g, e in VIEWS for c in view_columns(g, e)))
+    narrow_paths = []
+
+    def q_narrow_build():
+        # the shared input of the views: lineitem + 6 dimension joins, written once
         path = scratch_path(spark, "bench-narrow")
-        award_narrow(spark, SF_DIR, cols).write.parquet(path)  # shared input materialised once
-        narrow = spark.read.parquet(path)
+        award_narrow(spark, SF_DIR, narrow_cols).write.parquet(path)
+        narrow_paths.append(path)
+
+    def q_eight_views():
+        narrow = spark.read.parquet(narrow_paths[-1])
         views = summary.latest_by_group_many(narrow, [(g, e) for _, g, e in VIEWS])
         with ThreadPoolExecutor(4) as pool:  # independent view jobs submitted together
             list(pool.map(noop, views))
@@ -102,6 +108,7 @@ def main() -> None:
     plan = {
         "latest_by_group_orders": q_latest_orders,
         "latest_by_group_lineitem": q_latest_lineitem,
+        "narrow_table_build": q_narrow_build,
         "eight_views": q_eight_views,
         "clean_validate_lineitem": q_clean_validate,
         "agency_roles_join": q_agency_roles,

@@ -204,7 +204,7 @@ def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
     df = load(spark, sf_dir, "lineitem")
     for dim in _needed_dims(columns):
         table, proj, (lk, rk), _ = _DIMS[dim]
-        side = load(spark, sf_dir, table).select(
+        side = load(spark, sf_dir, table, spread_input=False).select(
             *[F.col(p) if isinstance(p, str) else F.col(p[0]).alias(p[1]) for p in proj])
         df = join_small(df, side, F.col(lk) == F.col(rk), "left")
     return df.select(*[narrow_spec()[c].build().alias(c) for c in columns])

@@ -121,8 +121,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def load(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
+    """A table of the given folder. ``spread_input=False`` for sides that are
+    going to be broadcast (spreading them would only add a shuffle)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_input else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
