@@ -30,7 +30,7 @@ def _load_all() -> None:
         summary_queries,
     )
     for mod in ("clean_queries", "validate_queries", "entity_queries", "store_queries", "derive_queries",
-                "metric_queries", "source_queries", "stream_queries"):
+                "metric_queries", "source_queries", "stream_queries", "conversion"):
         try:
             __import__(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:  # modules arrive as the build widens

@@ -438,13 +438,14 @@ def q_extract_transaction(spark, sf_dir):
 
 # --- J3-J12: relationships ------------------------------------------------------------
 
-def _contracts(spark, sf_dir):
-    t = transactions_for(spark, sf_dir, CONTRACT, extra=["modification_number"])
+def _contracts(spark, sf_dir, t=None):
+    t = t if t is not None else transactions_for(spark, sf_dir, CONTRACT, extra=["modification_number"])
     return mapping.extract_entity(t, CONTRACT, order_by=["last_modified_date", "modification_number"])
 
 
-def _agencies(spark, sf_dir):
-    a = mapping.extract_entity(transactions_for(spark, sf_dir, AGENCY), AGENCY)
+def _agencies(spark, sf_dir, t=None):
+    t = t if t is not None else transactions_for(spark, sf_dir, AGENCY)
+    a = mapping.extract_entity(t, AGENCY)
     return a.withColumn("agency_key", F.concat_ws(":", F.col("agency_code").cast("string"),
                                                   F.col("sub_agency_code").cast("string"),
                                                   F.col("office_code").cast("string")))
@@ -497,9 +498,13 @@ def q_rel_contract_recipient(spark, sf_dir):
           "dst_id, role, dst_id IN (SELECT agency_key FROM a) AS dst_found FROM e WHERE dst_id IS NOT NULL")
 def q_rel_contract_agency_roles(spark, sf_dir):
     """Contract -> agency in the awarding / funding / parent-award roles
-    (template references), resolved against the agency entities."""
-    c = _contracts(spark, sf_dir)
-    a = _agencies(spark, sf_dir)
+    (template references), resolved against the agency entities. Both entity
+    tables come from one transaction table, built and written once."""
+    from ..session import materialize
+    t, _ = materialize(transactions_for(spark, sf_dir, CONTRACT, AGENCY, extra=["modification_number"]),
+                       "contract-agency-transactions")
+    c = _contracts(spark, sf_dir, t)
+    a = _agencies(spark, sf_dir, t)
     refs = {"awarding": F.col("agencies.awarding.office_ref"), "funding": F.col("agencies.funding.office_ref"),
             "parent_award": F.col("agencies.parent_award.ref")}
     edges = relations.role_edges(c, "contract", "contract_award_unique_key", refs, "agency",
