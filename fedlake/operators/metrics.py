@@ -36,8 +36,10 @@ def success_rate(ok: Column, failed: Column) -> Column:
     return F.when(total > 0, F.floor(ok * 100 / total)).cast("bigint")
 
 
-def metric_summary(df: DataFrame, key: str, value: str) -> DataFrame:
-    """A10: min / max / avg / count per metric, key ``category.name`` split at the first dot."""
+def metric_summary(df: DataFrame, key: str, value: str, digits: int = 6) -> DataFrame:
+    """A10: min / max / avg / count per metric, key ``category.name`` split at
+    the first dot. The mean is rounded to ``digits`` places so it does not
+    depend on the order partial sums were combined in."""
     cat = F.substring_index(F.col(key), ".", 1)
     name = F.when(F.col(key).contains("."), F.expr(f"substring({key}, instr({key}, '.') + 1)"))
     return (df.select(cat.alias("category"), name.alias("name"), F.col(value).alias("v"))

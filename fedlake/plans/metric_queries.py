@@ -50,7 +50,8 @@ def q_write_success_rate(spark, sf_dir):
 
 @register("metric_summary",
           "SELECT event_type AS category, json_extract_string(props, '$.k') AS name, min(value) AS min_value, "
-          "max(value) AS max_value, avg(value) AS avg_value, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2")
+          "max(value) AS max_value, round(avg(value), 6) AS avg_value, CAST(count(*) AS BIGINT) AS n FROM events "
+          "GROUP BY 1, 2")
 def q_metric_summary(spark, sf_dir):
     """A10: min/max/avg per ``category.name`` metric key."""
     e = load(spark, sf_dir, "events")
@@ -155,8 +156,8 @@ def q_spend_by_fy_org(spark, sf_dir):
 _SCORE_SQL = (
     "WITH g AS (SELECT l_suppkey, count(*) AS n, avg(l_discount) AS d, avg(CASE WHEN l_returnflag = 'R' "
     "THEN 1.0 ELSE 0.0 END) AS r FROM lineitem GROUP BY l_suppkey) SELECT l_suppkey, "
-    "coalesce(least(n * 0.1, 40.0), 0.0) + coalesce(least(d * 500.0, 30.0), 0.0) + "
-    "coalesce(least((1 - r) * 40.0, 30.0), 0.0) AS score, "
+    "round(coalesce(least(n * 0.1, 40.0), 0.0) + coalesce(least(d * 500.0, 30.0), 0.0) + "
+    "coalesce(least((1 - r) * 40.0, 30.0), 0.0), 6) AS score, "
     "concat_ws(',', CASE WHEN n < 500 THEN 'few_lines' END, CASE WHEN d > 0.05 THEN 'high_discount' END, "
     "CASE WHEN r > 0.3 THEN 'many_returns' END) AS issues FROM g")
 
@@ -171,16 +172,17 @@ def q_quality_score(spark, sf_dir):
                                     (1 - F.col("r"), 40.0, 30.0)])
     labels = metrics.issue_labels([(F.col("n") < 500, "few_lines"), (F.col("d") > 0.05, "high_discount"),
                                    (F.col("r") > 0.3, "many_returns")])
+    score = F.round(score, 6)  # independent of the order partial averages were merged in
     return g.select("l_suppkey", score.alias("score"), F.array_join(labels, ",").alias("issues"),
                     (score < 50).alias("low"))
 
 
-@register("quality_score_mean", f"SELECT avg(score) AS mean_score, CAST(count(*) FILTER (WHERE score < 50) AS BIGINT) "
-                                f"AS n_low FROM ({_SCORE_SQL})")
+@register("quality_score_mean", f"SELECT round(avg(score), 6) AS mean_score, CAST(count(*) FILTER (WHERE score < 50) "
+                                f"AS BIGINT) AS n_low FROM ({_SCORE_SQL})")
 def q_quality_score_mean(spark, sf_dir):
     """Overall mean score and number of low scorers."""
     s = q_quality_score(spark, sf_dir)
-    return s.agg(F.avg("score").alias("mean_score"), F.count_if("low").alias("n_low"))
+    return s.agg(F.round(F.avg("score"), 6).alias("mean_score"), F.count_if("low").alias("n_low"))
 
 
 _GAP_SQL = ("SELECT 'part_never_ordered' AS kind, p_partkey AS key FROM part WHERE p_partkey NOT IN "
