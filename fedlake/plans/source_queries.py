@@ -120,9 +120,13 @@ def q_entity_csv_roundtrip(spark, sf_dir):
     return back.select("line", "e.c_custkey", "e.c_name", "e.c_acctbal")
 
 
-@register("entity_to_json")
+@register("entity_to_json",
+          "SELECT '{\"award_id_piid\":' || CAST(l_orderkey AS VARCHAR) || ',\"federal_action_obligation\":\"' || "
+          "CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) "
+          "AS VARCHAR) || '\",\"last_modified_date\":\"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '\"}' AS json "
+          "FROM lineitem")
 def q_entity_to_json(spark, sf_dir):
-    """Entity rows to JSON (decimals as text, nested objects) — rows check."""
+    """Entity rows to JSON (decimals as text, timestamps ISO)."""
     t = award_narrow(spark, sf_dir, ["award_id_piid", "federal_action_obligation", "last_modified_date"])
     return t.select(sinks.entity_json(t).alias("json"))
 

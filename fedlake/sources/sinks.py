@@ -71,14 +71,30 @@ def entity_from_csv_line(c, field_order: Sequence[str]) -> Column:
     return F.from_csv(F.col(c) if isinstance(c, str) else c, schema)
 
 
+def iso_text(c: Column, kind: str) -> Column:
+    """ISO text like Python's ``isoformat``: dates ``yyyy-MM-dd``; timestamps
+    ``yyyy-MM-ddTHH:mm:ss`` with ``.ffffff`` only when there are microseconds."""
+    if kind == "date":
+        return F.date_format(c, "yyyy-MM-dd")
+    micros = F.unix_micros(c.cast("timestamp")) % 1000000
+    return F.when(micros == 0, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")) \
+        .otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def entity_json(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Entity row -> JSON: decimals as strings, dates ISO, nested as
-    objects, null keys omitted."""
-    from pyspark.sql.types import DecimalType
+    """Entity row -> JSON: decimals as strings, dates and timestamps as
+    ISO text, nested structs as objects, null keys omitted."""
+    from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
     cols = []
     for f in df.schema.fields:
         if columns and f.name not in columns:
             continue
         c = F.col(f"`{f.name}`")
-        cols.append((c.cast("string") if isinstance(f.dataType, DecimalType) else c).alias(f.name))
+        if isinstance(f.dataType, DecimalType):
+            c = c.cast("string")
+        elif isinstance(f.dataType, DateType):
+            c = iso_text(c, "date")
+        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            c = iso_text(c, "timestamp")
+        cols.append(c.alias(f.name))
     return F.to_json(F.struct(*cols))
