@@ -112,11 +112,13 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     try:
-        n_files = len(df.inputFiles())
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if not SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
+            return df  # large inputs come in many files; tiny ones are broadcast sides
+        n_files = len(df._jdf.inputFiles())  # counted on the JVM side, not copied
     except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
         return df
-    if n_files < cores and SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
+    if n_files < cores:
         return df.repartition(cores)
     return df
 
