@@ -223,3 +223,19 @@ def q_set_union(spark, sf_dir):
     c = load(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey"))
     s = load(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nationkey"))
     return setops.set_union(c, s)
+
+
+@register("latest_with_total",
+          "WITH g AS (SELECT o_custkey, max(o_orderdate) AS m, count(*) AS total_count FROM orders "
+          "WHERE o_custkey IS NOT NULL GROUP BY o_custkey), "
+          "t AS (SELECT o.*, g.total_count FROM orders o JOIN g ON o.o_custkey = g.o_custkey "
+          "AND o.o_orderdate IS NOT DISTINCT FROM g.m), "
+          "c AS (SELECT o_custkey, count(*) AS row_count FROM t GROUP BY o_custkey) "
+          "SELECT t.o_custkey, t.o_orderkey, '$' || format('{:,.2f}', t.o_totalprice) AS o_totalprice, c.row_count, "
+          "t.total_count, strftime(t.o_orderdate, '%Y-%m-%d') AS o_orderdate FROM t JOIN c ON t.o_custkey = c.o_custkey")
+def q_latest_with_total(spark, sf_dir):
+    """A3 with ``total_count``: the latest order(s) per customer, the number
+    tied at the latest date and the customer's total number of orders."""
+    orders = load(spark, sf_dir, "orders")
+    return summary.latest_by_group(orders, "o_custkey", "o_orderdate", "o_totalprice",
+                                   fields=["o_orderkey", "o_totalprice", "row_count", "o_orderdate"], with_total=True)
