@@ -43,9 +43,14 @@ def latest_sql(source: str, group: str, date: str, value: str, fields: list[str]
 ORDERS_FIELDS = ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "row_count", "o_orderdate"]
 
 
+def _facts(spark, sf_dir, name):
+    # the scan feeds a partial aggregation directly: no round-robin spread
+    return load(spark, sf_dir, name, spread_input=False)
+
+
 def flagship(spark, sf_dir):
     """A3 on ``orders``: latest order(s) per customer, sorted by total price."""
-    orders = load(spark, sf_dir, "orders")
+    orders = _facts(spark, sf_dir, "orders")
     return summary.latest_by_group(orders, "o_custkey", "o_orderdate", "o_totalprice", fields=ORDERS_FIELDS)
 
 
@@ -59,7 +64,7 @@ LINE_FIELDS = ["l_orderkey", "l_linenumber", "l_extendedprice", "row_count", "l_
                                        ["l_partkey"] + LINE_FIELDS))
 def latest_by_part(spark, sf_dir):
     """A3 on ``lineitem`` grouped by part (a wider fact table, 1 row per line)."""
-    li = load(spark, sf_dir, "lineitem")
+    li = _facts(spark, sf_dir, "lineitem")
     return summary.latest_by_group(li, "l_partkey", "l_shipdate", "l_extendedprice", fields=LINE_FIELDS)
 
 
@@ -94,14 +99,14 @@ for _key, _group, _extras in VIEWS:
                        "WHERE o_custkey IS NOT NULL GROUP BY o_custkey")
 def q_group_max(spark, sf_dir):
     """A1: latest order date per customer."""
-    return summary.group_max(load(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
+    return summary.group_max(_facts(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
 
 
 @register("group_size", "SELECT l_suppkey, count(*) AS row_count FROM lineitem "
                         "WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey")
 def q_group_size(spark, sf_dir):
     """A2: line count per supplier."""
-    return summary.group_size(load(spark, sf_dir, "lineitem"), "l_suppkey")
+    return summary.group_size(_facts(spark, sf_dir, "lineitem"), "l_suppkey")
 
 
 @register("join_inner_composite",
@@ -161,7 +166,7 @@ def q_top_100(spark, sf_dir):
                      "ORDER BY t.o_totalprice DESC NULLS LAST, t.o_custkey, t.o_orderkey LIMIT 5"))
 def q_head_5(spark, sf_dir):
     """First five rows of the flagship report (total order with tiebreak)."""
-    orders = load(spark, sf_dir, "orders")
+    orders = _facts(spark, sf_dir, "orders")
     return summary.latest_by_group(orders, "o_custkey", "o_orderdate", "o_totalprice", fields=ORDERS_FIELDS,
                                    tiebreak=["o_orderkey"]).limit(5)
 
@@ -236,6 +241,6 @@ def q_set_union(spark, sf_dir):
 def q_latest_with_total(spark, sf_dir):
     """A3 with ``total_count``: the latest order(s) per customer, the number
     tied at the latest date and the customer's total number of orders."""
-    orders = load(spark, sf_dir, "orders")
+    orders = _facts(spark, sf_dir, "orders")
     return summary.latest_by_group(orders, "o_custkey", "o_orderdate", "o_totalprice",
                                    fields=["o_orderkey", "o_totalprice", "row_count", "o_orderdate"], with_total=True)
