@@ -1,7 +1,6 @@
 """File sources and sinks on small written fixtures."""
 
 import gzip
-import io
 import json
 import zipfile
 
