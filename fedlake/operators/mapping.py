@@ -123,6 +123,11 @@ def map_template(df: DataFrame, template: str) -> Column:
     return F.concat(*parts)
 
 
+def map_template_object(df: DataFrame, spec: dict) -> Column:
+    """An object whose fields are groups of templates (``agencies.awarding.ref``)."""
+    return _template_object(df, spec)
+
+
 def _template_object(df: DataFrame, spec: dict) -> Column:
     parts = []
     for k, v in (spec.get("fields") or {}).items():

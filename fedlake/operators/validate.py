@@ -14,6 +14,7 @@ Rule dict keys: ``field``, ``type``, ``params`` (dict), optional ``id``,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -166,8 +167,6 @@ def _message(r: Rule) -> Column:
     tmpl = r.message or f"{r.type} check failed for {{field}}"
     parts: list[Column] = []
     i = 0
-    import re
-
     for m in re.finditer(r"\{(field|value|operator|compare_to)\}", tmpl):
         if m.start() > i:
             parts.append(F.lit(tmpl[i:m.start()]))

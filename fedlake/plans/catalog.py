@@ -26,13 +26,14 @@ def register(key: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules fills REGISTRY
-    from . import (  # noqa: F401
-        summary_queries,
-    )
+    import importlib
+
+    from . import summary_queries  # noqa: F401
+
     for mod in ("clean_queries", "validate_queries", "entity_queries", "store_queries", "derive_queries",
                 "metric_queries", "source_queries", "stream_queries", "conversion"):
         try:
-            __import__(f"{__package__}.{mod}")
+            importlib.import_module(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:  # modules arrive as the build widens
             if mod not in str(e):
                 raise

@@ -157,7 +157,7 @@ def q_map_template(spark, sf_dir):
     """``{a}:{b}`` templates (null if any part is null)."""
     t = transactions_for(spark, sf_dir, CONTRACT)
     tp = CONTRACT["field_mappings"]["template"]
-    m = t.select("contract_award_unique_key", *[mapping._template_object(t, v).alias(k) for k, v in tp.items()])
+    m = t.select("contract_award_unique_key", *[mapping.map_template_object(t, v).alias(k) for k, v in tp.items()])
     return mapping.flatten(m)
 
 

@@ -7,6 +7,7 @@ the cleaning rules), never with schema inference.
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -140,7 +141,7 @@ def scan_zip_csv(spark: SparkSession, root: str, columns: Sequence[str] | None =
         head = lines.where(F.col("line_no") == 0).select("line").limit(1).collect()
         if not head:
             raise ValueError("no CSV members found")
-        columns = next(iter(__import__("csv").reader([head[0]["line"]])))
+        columns = next(csv.reader([head[0]["line"]]))
     schema = ", ".join(f"`{c}` string" for c in columns)
     body = lines.where(F.col("line_no") > 0)
     parsed = body.select("archive", "member", "line_no",
