@@ -80,6 +80,14 @@ def q_completeness_report(spark, sf_dir):
     return reps[0].unionByName(reps[1])
 
 
+@register("completeness_overall",
+          f"SELECT \"table\", CASE WHEN sum(total) > 0 THEN sum(filled) * 100.0 / sum(total) ELSE 0.0 END AS pct "
+          f"FROM ({_completeness_sql()}) GROUP BY \"table\"")
+def q_completeness_overall(spark, sf_dir):
+    """Overall filled/total ratio per table (0 when empty)."""
+    return metrics.overall_completeness(q_completeness_report(spark, sf_dir))
+
+
 # The threshold minimums the source's report checks use.
 THRESHOLDS = [("validity_pct", 70.0), ("completeness_pct", 80.0), ("routing_pct", 60.0)]
 
