@@ -296,3 +296,16 @@ def q_scan_json_doc(spark, sf_dir):
                                                             T.StructField("name", T.StringType())])))]))
     return back.select("region_key", "region_name", F.size("nations").cast("bigint").alias("n_nations"),
                        F.array_join(F.transform("nations", lambda x: x["name"]), ",").alias("nations"))
+
+
+@register("write_json",
+          "SELECT '{\"o_orderkey\":' || CAST(o_orderkey AS VARCHAR) || ',\"o_custkey\":' || CAST(o_custkey AS VARCHAR) "
+          "|| ',\"o_orderstatus\":\"' || o_orderstatus || '\",\"o_totalprice\":' || CAST(o_totalprice AS VARCHAR) || "
+          "',\"o_orderdate\":\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '\",\"o_orderpriority\":\"' || "
+          "o_orderpriority || '\"}' AS line FROM orders")
+def q_write_json(spark, sf_dir):
+    """Orders written as gzip JSON lines (timestamps with microseconds);
+    the written text read back line by line."""
+    path = scratch_path(spark, "orders-json-text")
+    sinks.write_json(load(spark, sf_dir, "orders"), path, compress=True)
+    return spark.read.text(path).select(F.col("value").alias("line"))
