@@ -184,6 +184,21 @@ def mapped_sources(spec: dict) -> list[str]:
     return list(dict.fromkeys(srcs))
 
 
+def spec_sources(spec: dict) -> list[str]:
+    """Every input column a spec reads (mappings, reference keys, templates), in
+    a fixed order: direct, multi-source, object fields, references, templates."""
+    srcs = mapped_sources(spec)
+    for rf in (spec.get("field_mappings", {}).get("reference") or {}).values():
+        if "key_field" in rf:
+            srcs.append(rf["key_field"])
+        else:
+            p = rf.get("key_prefix")
+            srcs += [f"{p}_{k}" if p else k for k in rf["key_fields"]]
+    for tp in (spec.get("field_mappings", {}).get("template") or {}).values():
+        srcs += _TEMPLATE_PART.findall(str(tp))
+    return list(dict.fromkeys(srcs))
+
+
 def entity_match(df: DataFrame, spec: dict) -> Column:
     """All key fields present (after mapping) and any mapped source present.
     Raw records are heterogeneous, so absent sources are expected here (no warning)."""
@@ -233,29 +248,41 @@ def entity_envelope(df: DataFrame, entity_type: str, spec: dict, version: str =
 def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> DataFrame:
     """Distinct entities by key: one row per key (null keys dropped).
 
-    When records disagree, the one with the largest ``order_by`` tuple wins
-    (e.g. latest ``last_modified_date``, then modification number), then the
-    largest record value, so the result is fully deterministic. Built with
-    ``max_by`` so it aggregates map-side: a hot key never ships its raw
-    records to one task.
+    The surviving source record per key is the one with the largest
+    ``order_by`` tuple (e.g. latest ``last_modified_date``, then modification
+    number), then the largest source record, so the result is fully
+    deterministic; it is mapped after the choice. Built with a ``max`` over
+    ``struct(order..., source columns)``: it aggregates map-side (a hot key
+    never ships its raw records to one task) and only the columns the spec
+    reads cross the shuffle, not the mapped structs and constants.
     """
-    m = compile_mappings(df, spec)
     keys = spec["key_fields"]
-    mapped = df.select(*[c.alias(n) for n, c in m.items()],
-                       *[F.col(o).alias(f"__ord{i}") for i, o in enumerate(order_by)])
-    nonnull = F.lit(True)
-    for k in keys:
-        nonnull = nonnull & key_column(k).isNotNull()
-    mapped = mapped.where(nonnull).withColumns({k.replace(".", "_"): key_column(k) for k in keys})
+    m = compile_mappings(df, spec)
     key_names = [k.replace(".", "_") for k in keys]
-    payload = F.struct(*[F.col(n) for n in m])
-    # ties on the order columns are broken by the record itself, so the pick
-    # never depends on input order
-    # max over one struct (order columns, then the record): a single
-    # aggregation buffer instead of max_by's value + ordering pair
-    agg = F.max(F.struct(*[F.col(f"__ord{i}") for i in range(len(order_by))], payload.alias("__payload")))
-    flat_keys = [k.replace(".", "_") for k in keys if "." not in k and k.replace(".", "_") not in m]
-    return mapped.groupBy(*key_names).agg(agg.alias("_m")).select(*[F.col(k) for k in flat_keys], "_m.__payload.*")
+
+    def key_expr(k):
+        head, _, rest = k.partition(".")
+        c = m[head] if head in m else F.col(f"`{head}`")
+        for part in rest.split(".") if rest else []:
+            c = c.getField(part)
+        return c
+
+    srcs = [c for c in spec_sources(spec) if c in df.columns]
+    internal = [f"__k{i}" for i in range(len(keys))]
+    pre = df.select(*[key_expr(k).alias(n) for k, n in zip(keys, internal)],
+                    *[F.col(f"`{o}`").alias(f"__ord{i}") for i, o in enumerate(order_by)],
+                    F.struct(*[F.col(f"`{c}`") for c in srcs]).alias("__src"))
+    nonnull = F.lit(True)
+    for n in internal:
+        nonnull = nonnull & F.col(n).isNotNull()
+    pre = pre.where(nonnull)
+    best = F.max(F.struct(*[F.col(f"__ord{i}") for i in range(len(order_by))], F.col("__src")))
+    rows = pre.groupBy(*internal).agg(best.alias("_m")).select(*internal, "_m.__src.*")
+    with warnings.catch_warnings():  # absent sources were reported on the first mapping
+        warnings.simplefilter("ignore")
+        mapped = compile_mappings(rows.drop(*internal), spec)
+    flat_keys = [(i, n) for (k, n), i in zip(zip(keys, key_names), internal) if "." not in k and n not in mapped]
+    return rows.select(*[F.col(i).alias(n) for i, n in flat_keys], *[c.alias(n) for n, c in mapped.items()])
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:

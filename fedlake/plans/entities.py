@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.mapping import mapped_sources
+from ..operators.mapping import spec_sources
 from .award import award_narrow, award_narrow_sql, narrow_spec
 
 AGENCY = {
@@ -206,17 +206,7 @@ RELATIONSHIPS = [
 def bound_sources(spec: dict, extra=()) -> list[str]:
     """Award columns a spec reads that the test binding provides."""
     spec_cols = narrow_spec()
-    srcs = mapped_sources(spec)
-    for rf in (spec.get("field_mappings", {}).get("reference") or {}).values():
-        if "key_field" in rf:
-            srcs.append(rf["key_field"])
-        else:
-            p = rf.get("key_prefix")
-            srcs += [f"{p}_{k}" if p else k for k in rf["key_fields"]]
-    import re
-    for tp in (spec.get("field_mappings", {}).get("template") or {}).values():
-        srcs += re.findall(r"\{([^{}]+)\}", str(tp))
-    return [c for c in dict.fromkeys(list(srcs) + list(extra)) if c in spec_cols]
+    return [c for c in dict.fromkeys(spec_sources(spec) + list(extra)) if c in spec_cols]
 
 
 def transactions_for(spark: SparkSession, sf_dir: str, *specs: dict, extra=()) -> DataFrame:

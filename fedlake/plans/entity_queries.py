@@ -297,35 +297,28 @@ def _desc(cols):
     return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
 
 
-_RECIP_PAYLOAD = ["uei", "parent_uei", "name", "dba_name", "parent_name", "veteran_owned_business",
-                  "emerging_small_business", "naics_code", "naics_description", "contact_phone", "contact_fax",
-                  "contact_type", "location_ref_entity", "location_ref_reference_type", "location_ref_key"]
-_CONTRACT_PAYLOAD = [
-    "contract_award_unique_key", "award_id_piid", "award_id", "piid", "parent_piid", "description", "type",
-    "performance_start", "performance_end", "historical_totals_as_of_date",
-    "historical_totals_total_contract_values_base_and_exercised_options_value",
-    "historical_totals_total_contract_values_base_and_all_potential_options_value",
-    "historical_totals_total_contract_values_cumulative_contract_obligations",
-    "historical_totals_total_contract_values_potential_total_value_of_award", "type_of_contract_pricing_code",
-    "type_of_contract_pricing_description", "prime_award_is_prime", "prime_award_description", "recipient_ref_entity",
-    "recipient_ref_reference_type", "recipient_ref_key", "recipient_parent_ref_entity",
-    "recipient_parent_ref_reference_type", "recipient_parent_ref_key", "place_of_performance_ref_entity",
-    "place_of_performance_ref_reference_type", "place_of_performance_ref_key", "agencies_awarding_ref",
-    "agencies_awarding_sub_ref", "agencies_awarding_office_ref", "agencies_funding_ref", "agencies_funding_sub_ref",
-    "agencies_funding_office_ref", "agencies_parent_award_ref"]
-_TXN_PAYLOAD = ["contract_transaction_unique_key", "transaction_id", "action_date", "action_type",
-                "modification_number", "description", "federal_action_obligation", "created_at", "last_modified_at",
-                "modification_details_number", "modification_details_description", "modification_details_type",
-                "financial_details_obligation_amount", "financial_details_base_exercised_options_val",
-                "financial_details_base_and_all_options_value", "contract_ref_entity", "contract_ref_reference_type",
-                "contract_ref_key"]
-
-
-def _latest_sql(inner, key, order):
-    return (f"SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
+def _latest_sql(inner, key, order, drop=()):
+    excl = ", ".join(["__rn", *drop])
+    return (f"SELECT * EXCLUDE ({excl}) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
             f"AS __rn FROM ({inner})) WHERE __rn = 1")
 
 
+def _srcs(spec):
+    """The spec's source columns the binding provides, in the order extraction
+    compares them when breaking ties (``mapping.spec_sources``)."""
+    from ..operators.mapping import spec_sources
+    from .award import narrow_spec
+    return [c for c in spec_sources(spec) if c in narrow_spec()]
+
+
+def _src_select(spec):
+    return ", ".join(f"{c} AS __s_{c}" for c in _srcs(spec))
+
+
+def _src_names(spec):
+    return [f"__s_{c}" for c in _srcs(spec)]
+
+
 @register("extract_entity_agency",
           f"WITH t AS ({transactions_sql(AGENCY)}) SELECT DISTINCT * FROM (SELECT "
           f"{_fne('awarding_agency_code', 'funding_agency_code')} AS agency_code, "
@@ -368,14 +361,15 @@ _RECIP_SQL = (
     "CAST(NULL AS VARCHAR) AS contact_fax, 'primary' AS contact_type, 'location' AS location_ref_entity, "
     "'primary_address' AS location_ref_reference_type, "
     f"{_keysql([c.replace('zip_4_code', 'zip_code') for c in _REC], pad=1)} AS location_ref_key, "
-    "last_modified_date, contract_transaction_unique_key FROM t WHERE recipient_uei IS NOT NULL")
+    f"last_modified_date, contract_transaction_unique_key, {_src_select(RECIPIENT)} FROM t "
+    "WHERE recipient_uei IS NOT NULL")
 
 
 @register("extract_entity_recipient",
           f"WITH t AS ({transactions_sql(RECIPIENT, extra=['last_modified_date', 'contract_transaction_unique_key'])})"
           " SELECT * EXCLUDE (last_modified_date, contract_transaction_unique_key) FROM (" +
-          _latest_sql(_RECIP_SQL, "uei", _desc(["last_modified_date", "contract_transaction_unique_key"] + _RECIP_PAYLOAD))
-          + ")")
+          _latest_sql(_RECIP_SQL, "uei", _desc(["last_modified_date", "contract_transaction_unique_key"] +
+                                               _src_names(RECIPIENT)), _src_names(RECIPIENT)) + ")")
 def q_extract_recipient(spark, sf_dir):
     """One recipient per UEI; when records disagree the latest record wins
     (last modified, then transaction key)."""
@@ -406,13 +400,14 @@ _CONTRACT_SQL = (
     "agencies_funding_ref, funding_agency_code || ':' || CAST(funding_sub_agency_code AS VARCHAR) AS "
     "agencies_funding_sub_ref, funding_agency_code || ':' || CAST(funding_sub_agency_code AS VARCHAR) || ':' || "
     "CAST(funding_office_code AS VARCHAR) AS agencies_funding_office_ref, CAST(NULL AS VARCHAR) AS "
-    "agencies_parent_award_ref, modification_number AS __mod FROM t")
+    f"agencies_parent_award_ref, modification_number AS __mod, {_src_select(CONTRACT)} FROM t")
 
 
 @register("extract_entity_contract",
           f"WITH t AS ({transactions_sql(CONTRACT, extra=['modification_number'])}) SELECT * EXCLUDE (__mod) FROM (" +
           _latest_sql(_CONTRACT_SQL, "contract_award_unique_key",
-                      _desc(["historical_totals_as_of_date", "__mod"] + _CONTRACT_PAYLOAD)) + ")")
+                      _desc(["historical_totals_as_of_date", "__mod"] + _src_names(CONTRACT)),
+                      _src_names(CONTRACT)) + ")")
 def q_extract_contract(spark, sf_dir):
     """One contract per award key from its latest modification
     (last modified date, then modification number)."""
@@ -422,8 +417,9 @@ def q_extract_contract(spark, sf_dir):
 
 
 @register("extract_entity_transaction",
-          f"WITH t AS ({transactions_sql(TRANSACTION)}) SELECT * EXCLUDE (__rn) FROM (SELECT *, row_number() OVER ("
-          f"PARTITION BY contract_transaction_unique_key ORDER BY {_desc(_TXN_PAYLOAD)}) AS __rn FROM ("
+          f"WITH t AS ({transactions_sql(TRANSACTION)}) SELECT * EXCLUDE (__rn, {', '.join(_src_names(TRANSACTION))}) "
+          f"FROM (SELECT *, row_number() OVER (PARTITION BY contract_transaction_unique_key ORDER BY "
+          f"{_desc(_src_names(TRANSACTION))}) AS __rn FROM ("
           "SELECT contract_transaction_unique_key, "
           "contract_transaction_unique_key AS transaction_id, action_date, action_type, modification_number, "
           "transaction_description AS description, federal_action_obligation, CAST(NULL AS VARCHAR) AS created_at, "
@@ -432,8 +428,8 @@ def q_extract_contract(spark, sf_dir):
           "federal_action_obligation AS financial_details_obligation_amount, current_total_value_of_award AS "
           "financial_details_base_exercised_options_val, potential_total_value_of_award AS "
           "financial_details_base_and_all_options_value, 'contract' AS contract_ref_entity, CAST(NULL AS VARCHAR) AS "
-          "contract_ref_reference_type, contract_award_unique_key AS contract_ref_key FROM t "
-          "WHERE contract_transaction_unique_key IS NOT NULL)) WHERE __rn = 1")
+          f"contract_ref_reference_type, contract_award_unique_key AS contract_ref_key, {_src_select(TRANSACTION)} "
+          "FROM t WHERE contract_transaction_unique_key IS NOT NULL)) WHERE __rn = 1")
 def q_extract_transaction(spark, sf_dir):
     """Transactions (unique key) with nested details and the contract reference."""
     return mapping.flatten(mapping.extract_entity(transactions_for(spark, sf_dir, TRANSACTION), TRANSACTION))
@@ -458,7 +454,7 @@ _CONTRACT_LATEST = (
     "SELECT contract_award_unique_key, recipient_ref_key AS recipient_key, agencies_awarding_office_ref AS "
     "awarding_ref, agencies_funding_office_ref AS funding_ref FROM (" +
     _latest_sql(_CONTRACT_SQL, "contract_award_unique_key",
-                _desc(["historical_totals_as_of_date", "__mod"] + _CONTRACT_PAYLOAD)) + ")")
+                _desc(["historical_totals_as_of_date", "__mod"] + _src_names(CONTRACT)), _src_names(CONTRACT)) + ")")
 _AGENCY_KEYS = ("SELECT DISTINCT awarding_agency_code || ':' || CAST(awarding_sub_agency_code AS VARCHAR) || ':' || "
                 "CAST(awarding_office_code AS VARCHAR) AS agency_key FROM t")
 _T_CONTRACT = "WITH t AS (" + transactions_sql(CONTRACT, AGENCY, extra=[
