@@ -101,9 +101,14 @@ def _report_fields(df: DataFrame, group: str, fields, additional_fields, with_to
 
 def _report(rows: DataFrame, group: str, date: str, value: str, out_fields: list[str], formatted: bool,
             tiebreak: Sequence[str]) -> DataFrame:
-    """Sort by value (largest first, nulls last), then format value and date."""
+    """Sort by value (largest first, nulls last), then format value and date.
+
+    The remaining output fields extend the sort key, so rows sharing one hot
+    value still spread over several range partitions."""
+    keys = [value, group, *tiebreak]
+    rest = [f for f in out_fields if f not in keys and f in rows.columns]
     ordered = rows.orderBy(F.col(value).desc_nulls_last(), F.col(group).asc_nulls_last(),
-                           *[F.col(t).asc_nulls_last() for t in tiebreak])
+                           *[F.col(t).asc_nulls_last() for t in [*tiebreak, *rest]])
     sel: list[Column] = []
     for f in out_fields:
         if formatted and f == value:
