@@ -114,3 +114,17 @@ def test_find_path():
             {"id": "c2a", "sourceEntity": "contract", "targetEntity": "agency"}]
     assert [d["id"] for d in relations.find_path(defs, "transaction", "agency")] == ["t2c", "c2a"]
     assert relations.check_definition({"id": "h", "relationshipType": "hierarchical", "cardinality": "one_to_one"})
+
+
+def test_role_edges_and_resolution(spark):
+    c = spark.createDataFrame([("c1", "a:1", "a:9", None), ("c2", "a:1", None, None)],
+                              "id string, aw string, fu string, pa string")
+    edges = relations.role_edges(c, "contract", "id", {"awarding": F.col("aw"), "funding": F.col("fu"),
+                                                       "parent_award": F.col("pa")}, "agency",
+                                 "contract_to_{role}_agency")
+    agencies = spark.createDataFrame([("a:1",)], "agency_key string")
+    got = sorted((r.src_id, r.rel, r.dst_id, r.dst_found)
+                 for r in relations.resolve_edges(edges, agencies, "agency_key").collect())
+    assert got == [("c1", "contract_to_awarding_agency", "a:1", True),
+                   ("c1", "contract_to_funding_agency", "a:9", False),
+                   ("c2", "contract_to_awarding_agency", "a:1", True)]
