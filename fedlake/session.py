@@ -9,7 +9,9 @@ shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,8 +56,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The session's own setting wins; only when it is unset (local tests) do we
-    pick a private scratch folder.
+    The session's own setting wins. Where it is unset a private scratch folder
+    is used, but only for a local master: on a cluster every executor would
+    write to its own disk, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,11 +67,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fedlake-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: functions that
+    run in Python workers are pickled by reference to it. A local master reads
+    it from the driver's own path."""
+    sc = spark.sparkContext
+    if re.fullmatch(r"local(\[.*\])?", sc.master) or sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as tmp:
+        path = os.path.join(tmp, "fedlake.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(here):
+                for n in sorted(names):
+                    if n.endswith((".py", ".yaml")):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(here)))
+        sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written tables."""
     import uuid
