@@ -8,8 +8,10 @@ shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import zipfile
 
@@ -82,15 +84,17 @@ def ship_package(spark: SparkSession) -> None:
     if re.fullmatch(r"local(\[.*\])?", sc.master) or sc.applicationId in _SHIPPED:
         return
     here = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as tmp:
-        path = os.path.join(tmp, "fedlake.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            for folder, _, names in os.walk(here):
-                for n in sorted(names):
-                    if n.endswith((".py", ".yaml")):
-                        full = os.path.join(folder, n)
-                        z.write(full, os.path.relpath(full, os.path.dirname(here)))
-        sc.addPyFile(path)
+    # executors fetch the file from the driver whenever they start, so it stays until the driver ends
+    tmp = tempfile.mkdtemp(prefix="fedlake-package-")
+    atexit.register(shutil.rmtree, tmp, ignore_errors=True)
+    path = os.path.join(tmp, "fedlake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith((".py", ".yaml")):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 
 
