@@ -50,3 +50,27 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text of documents by the rank file, and the text decoded from them, as digests."""
+    import public_tokenizers as P
+
+    from .byte_bpe import decode, encode
+
+    ranks = P.path("byte_bpe_multi_50k.tiktoken")
+    coded = encode(table(spark, sf_dir, "documents"), ranks, P.PATTERN)
+    return decode(coded, ranks, P.PATTERN).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from wavelet-matrix shards of all of documents."""
+    import public_tokenizers as P
+
+    from .token_shards import read_shards, write_shards
+
+    path = write_shards(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
+    return read_shards(spark, path)
