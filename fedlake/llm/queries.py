@@ -74,3 +74,14 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = write_shards(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
     return read_shards(spark, path)
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text of documents, by a network that learned labels.quality."""
+    from .quality import THRESHOLD, held_out, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, *train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
