@@ -85,3 +85,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, *train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@query()
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    from .ngram_join import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
