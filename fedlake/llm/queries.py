@@ -93,3 +93,19 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import near_groups
 
     return near_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query()
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page of pages."""
+    from .html_text import extract
+
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20, over all of embeddings."""
+    from .multi_index import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
