@@ -109,3 +109,11 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .multi_index import search
 
     return search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@query()
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff trigram score of every whole text of documents, by counts over all other documents."""
+    from .lm_backoff import score
+
+    return score(table(spark, sf_dir, "documents"))
