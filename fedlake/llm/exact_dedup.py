@@ -93,3 +93,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("e.n_points").alias("n_points"),
         F.col("e.place").alias("place"),
     )
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group of equal texts, with all their columns."""
+    names = docs.columns
+    key = ["_id", "_digest", "_points"]
+    groups = exact_groups(docs, id_col, text_col)
+    stay = groups.where("kept").select(
+        F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_digest"), F.col("n_points").alias("_points"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("_id"),
+        F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256)).alias("_digest"),
+        F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("_points"))
+    stay, _ = materialize(stay, "digest_stay")
+    kept = rows.alias("r").join(
+        stay.alias("s"), F.col("r._id").eqNullSafe(F.col("s._id")) & (F.col("r._digest") == F.col("s._digest"))
+        & (F.col("r._points") == F.col("s._points")), "left_semi")
+    # rows that agree in id and text: one of them
+    repeated = groups.groupBy(id_col, "text_sha256", "n_points").count().where("count > 1").limit(1).count()
+    if repeated:
+        kept = kept.dropDuplicates(key)
+    return kept.select("row.*")

@@ -86,11 +86,39 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     source's taken words differ from its target by at most half of the size
     of the document (or such rows) at its threshold. An empty table gives no rows.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col(id_col), text), 64 - HASH_BITS).alias("hash"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                       word_count(F.col(text_col)).alias("size"), _hash(id_col, text_col).alias("hash"))
     rows, _ = materialize(rows, "mix_rows")
+    taken = F.col("size") * _copies()
+    return _salted(rows, _plan(rows)).select(
+        F.col("doc_id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it is taken, with the columns of ``docs``.
+
+    Documents without words carry nothing into a mix and go.
+    """
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(source_col).alias("source"),
+                       word_count(F.col(text_col)).alias("size"), _hash(id_col, text_col).alias("hash"))
+    sizes, _ = materialize(rows.select("source", "size", "hash"), "mix_sizes")
+    taken = _salted(rows.where("size > 0"), _plan(sizes)).withColumn("copies", _copies())
+    return taken.where("copies > 0").select(
+        "row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+
+
+def _hash(id_col: str, text_col: str) -> Column:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col(id_col), text), 64 - HASH_BITS)
+
+
+def _copies() -> Column:
+    return F.col("copies") + (F.col("hash") < F.col("limit")).cast("long")
+
+
+def _plan(rows: DataFrame) -> DataFrame:
+    """For each source of (source, size, hash): source_size, target, whole copies, and the limit below which a hash adds one."""
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("copies", F.least(copies, F.lit(MOST)).cast("long")).withColumn(
@@ -105,31 +133,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         shift = HASH_BITS - BITS * level
         bucket = F.shiftleft(F.shiftright("hash", shift), shift)
         sums = inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-        sums = sums.alias("h").join(state.select("source", "edge", "left").alias("s"), F.col("h.source").eqNullSafe(F.col("s.source"))).select(
+        sums = sums.alias("h").join(state.select("source", "left").alias("s"),
+                                    F.col("h.source").eqNullSafe(F.col("s.source"))).select(
             "h.source", "bucket", "words", "left")
         # at most 2^BITS buckets a source
         below = F.coalesce(F.sum("words").over(
             Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         boundary = sums.withColumn("below", below).where(
             (F.col("below") <= F.col("left")) & (F.col("below") + F.col("words") > F.col("left")))
-        boundary = boundary.select("source", F.col("bucket").alias("edge"), (F.col("left") - F.col("below")).alias("left"),
-                                   "words")
-        boundary, _ = materialize(boundary, f"mix_boundary{level}")
-        state = boundary
+        boundary = boundary.select("source", F.col("bucket").alias("edge"),
+                                   (F.col("left") - F.col("below")).alias("left"), "words")
+        state, _ = materialize(boundary, f"mix_boundary{level}")
         if level < ROUNDS:
-            inside = _of_boundary(inside, boundary.select("source", "edge"), shift)
-            inside, _ = materialize(inside, f"mix_inside{level}")
+            inside, _ = materialize(_of_boundary(inside, state.select("source", "edge"), shift), f"mix_inside{level}")
     # the last boundary bucket holds one document (or rows of one hash): it is taken if that comes nearer
     limits = state.select("source", F.when(F.col("left") * 2 >= F.col("words"), F.col("edge") + 1)
                           .otherwise(F.col("edge")).alias("limit"))
-    plan = targets.alias("t").join(limits.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left").select(
+    return targets.alias("t").join(limits.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left").select(
         "t.source", "source_size", "target", "copies",
         # without a boundary the source is taken whole (again) or, with nothing left to draw, not at all
         F.coalesce("limit", F.when(F.col("budget") > 0, F.lit(1 << HASH_BITS)).otherwise(0)).alias("limit"))
-    joined = _salted(rows, plan)
-    taken = F.col("size") * (F.col("copies") + (F.col("hash") < F.col("limit")).cast("long"))
-    return joined.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", taken.alias("taken"),
-                         F.col("hash").alias("mix_hash"))
 
 
 def _salted(rows: DataFrame, per_source: DataFrame) -> DataFrame:

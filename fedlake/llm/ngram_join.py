@@ -299,6 +299,21 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
                          F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of linked documents the one of the smallest id, with all its columns.
+
+    Rows with a null id stay all; of rows that repeat an id one stays.
+    """
+    groups = near_groups(docs, k, percent, id_col, text_col)
+    alone, _ = materialize(groups.where(F.col("component_id") == F.col(id_col)).select(
+        F.col(id_col).alias("_id")), "near_stay")
+    stay = alone.distinct()
+    kept = docs.alias("d").join(stay, F.col(f"d.{id_col}") == F.col("_id"), "left_semi")
+    if alone.groupBy("_id").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _united(member: DataFrame) -> DataFrame:
     """Unite the components of rows that share an id."""
     known = member.where("id is not null")
