@@ -117,3 +117,12 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_backoff import score
 
     return score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text of documents without the bytes that strings of 400 repeated bytes cover."""
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
