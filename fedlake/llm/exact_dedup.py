@@ -74,7 +74,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # digests with more than one row need it
     shared = final.where(F.col("rows") > 1)
     shared, _ = materialize(shared.withColumn("run", F.lit(0)), "digest_shared")
-    for shift in reversed(shifts[:-1] + [0]):
+    for shift in [*reversed(shifts[:-1]), 0]:
         low = entries.select(*KEY, F.shiftleft(F.shiftright("run", shift), shift).alias("run")).distinct()
         parent = F.shiftleft(F.shiftright(F.col("c.run"), shift + RADIX_BITS), shift + RADIX_BITS)
         up = shared.alias("u")
