@@ -19,13 +19,7 @@ def _read(spark, path: str, fmt: str):
     if fmt == "csv":
         return files.scan_csv(spark, path)
     if fmt == "jsonl":
-        import json
-        first = spark.read.text(path).limit(1).collect()
-        if not first:
-            raise SystemExit(f"no records in {path}")
-        from pyspark.sql import types as T
-        schema = T.StructType([T.StructField(k, T.StringType()) for k in json.loads(first[0][0])])
-        return files.scan_jsonl(spark, path, schema)
+        return files.scan_jsonl(spark, path, files.jsonl_schema(spark, path))
     return spark.read.parquet(path)
 
 

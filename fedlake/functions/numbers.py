@@ -51,7 +51,7 @@ def num_round_clamp(c, ndigits: int | None = None, min_value=None, max_value=Non
     if max_value is not None:
         v = F.when(v.isNotNull() & (v > F.lit(max_value)), F.lit(max_value).cast("decimal(38,10)")).otherwise(v)
     out = v.cast("bigint") if integer else v.cast("double")
-    return on_bad(out, raw.isNull() | v.isNotNull(), on_error, "Invalid numeric value")
+    return on_bad(out, raw.isNull() | v.isNotNull(), on_error, "Invalid numeric value", raw)
 
 
 def money_parse(c) -> Column:

@@ -18,7 +18,7 @@ from ._common import as_col, on_bad
 def str_trim(c) -> Column:
     """strip leading/trailing whitespace of every kind (not only spaces)."""
     c = as_col(c).cast("string")
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def str_upper(c) -> Column:
@@ -53,7 +53,7 @@ def str_match(c, pattern: str, on_error: str = "null") -> Column:
     """value must match ``pattern`` at its start (prefix match)."""
     c = as_col(c)
     ok = c.rlike(f"^(?:{pattern})")
-    return on_bad(c, c.isNull() | ok, on_error, f"Value does not match pattern: {pattern}")
+    return on_bad(c, c.isNull() | ok, on_error, f"Value does not match pattern: {pattern}", c)
 
 
 def str_strip_chars(c, chars: str) -> Column:

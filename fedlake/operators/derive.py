@@ -124,21 +124,32 @@ def calculate(name: str, cols: Sequence, **params) -> Column:
     return _CALCULATIONS[name](list(cols) if name == "formula" else _cols(cols), **params)
 
 
-def derive_fields(df: DataFrame, derived: dict[str, dict]) -> DataFrame:
+def derive_fields(df: DataFrame, derived: dict[str, dict], on_missing: str = "raise") -> DataFrame:
     """Apply ``{target: {type, sources, default?, ...params}}`` derivations in one projection.
 
-    A missing result takes ``default`` when one is given (P16).
+    A missing result takes ``default`` when one is given. A ``required`` field without a result fails
+    the job (P16); ``on_missing="flag"`` instead collects the names of such fields in ``missing_fields``.
     """
-    new = {}
+    new: dict[str, Column] = {}
+    missing: list[Column] = []
     for target, spec in derived.items():
         spec = dict(spec)
-        kind = spec.pop("type")
-        sources = spec.pop("sources")
+        kind = spec.pop("type", None) or spec.pop("calculation")
+        # both spellings of the two configuration shapes
+        sources = spec.pop("sources", None) or spec.pop("source_fields")
+        spec.update(spec.pop("parameters", None) or {})
+        required = spec.pop("required", False)
         default = spec.pop("default", None)
         col = calculate(kind, sources, **spec)
         if default is not None:
             col = F.coalesce(col, F.lit(default))
+        if required and on_missing == "raise":
+            col = F.when(col.isNotNull(), col).otherwise(F.raise_error(F.lit(f"required field {target} has no value")))
+        elif required:
+            missing.append(F.when(col.isNull(), F.lit(target)))
         new[target] = col
+    if on_missing == "flag":
+        new["missing_fields"] = F.array_compact(F.array(*missing)) if missing else F.array().cast("array<string>")
     return df.withColumns(new)
 
 

@@ -1,7 +1,8 @@
-"""Join helpers: size-checked broadcast, null-safe keys, FK checks.
+"""Join helpers: joins sized by statistics, null-safe keys, FK checks.
 
-A side is broadcast only after its row count has been measured and its
-estimated width times that count fits under ``max_bytes``; otherwise the join
+No side is hinted. Spark broadcasts a side only when its file sizes (times
+``spark.sql.sources.fileCompressionFactor``) or the bytes AQE has seen at run
+time fit under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join
 stays a shuffle join, where AQE's skew-join handling splits a hot key's
 partition across several tasks.
 """
@@ -12,73 +13,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize as _materialize
 
-# 64 MiB of estimated row payload is well inside an executor's broadcast budget.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", *, materialize: bool = False) -> DataFrame:
+    """Join ``big`` with a side that is often, but not surely, small.
 
-def _type_bytes(dt: T.DataType) -> int:
-    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, (T.ShortType, T.ByteType, T.BooleanType)):
-        return 2
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 100
-    return 24  # strings/binary: Spark's planner default is 20 bytes + header
-
-
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Schema-based width estimate of one row (plus row overhead)."""
-    return 16 + sum(_type_bytes(f.dataType) for f in df.schema.fields)
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("fedlake.broadcast.maxBytes", None)
-    max_bytes = int(conf) if conf else DEFAULT_BROADCAST_BYTES
-    return max(1, max_bytes // estimated_row_bytes(df))
-
-
-_MEASURED: dict[tuple[int, int, int], bool] = {}
-
-
-def fits_broadcast(small: DataFrame, max_rows: int | None = None) -> bool:
-    """Measure the side against the bound: ``limit(n+1).count()`` stops
-    scanning as soon as the bound is exceeded. A verdict is remembered per
-    session and plan (``semanticHash``), so a dimension used by many joins is
-    measured once."""
-    limit = broadcast_limit(small) if max_rows is None else max_rows
-    key = (id(small.sparkSession), small.semanticHash(), limit)
-    if key not in _MEASURED:
-        _MEASURED[key] = small.limit(limit + 1).count() <= limit
-    return _MEASURED[key]
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               *, materialize: bool = False, max_rows: int | None = None) -> DataFrame:
-    """Join ``big`` with a side expected to be small, broadcasting it only if
-    the measured size is within bounds.
-
-    ``materialize`` writes a derived ``small`` to the shared folder first
-    (counting its rows in the same job), so the size check and the join read
-    the same stored rows instead of recomputing them.
+    ``materialize`` writes a derived ``small`` to the shared folder first, so
+    its real size in bytes is known to the planner and it is computed once.
     """
     if materialize:
-        small, n = _materialize(small, "join-side")
-        limit = broadcast_limit(small) if max_rows is None else max_rows
-        fits = n <= limit
-    else:
-        fits = fits_broadcast(small, max_rows)
-    if fits:
-        return big.join(F.broadcast(small), on, how)
+        small, _ = _materialize(small, "join-side")
     return big.join(small, on, how)
 
 
@@ -96,7 +42,7 @@ def _key_set(parent: DataFrame, parent_key: str) -> DataFrame:
 
 def fk_valid(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Rows of ``child`` whose key exists in ``parent`` (J7, semi join against
-    the distinct parent keys, broadcast only when measured small)."""
+    the distinct parent keys)."""
     return join_small(child, _key_set(parent, parent_key), F.col(child_key) == F.col("__pk"), "left_semi",
                       materialize=True)
 

@@ -60,21 +60,18 @@ def map_multi_source(df: DataFrame, sources: Sequence[str], strategy: str = "fir
     return F.coalesce(*cs) if len(cs) > 1 else cs[0]
 
 
-_COLUMN_LIKE = re.compile(r"[a-z0-9]+(?:_[a-z0-9]+)+")
-
-
 def map_object(df: DataFrame, spec: dict) -> Column:
     """Nested struct from ``fields`` and ``nested_objects``.
 
-    A field value naming an input column reads it; a snake_case name that is
-    absent reads as a typed null (with a warning); anything else (``primary``,
-    ``"true"``) is a constant."""
+    A field value naming an input column reads it; any other value (``primary``,
+    ``"true"``, ``not_applicable``) is a constant. A source column that the input lacks
+    is declared by ``{"field": name}`` and reads as a typed null."""
     cols = set(df.columns)
     parts = []
     for k, v in (spec.get("fields") or {}).items():
         if isinstance(v, dict):
-            parts.append(map_object(df, v).alias(k))
-        elif isinstance(v, str) and (v in cols or _COLUMN_LIKE.fullmatch(v)):
+            parts.append((_src(cols, v["field"]) if set(v) == {"field"} else map_object(df, v)).alias(k))
+        elif isinstance(v, str) and v in cols:
             parts.append(_src(cols, v).alias(k))
         else:
             parts.append(F.lit(v).alias(k))
@@ -95,11 +92,9 @@ def map_reference(df: DataFrame, spec: dict) -> Column:
     else:
         prefix = spec.get("key_prefix")
         names = [f"{prefix}_{k}" if prefix else k for k in spec["key_fields"]]
-        present = [n for n in names if n in cols]
-        if not present:
-            key = F.lit(None).cast("string")
-        else:
-            key = F.concat_ws(":", *[F.coalesce(_src(cols, n).cast("string"), F.lit("")) for n in names])
+        parts = [_src(cols, n).cast("string") for n in names]
+        # no part at all is no reference
+        key = F.when(F.coalesce(*parts).isNotNull(), F.concat_ws(":", *[F.coalesce(p, F.lit("")) for p in parts]))
     return F.struct(F.lit(spec.get("entity")).alias("entity"),
                     F.lit(spec.get("reference_type")).cast("string").alias("reference_type"),
                     key.alias("key"))
@@ -140,7 +135,7 @@ def _template_object(df: DataFrame, spec: dict) -> Column:
 
 def compile_mappings(df: DataFrame, spec: dict) -> dict[str, Column]:
     """All mappings of one entity, in declaration order of the mapping kinds."""
-    fm = spec.get("field_mappings", {})
+    fm = normalise(spec).get("field_mappings", {})
     out: dict[str, Column] = {}
     out.update(map_direct(df, fm.get("direct") or {}))
     for t, ms in (fm.get("multi_source") or {}).items():
@@ -165,15 +160,36 @@ def key_column(name: str) -> Column:
     return F.col(name)
 
 
+_KINDS = {"direct", "multi_source", "object", "reference", "template"}
+
+
+def normalise(spec: dict) -> dict:
+    """The other two shapes of a mapping as the canonical one.
+
+    ``field_mappings: {target: {"field": source}}`` and ``fields: [{"source", "target", "transforms"}]`` become
+    ``field_mappings.direct``; the latter's transforms become ``transforms``, a rule list for ``transform_rules``."""
+    fm = spec.get("field_mappings") or {}
+    if isinstance(spec.get("fields"), list):
+        rules = [{"field": f["source"], "ops": f["transforms"]} for f in spec["fields"] if f.get("transforms")]
+        rest = {k: v for k, v in spec.items() if k != "fields"}
+        return {**rest, "transforms": rules,
+                "field_mappings": {"direct": {f["target"]: f["source"] for f in spec["fields"]}}}
+    if fm and not set(fm) <= _KINDS:
+        return {**spec, "field_mappings": {"direct": {t: m["field"] if isinstance(m, dict) else m for t, m in fm.items()}}}
+    return spec
+
+
 def mapped_sources(spec: dict) -> list[str]:
-    fm = spec.get("field_mappings", {})
+    fm = normalise(spec).get("field_mappings", {})
     srcs: list[str] = list((fm.get("direct") or {}).values())
     for ms in (fm.get("multi_source") or {}).values():
         srcs += ms["sources"]
 
     def walk(ob):
         for v in (ob.get("fields") or {}).values():
-            if isinstance(v, dict):
+            if isinstance(v, dict) and set(v) == {"field"}:
+                srcs.append(v["field"])
+            elif isinstance(v, dict):
                 walk(v)
             elif isinstance(v, str):
                 srcs.append(v)
@@ -187,6 +203,7 @@ def mapped_sources(spec: dict) -> list[str]:
 def spec_sources(spec: dict) -> list[str]:
     """Every input column a spec reads (mappings, reference keys, templates), in
     a fixed order: direct, multi-source, object fields, references, templates."""
+    spec = normalise(spec)
     srcs = mapped_sources(spec)
     for rf in (spec.get("field_mappings", {}).get("reference") or {}).values():
         if "key_field" in rf:

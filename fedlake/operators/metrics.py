@@ -85,12 +85,14 @@ def gate_summary(gate: DataFrame) -> DataFrame:
                     F.coalesce(F.bool_and("passed"), F.lit(True)).alias("all_passed"))
 
 
-def daily_history(df: DataFrame, ts: str, value: str, days: int = 30) -> DataFrame:
+def daily_history(df: DataFrame, ts: str, value: str, days: int = 30, tiebreak: str | None = None) -> DataFrame:
     """One entry per day (the day's first record wins), last ``days`` days.
-    First-per-day is a ``min_by`` aggregation (partial, skew-safe); the final
+    First-per-day is a ``min_by`` aggregation (partial, skew-safe); of records at one instant the
+    one with the smallest ``tiebreak`` (else the smallest value) counts. The final
     limit is the report's own feature."""
+    first = F.struct(F.col(ts), F.col(tiebreak if tiebreak else value))
     per_day = (df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day"))
-               .agg(F.min_by(F.col(value), F.col(ts)).alias("value"), F.min(ts).alias("first_ts")))
+               .agg(F.min_by(F.col(value), first).alias("value"), F.min(ts).alias("first_ts")))
     return per_day.orderBy(F.col("day").desc()).limit(days)
 
 

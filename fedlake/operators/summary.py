@@ -10,8 +10,8 @@ Plan shape (chosen for hot groups; one group may hold a third of all rows):
 1. ``(group, date) -> count`` with map-side partial aggregation, then
    ``group -> (max date, count at max date)`` — only partial aggregates cross
    the network, never the raw rows of a hot group.
-2. The per-group table (one row per group) is checkpointed and measured; it is
-   broadcast when it fits, so the fact side is filtered in place with no
+2. The per-group table (one row per group) is written; Spark broadcasts it when
+   its size in bytes fits, so the fact side is filtered in place with no
    shuffle. Past the bound the join is a shuffle join on the group key, where
    AQE's skew-join splitting spreads a hot group over several tasks.
 
@@ -23,6 +23,8 @@ null values sort last.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,17 +33,22 @@ from ..functions.dates import fmt_date
 from ..functions.numbers import fmt_currency
 from .joins import join_small
 
-# The record fields the source analysis returns by default
-# (award schema), in its order; ``row_count`` is the tie count it adds.
-AWARD_DEFAULT_FIELDS = (
-    "modification_number",
-    "transaction_description",
-    "action_date_fiscal_year",
-    "potential_total_value_of_award",
-    "row_count",
-    "usaspending_permalink",
-    "last_modified_date",
-)
+
+def default_fields() -> list[str]:
+    """The record fields a report shows after its key (``report_fields.yaml``; ``row_count`` is the tie count it adds)."""
+    return list(_field_lists()["report"])
+
+
+def narrow_fields() -> list[str]:
+    """The columns of the table the reports are made from."""
+    return list(_field_lists()["narrow"])
+
+
+@lru_cache
+def _field_lists() -> dict[str, list[str]]:
+    import yaml
+
+    return yaml.safe_load(files("fedlake.plans").joinpath("report_fields.yaml").read_text(encoding="utf-8"))
 
 
 def group_max(df: DataFrame, group: str, date: str, alias: str = "max_date") -> DataFrame:
@@ -89,14 +96,11 @@ def latest_records(df: DataFrame, group: str, date: str, with_total: bool = Fals
 
 
 def _report_fields(df: DataFrame, group: str, fields, additional_fields, with_total: bool) -> list[str]:
-    fields = list(AWARD_DEFAULT_FIELDS if fields is None else fields)
-    out_fields = [group] + [f for f in fields if f != group]
-    for f in additional_fields or ():
-        if f in df.columns and f not in out_fields:
-            out_fields.append(f)
-    if with_total and "total_count" not in out_fields:
-        out_fields.append("total_count")
-    return out_fields
+    """Report columns, each once: the group key, the report's fields, then the extra ones that the table has."""
+    extras = set(additional_fields or ()) & set(df.columns)
+    shown = [group, *(default_fields() if fields is None else fields),
+             *filter(extras.__contains__, additional_fields or ()), *["total_count"] * with_total]
+    return list(dict.fromkeys(shown))
 
 
 def _report(rows: DataFrame, group: str, date: str, value: str, out_fields: list[str], formatted: bool,
@@ -149,11 +153,10 @@ def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]
     The per-group tables of all views come from a single scan: each row is
     exploded into one (view, group as text, date) entry per view and
     partially aggregated, then written once. Each view then joins its slice
-    (broadcast when its measured row count fits) and sorts. Group keys are
+    and sorts. Group keys are
     compared as text, so keys must have a faithful text form (codes, ids).
     """
     from ..session import materialize
-    from .joins import broadcast_limit
 
     tags = F.array(*[F.struct(F.lit(i).alias("v"), F.col(g).cast("string").alias("g"))
                      for i, (g, _) in enumerate(views)])
@@ -164,8 +167,7 @@ def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]
         F.max("d").alias("_max_date"), F.max_by("_n", "d").alias("_n_at_max"),
         F.sum(F.when(F.col("d").isNull(), F.col("_n"))).alias("_n_null")
     ).select("v", F.col("g").alias("_g"), "_max_date", F.coalesce("_n_at_max", "_n_null").alias("row_count"))
-    tables, _ = materialize(tables, "latest-tables")
-    sizes = {r["v"]: r["n"] for r in tables.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+    tables, _ = materialize(tables, "latest-tables", ("v",))  # each view reads its own folder
     out = []
     for i, (group, extras) in enumerate(views):
         t = tables.where(F.col("v") == i).drop("v")
@@ -173,8 +175,7 @@ def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]
         needed = [c for c in dict.fromkeys(out_fields + [date, value, group]) if c != "row_count"]
         rows = df.where(F.col(group).isNotNull()).select(*needed)
         cond = (F.col(group).cast("string") == F.col("_g")) & F.col(date).eqNullSafe(F.col("_max_date"))
-        side = F.broadcast(t) if sizes.get(i, 0) <= broadcast_limit(t) else t
-        joined = rows.join(side, cond, "inner").drop("_g", "_max_date")
+        joined = rows.join(t, cond, "inner").drop("_g", "_max_date")
         out.append(_report(joined, group, date, value, out_fields, formatted, ()))
     return out
 

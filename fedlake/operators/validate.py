@@ -104,6 +104,18 @@ def rule_ok(df_types: dict, r: Rule) -> Column:
         if p.get("max") is not None:
             ok = ok & (v <= float(p["max"]))
         return c.isNull() | ok
+    if t == "date_range":
+        day = c.cast("string").try_cast("date") if df_types.get(r.field) == "string" else c.cast("date")
+        ok = day.isNotNull()
+        if p.get("min") is not None:
+            ok = ok & (day >= F.lit(str(p["min"])).cast("date"))
+        if p.get("max") is not None:
+            ok = ok & (day <= F.lit(str(p["max"])).cast("date"))
+        return c.isNull() | ok
+    if t == "converted":
+        # a value that the cleaning could not convert; ``raw`` holds the text before it
+        raw = F.col(p["raw"]).cast("string")
+        return _is_blank(raw) | c.isNotNull()
     if t == "length":
         return length_ok(c.cast("string"), p.get("min"), p.get("max"))
     if t == "enum":
@@ -118,14 +130,15 @@ def rule_ok(df_types: dict, r: Rule) -> Column:
         a, b = (c.cast("date"), other.cast("date")) if t == "date_compare" else (c, other)
         return c.isNull() | other.isNull() | _compare(a, b, p.get("operator", "<="))
     if t == "precision":
-        s = F.trim(c.cast("string"))
+        s = F.regexp_replace(F.col(p["raw"]).cast("string"), r"[$,%\s]", "") if p.get("raw") else F.trim(c.cast("string"))
         places = F.when(s.contains("."), F.length(F.substring_index(s, ".", -1))).otherwise(0)
         return c.isNull() | (places <= int(p["max_places"]))
     if t == "not_future":
         return date_not_future(c, p["as_of"])
     if t == "conditional":
         inner = Rule.of({"field": r.field, **p["rule"]})
-        return ~F.expr(p["when"]) | rule_ok(df_types, inner)
+        # an unknown condition is not a met one
+        return ~F.coalesce(F.expr(p["when"]), F.lit(False)) | rule_ok(df_types, inner)
     if t == "derived":
         return c.isNull() | c.eqNullSafe(F.expr(p["expected"]))
     raise ValueError(f"unknown rule type {t!r}")
@@ -174,7 +187,8 @@ def _message(r: Rule) -> Column:
         if key == "field":
             parts.append(F.lit(r.field))
         elif key == "value":
-            parts.append(F.coalesce(F.col(r.field).cast("string"), F.lit("null")))
+            shown = r.params.get("raw") or r.field
+            parts.append(F.coalesce(F.col(f"`{shown}`").cast("string"), F.lit("null")))
         elif key == "operator":
             parts.append(F.lit(str(r.params.get("operator", ""))))
         else:
@@ -217,13 +231,18 @@ def validate(df: DataFrame, rules: Sequence, *, groups: dict[str, dict] | None =
              first_only: bool = False, column: str = "violations") -> DataFrame:
     """Add the violations column for ``rules`` (disabled rules skipped).
 
-    ``groups``: ``{name: {"dependencies": [...], "enabled": bool}}``; rules of a
-    group are evaluated only on rows where every group it depends on passed.
+    ``groups``: ``{name: {"dependencies": [...], "enabled": bool, "error_level": severity}}``; rules
+    of a group are evaluated only on rows where every group it depends on passed, and an
+    ``error_level`` is the severity of the group's rules of level ``error``.
     """
     types = dict(df.dtypes)
     rs = [Rule.of(r) for r in rules]
     groups = groups or {}
     rs = [r for r in rs if r.enabled and groups.get(r.group, {}).get("enabled", True)]
+    for r in rs:
+        level = groups.get(r.group, {}).get("error_level")
+        if level and r.severity == "error":
+            r.severity = level
     missing = sorted({r.field for r in rs if r.field not in types})
     if missing:
         raise ValueError(f"rules name fields not in the table: {missing}")
@@ -257,10 +276,14 @@ def severity_at_least(threshold: str) -> list[str]:
     return SEVERITIES[SEVERITIES.index(threshold):]
 
 
-def is_valid(column: str = "violations", threshold: str = "error") -> Column:
-    """No violation at or above ``threshold``."""
+def is_valid(column: str = "violations", threshold: str = "error", fields: Sequence[str] | None = None) -> Column:
+    """No violation at or above ``threshold`` (of ``fields`` only, when given)."""
     levels = severity_at_least(threshold)
-    return ~F.exists(F.col(column), lambda v: v["severity"].isin(levels))
+
+    def counts(v):
+        return v["severity"].isin(levels) if fields is None else v["severity"].isin(levels) & v["field"].isin(list(fields))
+
+    return ~F.exists(F.col(column), counts)
 
 
 def split_valid(df: DataFrame, threshold: str = "error", column: str = "violations"):
@@ -270,16 +293,18 @@ def split_valid(df: DataFrame, threshold: str = "error", column: str = "violatio
 
 
 def apply_error_policy(df: DataFrame, policy: str, threshold: str = "error",
-                       column: str = "violations", max_errors: int | None = None) -> DataFrame:
+                       column: str = "violations", max_errors: int | None = None,
+                       fields: Sequence[str] | None = None) -> DataFrame:
     """``abort`` raises if any row fails (or more than ``max_errors``);
-    ``skip`` keeps valid rows; ``log`` keeps every row with its violations."""
+    ``skip`` keeps valid rows; ``log`` keeps every row with its violations.
+    ``fields``: only their violations count (an entity's own source fields)."""
     if policy == "abort":
-        bad = df.where(~is_valid(column, threshold)).limit((max_errors or 0) + 1).count()
+        bad = df.where(~is_valid(column, threshold, fields)).agg(F.count(F.lit(1))).first()[0]
         if bad > (max_errors or 0):
             raise ValueError(f"validation failed: {bad} invalid row(s) with error policy 'abort'")
         return df
     if policy == "skip":
-        return df.where(is_valid(column, threshold))
+        return df.where(is_valid(column, threshold, fields))
     if policy == "log":
         return df
     raise ValueError(f"unknown error policy {policy!r}")

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import fiscal_year
+from ..operators import summary
 from ..operators.joins import join_small
 from ..session import load
 
@@ -48,10 +49,36 @@ def _padded(prefix: str, n: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s))
 
 
+# Business flags of a recipient, under their own names and renamed.
+RECIPIENT_FLAGS = """
+alaskan_native_corporation_owned_firm american_indian_owned_business indian_tribe_federally_recognized
+native_hawaiian_organization_owned_firm tribally_owned_firm veteran_owned_business
+service_disabled_veteran_owned_business woman_owned_business women_owned_small_business
+economically_disadvantaged_women_owned_small_business joint_venture_women_owned_small_business
+joint_venture_economic_disadvantaged_women_owned_small_bus minority_owned_business
+subcontinent_asian_asian_indian_american_owned_business asian_pacific_american_owned_business
+black_american_owned_business hispanic_american_owned_business native_american_owned_business
+other_minority_owned_business corporate_entity_not_tax_exempt corporate_entity_tax_exempt
+partnership_or_limited_liability_partnership sole_proprietorship small_agricultural_cooperative
+international_organization us_government_entity manufacturer_of_goods small_business small_disadvantaged_business
+emerging_small_business c8a_program_participant historically_underutilized_business_zone_hubzone_firm
+minority_institution school_of_forestry veterinary_college hispanic_servicing_institution
+foreign_owned_and_located for_profit_organization nonprofit_organization other_not_for_profit_organization
+community_developed_corporation_owned_firm labor_surplus_area_firm sam_registered
+sam_entity_information_currently_active
+""".split()
+RENAMED_FLAGS = {
+    "land_grant_college_1862": "1862_land_grant_college",
+    "land_grant_college_1890": "1890_land_grant_college",
+    "land_grant_college_1994": "1994_land_grant_college",
+    "historically_black_college_or_university": "historically_black_college",
+}
+
+
 @lru_cache(maxsize=1)
 def narrow_spec() -> dict[str, NarrowCol]:
     """Award column -> (Spark Column builder, DuckDB SQL, dimensions needed)."""
-    return {
+    spec = {
         "contract_transaction_unique_key": NarrowCol(
             lambda: F.concat_ws("_", _c("l_orderkey").cast("string"), _c("l_linenumber").cast("string")),
             "concat_ws('_', CAST(l.l_orderkey AS VARCHAR), CAST(l.l_linenumber AS VARCHAR))"),
@@ -94,7 +121,7 @@ def narrow_spec() -> dict[str, NarrowCol]:
             "CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l.l_tax AS DECIMAL(18,2))) "
             "AS DECIMAL(18,2))"),
         "potential_total_value_of_award": NarrowCol(lambda: _c("l_extendedprice"), "l.l_extendedprice"),
-        "usaspending_permalink": NarrowCol(lambda: F.concat(F.lit("/award/"), _c("l_orderkey").cast("string")),
+        "award_permalink": NarrowCol(lambda: F.concat(F.lit("/award/"), _c("l_orderkey").cast("string")),
                                            "'/award/' || CAST(l.l_orderkey AS VARCHAR)"),
         "last_modified_date": NarrowCol(lambda: _c("l_shipdate"), "l.l_shipdate"),
         # wider transaction columns used by the entity mappings
@@ -145,6 +172,16 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "action_date": NarrowCol(lambda: _c("o_orderdate"), "o.o_orderdate", ("orders",)),
         "period_of_performance_start_date": NarrowCol(lambda: _c("o_orderdate"), "o.o_orderdate", ("orders",)),
         "period_of_performance_current_end_date": NarrowCol(lambda: _c("l_shipdate"), "l.l_shipdate"),
+        "total_outlayed_amount_for_overall_award": NarrowCol(
+            lambda: (_c("l_extendedprice").cast("decimal(18,2)") * _c("l_discount").cast("decimal(18,2)"))
+            .cast("decimal(18,2)"),
+            "CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(18,2)) "
+            "AS DECIMAL(18,2))"),
+        "base_and_exercised_options_value": NarrowCol(
+            lambda: (_c("l_extendedprice").cast("decimal(18,2)") * _c("l_tax").cast("decimal(18,2)"))
+            .cast("decimal(18,2)"),
+            "CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_tax AS DECIMAL(18,2)) "
+            "AS DECIMAL(18,2))"),
         "current_total_value_of_award": NarrowCol(lambda: _c("o_totalprice"), "o.o_totalprice", ("orders",)),
         "prime_award_transaction_recipient_cd_current": NarrowCol(
             lambda: F.concat(F.lpad(_c("c_nationkey").cast("string"), 2, "0"), F.lit("-"),
@@ -158,6 +195,15 @@ def narrow_spec() -> dict[str, NarrowCol]:
             lambda: F.when(_c("c_acctbal") < 1000, "t").otherwise("f"),
             "CASE WHEN c.c_acctbal < 1000 THEN 't' ELSE 'f' END", ("orders", "customer")),
     }
+    for i, flag in enumerate([*RECIPIENT_FLAGS, *RENAMED_FLAGS.values()]):
+        spec.setdefault(flag, _stand_in_flag(i + 2))
+    return spec
+
+
+def _stand_in_flag(k: int) -> NarrowCol:
+    return NarrowCol(lambda: F.when(_c("o_custkey") % k == 0, "t").otherwise("f"),
+                     f"CASE WHEN o.o_custkey % {k} = 0 THEN 't' ELSE 'f' END", ("orders",))
+
 
 # dimension name -> (table, renamed projection, join keys, sql join clause)
 _DIMS = {
@@ -180,15 +226,7 @@ _DIMS = {
 }
 _DIM_ORDER = ["orders", "customer", "cnation", "cregion", "supplier", "snation", "sregion", "part"]
 
-DEFAULT_NARROW = [
-    "award_id_piid", "modification_number", "action_date_fiscal_year", "awarding_sub_agency_code",
-    "awarding_sub_agency_name", "awarding_office_code", "awarding_office_name", "funding_sub_agency_code",
-    "funding_sub_agency_name", "funding_office_code", "funding_office_name", "recipient_uei", "recipient_name",
-    "recipient_name_raw", "recipient_parent_uei", "recipient_parent_name", "recipient_parent_name_raw",
-    "transaction_description", "product_or_service_code_description", "product_or_service_code",
-    "federal_action_obligation", "total_dollars_obligated", "base_and_all_options_value",
-    "potential_total_value_of_award", "usaspending_permalink", "last_modified_date",
-]
+DEFAULT_NARROW = summary.narrow_fields()
 
 
 def _needed_dims(columns: Iterable[str]) -> list[str]:
@@ -204,7 +242,7 @@ def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
     df = load(spark, sf_dir, "lineitem")
     for dim in _needed_dims(columns):
         table, proj, (lk, rk), _ = _DIMS[dim]
-        side = load(spark, sf_dir, table, spread_input=False).select(
+        side = load(spark, sf_dir, table).select(
             *[F.col(p) if isinstance(p, str) else F.col(p[0]).alias(p[1]) for p in proj])
         df = join_small(df, side, F.col(lk) == F.col(rk), "left")
     return df.select(*[narrow_spec()[c].build().alias(c) for c in columns])
@@ -214,7 +252,7 @@ def award_narrow_sql(columns: Iterable[str] | None = None) -> str:
     """The same narrow table as a DuckDB SELECT (for the oracle)."""
     columns = list(DEFAULT_NARROW if columns is None else columns)
     joins = " ".join(_DIMS[d][3] for d in _needed_dims(columns))
-    sel = ", ".join(f"{narrow_spec()[c].sql} AS {c}" for c in columns)
+    sel = ", ".join(f'{narrow_spec()[c].sql} AS "{c}"' for c in columns)
     return f"SELECT {sel} FROM lineitem l {joins}"
 
 
@@ -232,8 +270,7 @@ VIEWS = [
     ("view_funding_office", "funding_office_code", ["funding_office_name"]),
 ]
 
-VIEW_BASE_FIELDS = ["modification_number", "transaction_description", "action_date_fiscal_year",
-                    "potential_total_value_of_award", "usaspending_permalink", "last_modified_date"]
+VIEW_BASE_FIELDS = [f for f in summary.default_fields() if f != "row_count"]
 
 
 def view_columns(group: str, extras: list[str]) -> list[str]:

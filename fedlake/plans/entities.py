@@ -1,9 +1,7 @@
 """Entity and relationship specifications for award transactions.
 
 Fixed values: the five entities' keys and field mappings and the
-relationship definitions, as the conversion configuration declares them
-(the recipient's long list of business-flag columns is shortened to the
-flags used here). Written in the same YAML shape ``operators.mapping`` reads,
+relationship definitions, as the conversion configuration declares them. Written in the same YAML shape ``operators.mapping`` reads,
 so a user's own config file loads into the same functions (``spec.load``).
 """
 
@@ -12,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.mapping import spec_sources
-from .award import award_narrow, award_narrow_sql, narrow_spec
+from .award import RECIPIENT_FLAGS, RENAMED_FLAGS, award_narrow, award_narrow_sql, narrow_spec
 
 AGENCY = {
     "key_fields": ["agency_code", "sub_agency_code", "office_code"],
@@ -57,8 +55,8 @@ LOCATION = {
                                                    "prime_award_transaction_place_of_performance_cd_current"],
                                        "strategy": "first_non_empty"},
         },
-        "object": {"address": {"type": "object", "fields": {"line1": "recipient_address_line_1",
-                                                              "line2": "recipient_address_line_2"}}},
+        "object": {"address": {"type": "object", "fields": {"line1": {"field": "recipient_address_line_1"},
+                                                              "line2": {"field": "recipient_address_line_2"}}}},
     },
     "entity_processing": {"processing_order": 5, "processing_options": {"error_handling": "skip"}},
 }
@@ -72,13 +70,13 @@ RECIPIENT = {
             "name": "recipient_name",
             "dba_name": "recipient_doing_business_as_name",
             "parent_name": "recipient_parent_name",
-            "veteran_owned_business": "veteran_owned_business",
-            "emerging_small_business": "emerging_small_business",
+            **{flag: flag for flag in RECIPIENT_FLAGS},
+            **RENAMED_FLAGS,
         },
         "object": {
             "naics": {"type": "object", "fields": {"code": "naics_code", "description": "naics_description"}},
-            "contact": {"type": "object", "fields": {"phone": "recipient_phone_number",
-                                                     "fax": "recipient_fax_number", "type": "primary"}},
+            "contact": {"type": "object", "fields": {"phone": {"field": "recipient_phone_number"},
+                                                     "fax": {"field": "recipient_fax_number"}, "type": "primary"}},
         },
         "reference": {
             "location_ref": {"type": "entity_reference", "entity": "location", "reference_type": "primary_address",
@@ -87,6 +85,7 @@ RECIPIENT = {
                                             "address_line_1", "address_line_2"]},
         },
     },
+    "order_by": ["last_modified_date", "contract_transaction_unique_key"],
     "entity_processing": {"processing_order": 2, "processing_options": {"error_handling": "skip"}},
 }
 
@@ -112,10 +111,12 @@ CONTRACT = {
                     "base_and_all_potential_options_value": "base_and_all_options_value",
                     "cumulative_contract_obligations": "total_dollars_obligated",
                     "potential_total_value_of_award": "potential_total_value_of_award"}}}},
-            "type_of_contract": {"type": "object", "fields": {"pricing_code": "type_of_contract_pricing_code",
-                                                              "pricing_description": "type_of_contract_pricing"}},
+            "type_of_contract": {"type": "object", "fields": {
+                "pricing_code": {"field": "type_of_contract_pricing_code"},
+                "pricing_description": {"field": "type_of_contract_pricing"}}},
             "prime_award": {"type": "object", "fields": {"is_prime": "true",
-                                                         "description": "prime_award_base_transaction_description"}},
+                                                         "description": {
+                "field": "prime_award_base_transaction_description"}}},
         },
         "reference": {
             "recipient_ref": {"type": "entity_reference", "entity": "recipient", "key_field": "recipient_uei"},
@@ -141,6 +142,7 @@ CONTRACT = {
             }},
         },
     },
+    "order_by": ["last_modified_date", "modification_number"],
     "entity_processing": {"processing_order": 3, "processing_options": {"error_handling": "skip"}},
 }
 

@@ -10,6 +10,7 @@ from ..operators.joins import fk_orphans, fk_valid, join_small
 from ..operators.summary import with_position
 from ..session import load
 from .catalog import register
+from .award import RECIPIENT_FLAGS, RENAMED_FLAGS
 from .entities import (AGENCY, CONTRACT, ENTITIES, LOCATION, RECIPIENT, RELATIONSHIPS, TRANSACTION,
                        transactions_for, transactions_sql)
 
@@ -312,7 +313,7 @@ def _srcs(spec):
 
 
 def _src_select(spec):
-    return ", ".join(f"{c} AS __s_{c}" for c in _srcs(spec))
+    return ", ".join(f'"{c}" AS __s_{c}' for c in _srcs(spec))
 
 
 def _src_names(spec):
@@ -356,8 +357,9 @@ def q_extract_location(spark, sf_dir):
 
 _RECIP_SQL = (
     "SELECT recipient_uei AS uei, recipient_parent_uei AS parent_uei, recipient_name AS name, "
-    "CAST(NULL AS VARCHAR) AS dba_name, recipient_parent_name AS parent_name, veteran_owned_business, "
-    "emerging_small_business, naics_code, naics_description, recipient_phone_number AS contact_phone, "
+    "CAST(NULL AS VARCHAR) AS dba_name, recipient_parent_name AS parent_name, "
+    + "".join(f"{f}, " for f in RECIPIENT_FLAGS) + "".join(f'"{s}" AS {t}, ' for t, s in RENAMED_FLAGS.items()) +
+    "naics_code, naics_description, recipient_phone_number AS contact_phone, "
     "CAST(NULL AS VARCHAR) AS contact_fax, 'primary' AS contact_type, 'location' AS location_ref_entity, "
     "'primary_address' AS location_ref_reference_type, "
     f"{_keysql([c.replace('zip_4_code', 'zip_code') for c in _REC], pad=1)} AS location_ref_key, "

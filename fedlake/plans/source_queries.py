@@ -7,6 +7,8 @@ library's reader on them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,18 +133,6 @@ def q_entity_to_json(spark, sf_dir):
     return t.select(sinks.entity_json(t).alias("json"))
 
 
-@register("list_files")
-def q_list_files(spark, sf_dir):
-    """Listing of the table files (no contents read) — rows check."""
-    return files.list_files(spark, sf_dir, "*.parquet", recursive=True)
-
-
-@register("file_fingerprint")
-def q_file_fingerprint(spark, sf_dir):
-    """Size, SHA-256 and MD5 of every table file — rows check."""
-    return files.file_fingerprint(spark, sf_dir, "*.parquet", recursive=True)
-
-
 _DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
 _LABEL_COLS = ["doc_id", "quality", "toxic"]
 
@@ -162,30 +152,38 @@ _CFG_SQL = ("SELECT * FROM (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('l
 @register("dictionary_merge",
           f"SELECT coalesce(p.field_name, c.field_name) AS field_name, c.type AS type, "
           f"coalesce(p.required, false) AS required, coalesce(p.is_key, false) AS is_key, "
+          f"CASE WHEN p.field_name IS NOT NULL THEN 'column ' || p.field_name END AS description, "
+          f"CASE WHEN p.field_name IS NOT NULL THEN 'profile|' || c.type END AS groups, "
+          f"CASE WHEN p.field_name IS NOT NULL THEN 'max_length' END AS validation_rules, "
           f"CASE WHEN p.field_name IS NOT NULL THEN 'csv' ELSE 'config' END AS source "
           f"FROM ({_CFG_SQL}) c FULL OUTER JOIN ({_profile_sql()}) p ON c.field_name = p.field_name")
 def q_dictionary_merge(spark, sf_dir):
     """A data dictionary CSV profiled from ``documents`` (required = no
     nulls, key = all distinct) overrides the configured properties of the
-    ``documents``/``labels`` fields; configured-only fields stay."""
+    ``documents``/``labels`` fields; configured-only fields stay. Distinct values are
+    counted by 64-bit hash, one column at a time, so no text is shuffled."""
     d = load(spark, sf_dir, "documents")
     lab = load(spark, sf_dir, "labels")
     # configured properties: the tables' own schemas (driver metadata)
     cfg_rows = [(f.name, f.dataType.simpleString(), False, False) for f in d.schema.fields] + \
         [(f.name, f.dataType.simpleString(), False, False) for f in lab.schema.fields if f.name != "doc_id"]
     configured = spark.createDataFrame(cfg_rows, "field_name string, type string, required boolean, is_key boolean")
-    prof = d.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count(c).alias(f"__f_{c}") for c in _DOC_COLS],
-                 *[F.countDistinct(c).alias(f"__d_{c}") for c in _DOC_COLS])
-    rows = prof.select(F.explode(F.array(*[F.struct(
-        F.lit(c).alias("field_name"), F.lit(None).cast("string").alias("type"),
-        F.when(F.col(f"__f_{c}") == F.col("__n"), "true").otherwise("false").alias("required"),
-        F.when(F.col(f"__d_{c}") == F.col("__n"), "true").otherwise("false").alias("is_key"),
-        F.lit("").alias("groups"), F.lit("").alias("validation_rules")) for c in _DOC_COLS])).alias("r")).select("r.*")
+    profiles = []
+    for c, kind in d.dtypes:
+        prof = d.select(F.col(c).isNotNull().alias("filled"), F.xxhash64(c).alias("h")).groupBy("filled", "h").agg(
+            F.count(F.lit(1)).alias("n")).agg(
+            F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("filled"),
+            F.count_if("filled").alias("values"))
+        profiles.append(prof.select(
+            F.lit(c).alias("field_name"), F.lit(None).cast("string").alias("type"), F.lit(f"column {c}").alias("description"),
+            F.when(F.col("filled") == F.col("rows"), "true").otherwise("false").alias("required"),
+            F.when(F.col("values") == F.col("rows"), "true").otherwise("false").alias("is_key"),
+            F.lit(f"profile, {kind}").alias("groups"), F.lit("max_length,").alias("validation_rules")))
+    rows = reduce(lambda a, b: a.unionByName(b), profiles)
     path = scratch_path(spark, "dictionary-csv")
     sinks.write_csv(rows, path)
-    csv_dict = files.load_dictionary_csv(spark, path).drop("groups")
-    return files.merge_dictionary(configured, csv_dict)
+    merged = files.merge_dictionary(configured, files.load_dictionary_csv(spark, path))
+    return merged.withColumns({c: F.array_join(c, "|") for c in ("groups", "validation_rules")})
 
 
 _XW_SQL = (

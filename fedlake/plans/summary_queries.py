@@ -45,7 +45,7 @@ ORDERS_FIELDS = ["o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice
 
 def _facts(spark, sf_dir, name):
     # the scan feeds a partial aggregation directly: no round-robin spread
-    return load(spark, sf_dir, name, spread_input=False)
+    return load(spark, sf_dir, name)
 
 
 def flagship(spark, sf_dir):
@@ -70,8 +70,7 @@ def latest_by_part(spark, sf_dir):
 
 # --- A4: the eight views ------------------------------------------------------
 
-VIEW_FIELDS_ORDER = ["modification_number", "transaction_description", "action_date_fiscal_year",
-                     "potential_total_value_of_award", "row_count", "usaspending_permalink", "last_modified_date"]
+VIEW_FIELDS_ORDER = summary.default_fields()
 
 
 def _make_view(key, group, extras):

@@ -32,6 +32,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # a join side is broadcast by Spark's own check: file sizes times this factor, or bytes seen at run time
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -115,51 +118,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+def materialize(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read
     it back, cutting the lineage; the row count is observed during that one
     write job (no second pass). Survives executor loss: the files are on
-    shared storage."""
+    shared storage. ``partition_by`` columns of few values become folders, so
+    that a reader of one value reads (and sizes) its files only."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     spark = df.sparkSession
     obs = Observation(f"fedlake_{name}")
     path = scratch_path(spark, name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.parquet(path), int(obs.get["rows"])
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    # the schema is known; inference would find none where a partitioned table is empty
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
-# A table is spread over the cores only when it is mid-sized and held in fewer
-# files than there are cores (a file with one row group is read by one task).
-SPREAD_MIN_BYTES = 1 << 20
-SPREAD_MAX_BYTES = 4 << 30
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the default parallelism when the input is a
-    mid-sized table in too few files to keep the cores busy. Large inputs
-    (many files) and tiny ones (broadcast sides) are returned untouched, so
-    at cluster scale this adds no shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if not SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
-            return df  # large inputs come in many files; tiny ones are broadcast sides
-        n_files = len(df._jdf.inputFiles())  # counted on the JVM side, not copied
-    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
-        return df
-    if n_files < cores:
-        return df.repartition(cores)
-    return df
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
-    """A table of the given folder. ``spread_input=False`` for sides that are
-    going to be broadcast (spreading them would only add a shuffle)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_input else df
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -11,6 +11,8 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -27,34 +29,74 @@ def string_schema(columns: Sequence[str], corrupt: bool = False) -> T.StructType
     return T.StructType(fields)
 
 
-def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
-    """Header of a CSV (first line of the first file), BOM removed.
-
-    Reads one line through Spark; raises when the file has no header line."""
-    first = spark.read.option("header", False).option("encoding", encoding).csv(path).limit(1).collect()
-    if not first:
+def _first_line(spark: SparkSession, file: str, encoding: str) -> str | None:
+    """First line of one file of any store Spark reads, decompressed by suffix."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def csv_headers(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", sep: str = ",",
+                quote: str = '"') -> dict[tuple[str, ...], list[str]]:
+    """Header -> files that have it, for all files of a path, folder or glob (BOM removed).
+
+    Reads one line of each file; files without any line are left out, and a path without a header line raises."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        line = _first_line(spark, file, encoding)
+        if line is not None:
+            out.setdefault(tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote))), []).append(file)
+    if not out:
         raise ValueError(f"CSV at {path} has no header row")
-    cols = [c for c in first[0]]
-    if cols and cols[0] is not None:
-        cols[0] = cols[0].lstrip("﻿")
-    return cols
+    return out
+
+
+def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8", sep: str = ",", quote: str = '"') -> list[str]:
+    """Columns of a CSV path: those of its headers, in the order they first appear."""
+    return list(dict.fromkeys(c for h in csv_headers(spark, path, encoding, sep, quote) for c in h))
 
 
-def scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, *, encoding: str = "UTF-8",
-             sep: str = ",", quote: str = '"', flag_corrupt: bool = False, multi_line: bool = False) -> DataFrame:
-    """CSV records by header, every column a string; ``""`` escapes quotes.
+def scan_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *,
+             encoding: str = "UTF-8", sep: str = ",", quote: str = '"', flag_corrupt: bool = False,
+             multi_line: bool = False) -> DataFrame:
+    """CSV records by header, every column a string; ``""`` escapes quotes.
 
+    Each file's cells go to the columns that its own header names; files with
+    other headers are united by name (a column missing from a file is null
+    there). ``columns`` chooses and orders the result's columns.
     ``flag_corrupt`` adds ``_corrupt_record`` for rows with more cells than
     the header (short rows are valid: missing cells read as null).
     ``multi_line`` allows newlines inside quoted cells; it makes each file one
     task, so it is off by default for large award extracts."""
-    cols = list(columns) if columns else csv_header(spark, path, encoding)
+    parts = [_scan_one_header(spark, files, header, encoding, sep, quote, flag_corrupt, multi_line)
+             for header, files in csv_headers(spark, path, encoding, sep, quote).items()]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if columns is None:
+        if flag_corrupt:
+            columns = [c for c in out.columns if c != CORRUPT]
+        else:
+            return out
+    have = set(out.columns)
+    chosen = [F.col(f"`{c}`") if c in have else F.lit(None).cast("string").alias(c) for c in columns]
+    return out.select(*chosen, *([CORRUPT] if flag_corrupt else []))
+
+
+def _scan_one_header(spark, files, header, encoding, sep, quote, flag_corrupt, multi_line) -> DataFrame:
+    cols = list(header)
     reader = (spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
               .option("quote", quote).option("escape", quote).option("multiLine", multi_line)
               .option("mode", "PERMISSIVE"))
     if flag_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.schema(string_schema(cols, flag_corrupt)).csv(path)
+    df = reader.schema(string_schema(cols, flag_corrupt)).csv(files)
     if flag_corrupt:
         # Spark flags short rows too; only a row with cells beyond the header
         # is malformed (short rows read their missing cells as null)
@@ -67,9 +109,15 @@ def scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 def union_csv_parts(spark: SparkSession, paths: Sequence[str], **kw) -> DataFrame:
     """Scan each part by its own header and union all by column name
     (a column missing from a part is null there)."""
-    from functools import reduce
-    parts = [scan_csv(spark, p, **kw) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return scan_csv(spark, list(paths), **kw)
+
+
+def jsonl_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of JSON lines from all lines, in one distributed pass; simple values are strings."""
+    schema = spark.read.option("primitivesAsString", True).option("mode", "DROPMALFORMED").json(path).schema
+    if not schema.fields:
+        raise ValueError(f"no records in {path}")
+    return schema
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType, quarantine: bool = False) -> DataFrame:
@@ -111,73 +159,90 @@ def file_fingerprint(spark: SparkSession, root: str, pattern: str = "*", recursi
     return df.select("path", "length", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
 
 
-ZIP_LINE_SCHEMA = "archive string, member string, line_no long, line string"
+ZIP_ROW_SCHEMA = "archive string, member string, row_no long, names array<string>, cells array<string>"
+ZIP_ROWS = 10_000
 
 
-def _unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unzip_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of the CSV members, streamed in runs of ZIP_ROWS."""
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for member in zf.namelist():
-                    if member.endswith("/"):
-                        continue
-                    text = zf.read(member).decode("utf-8-sig")
-                    lines = text.splitlines()
-                    yield pd.DataFrame({"archive": path, "member": member,
-                                        "line_no": range(len(lines)), "line": lines})
+                for member in (m for m in zf.namelist() if not m.endswith("/")):
+                    with io.TextIOWrapper(zf.open(member), "utf-8-sig", newline="") as text:
+                        rows = csv.reader(text)
+                        header, number = next(rows, None), 0
+                        while header and (run := list(islice(rows, ZIP_ROWS))):
+                            yield pd.DataFrame({
+                                "archive": path, "member": member, "row_no": range(number + 1, number + len(run) + 1),
+                                "names": [header] * len(run),
+                                "cells": [(r + [None] * len(header))[:len(header)] for r in run]})
+                            number += len(run)
 
 
 def scan_zip_csv(spark: SparkSession, root: str, columns: Sequence[str] | None = None,
                  pattern: str = "*.zip") -> DataFrame:
     """CSV members of ZIP archives, without unpacking to local disk.
 
-    Archives are read as binary files (one task each); ``mapInPandas``
-    yields member lines; the header line names the columns and the other
-    lines are parsed by ``from_csv`` (all strings). Quoted values may not
-    contain newlines in this path (whole-line parse)."""
+    Archives are read as binary files (one task each; a ZIP archive cannot be
+    split, and one must fit Spark's 2 GB cell). Every member's cells go to
+    the columns its own header names, all strings; a column missing from a member is
+    null there."""
     arch = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root).select("path", "content")
-    lines = arch.mapInPandas(_unzip_lines, ZIP_LINE_SCHEMA)
+    rows = arch.mapInPandas(_unzip_rows, ZIP_ROW_SCHEMA)
     if columns is None:
-        head = lines.where(F.col("line_no") == 0).select("line").limit(1).collect()
-        if not head:
+        named = rows.select(F.explode("names").alias("name")).distinct().collect()  # column names
+        columns = sorted(r["name"] for r in named)
+        if not columns:
             raise ValueError("no CSV members found")
-        columns = next(csv.reader([head[0]["line"]]))
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    body = lines.where(F.col("line_no") > 0)
-    parsed = body.select("archive", "member", "line_no",
-                         F.from_csv("line", schema, {"escape": '"'}).alias("r"))
-    return parsed.select("archive", "member", "line_no", "r.*")
+    by_name = F.map_from_arrays("names", "cells")
+    return rows.select("archive", "member", "row_no", by_name.alias("_cells")).select(
+        "archive", "member", "row_no", *[F.try_element_at("_cells", F.lit(c)).alias(c) for c in columns])
 
 
 def newest_per_group(listing: DataFrame, group: str, order: str, keep: Sequence[str]) -> DataFrame:
     """The first entry per group by ``order`` (e.g. newest monthly file per
-    fiscal year), by ``max_by`` aggregation."""
+    fiscal year), by ``max_by`` aggregation; of equals the greatest in the kept columns' order."""
     payload = F.struct(*[F.col(c) for c in keep])
-    return listing.groupBy(group).agg(F.max_by(payload, F.col(order)).alias("_p")).select(group, "_p.*")
+    best = F.max(F.struct(F.col(order).alias("o"), payload.alias("p")))
+    return listing.groupBy(group).agg(best.alias("_b")).select(group, "_b.p.*")
 
 
 # --- S20 / S21: dictionary and crosswalk -------------------------------------------------
 
+# The columns of a data dictionary.
+DICTIONARY_COLUMNS = ["field_name", "type", "description", "required", "is_key", "groups", "validation_rules"]
+
+
 def load_dictionary_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Data dictionary CSV ``field_name, type, required, is_key, groups,
-    validation_rules``; ``required``/``is_key`` are true when the text is true."""
-    d = scan_csv(spark, path)
-    return d.select(F.trim("field_name").alias("field_name"), F.trim("type").alias("type"),
+    """Data dictionary CSV ``field_name, type, description, required, is_key, groups,
+    validation_rules`` (columns it lacks are null); ``required``/``is_key`` are true when the text is true, ``groups`` and
+    ``validation_rules`` are comma lists."""
+    d = scan_csv(spark, path, DICTIONARY_COLUMNS)
+    return d.select(F.trim("field_name").alias("field_name"), F.trim("type").alias("type"), "description",
                     (F.lower(F.trim("required")) == "true").alias("required"),
                     (F.lower(F.trim("is_key")) == "true").alias("is_key"),
-                    F.filter(F.transform(F.split(F.coalesce("groups", F.lit("")), ","), lambda x: F.trim(x)),
-                             lambda x: x != "").alias("groups"))
+                    split_list_cell("groups").alias("groups"), split_list_cell("validation_rules").alias("validation_rules"))
 
 
 def merge_dictionary(configured: DataFrame, csv_dict: DataFrame) -> DataFrame:
-    """CSV entries override and extend configured field properties by name."""
-    c = configured.alias("c")
-    d = csv_dict.alias("d")
+    """CSV entries override and extend configured field properties by name.
+
+    Columns that only one side has (``description``, ``groups``, ``validation_rules``) are kept."""
+    extra = [x for x in ("description", "groups", "validation_rules") if x in csv_dict.columns or x in configured.columns]
+
+    def full(df):
+        return df.select("field_name", "type", "required", "is_key",
+                         *[x if x in df.columns else F.lit(None).alias(x) for x in extra])
+
+    c = full(configured).alias("c")
+    d = full(csv_dict).alias("d")
     j = c.join(d, F.col("c.field_name") == F.col("d.field_name"), "full_outer")
     return j.select(F.coalesce("d.field_name", "c.field_name").alias("field_name"),
                     F.coalesce("d.type", "c.type").alias("type"),
                     F.coalesce("d.required", "c.required", F.lit(False)).alias("required"),
                     F.coalesce("d.is_key", "c.is_key", F.lit(False)).alias("is_key"),
+                    *[F.coalesce(f"d.{x}", f"c.{x}").alias(x) for x in extra],
                     F.when(F.col("d.field_name").isNotNull(), F.lit("csv")).otherwise(F.lit("config"))
                     .alias("source"))
 
@@ -218,3 +283,21 @@ def validate_crosswalk(df: DataFrame) -> DataFrame:
     ]
     probs = F.filter(F.array(*[F.when(cond, F.lit(name)) for cond, name in checks]), lambda x: x.isNotNull())
     return df.withColumn("problems", probs)
+
+
+def select_crosswalk(df: DataFrame, wanted: dict[str, dict]) -> DataFrame:
+    """The crosswalk entry of each wanted field, ``{field: {"element": ..., "grouping": ...}}``: rows (field, then the
+    crosswalk's columns); a field without an entry is left out."""
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(w["element"]).alias("e"), F.lit(w["grouping"]).alias("g"))
+                      for f, w in wanted.items()])
+    hit = F.filter(pairs, lambda p: (p["e"] == F.col("Element")) & (p["g"] == F.col("Grouping")))
+    return df.select(F.explode(hit).alias("_p"), "*").select(F.col("_p.field").alias("field"), *df.columns)
+
+
+def group_crosswalk(df: DataFrame, entities: dict[str, list[dict]]) -> DataFrame:
+    """Crosswalk entries by entity, ``{entity: [{"grouping": ..., "elements": [...]}]}``: rows (entity, then the
+    crosswalk's columns) of the entries that an entity's grouping lists."""
+    lists = F.array(*[F.struct(F.lit(e).alias("entity"), F.lit(g["grouping"]).alias("g"), F.lit(x).alias("e"))
+                      for e, groups in entities.items() for g in groups for x in g["elements"]])
+    hit = F.filter(lists, lambda p: (p["e"] == F.col("Element")) & (p["g"] == F.col("Grouping")))
+    return df.select(F.explode(hit).alias("_p"), "*").select(F.col("_p.entity").alias("entity"), *df.columns)
