@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import join_small
 
 DEFAULT_CHUNK = 10_000
@@ -158,25 +159,57 @@ def join_path(start: DataFrame, hops: Sequence[tuple[DataFrame, str, str]], how:
 
 def chunked_collect(df: DataFrame, parent: Sequence[str], item: Column, sort_key: str,
                     chunk_size: int = DEFAULT_CHUNK, alias: str = "items") -> DataFrame:
-    """Per parent, sorted lists of child items split into chunks.
+    """Per parent, the sorted list of its child items, as chunk rows.
 
-    Per-parent counts come from a partial aggregation; a parent with ``n``
-    children gets ``ceil(n / chunk_size)`` chunks, and each child goes to
-    chunk ``pmod(xxhash64(sort_key), chunks)``. Output rows
-    ``(parent..., chunk, n_items, items)`` are each bounded in expectation by
-    ``chunk_size``; all children are kept.
+    Output rows ``(parent..., chunk, n_items, items)``: a parent has one row per
+    ``chunk_size`` children, numbered from 0; read in chunk order the lists are
+    the whole sorted list. Rows are range-sorted by (parent, sort_key) and cut by
+    position, so a parent (or a repeated key) of any size is spread over tasks
+    and no list is longer than ``chunk_size``. All children are kept.
     """
+    from .summary import with_position
+
     parent = list(parent)
-    counts = df.groupBy(*parent).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumn("__chunks", F.greatest(F.lit(1), F.ceil(F.col("__n") / chunk_size)).cast("long"))
-    renamed = counts.select(*[F.col(p).alias(f"__p_{p}") for p in parent], "__chunks")
-    cond = None
+    rows = df.select(*parent, F.col(sort_key).alias("__k"), item.alias("__v"))
+    placed, _ = materialize(with_position(rows, [*((p, True) for p in parent), ("__k", True)], "__pos"), "positions")
+    starts = placed.groupBy(*parent).agg(F.min("__pos").alias("__first"))
+    cond = F.lit(True)
     for p in parent:
-        c = F.col(p).eqNullSafe(F.col(f"__p_{p}"))
-        cond = c if cond is None else cond & c
-    joined = join_small(df, renamed, cond, "inner", materialize=True)
-    joined = joined.withColumn("chunk", F.pmod(F.xxhash64(F.col(sort_key)), F.col("__chunks")))
-    return (joined.groupBy(*parent, "chunk")
-            .agg(F.count(F.lit(1)).alias("n_items"),
-                 F.array_sort(F.collect_list(F.struct(F.col(sort_key).alias("__k"), item.alias("v")))).alias("__l"))
-            .select(*parent, "chunk", "n_items", F.transform("__l", lambda x: x["v"]).alias(alias)))
+        cond = cond & F.col(f"r.{p}").eqNullSafe(F.col(f"s.{p}"))
+    joined = join_small(placed.alias("r"), starts.alias("s"), cond, "inner", materialize=False)
+    at = F.col("__pos") - F.col("__first")
+    chunked = joined.select(*[F.col(f"r.{p}").alias(p) for p in parent],
+                            F.floor(at / chunk_size).cast("long").alias("chunk"), "__pos", "__v")
+    lists = chunked.groupBy(*parent, "chunk").agg(
+        F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list(F.struct("__pos", "__v"))).alias("__l"))
+    return lists.select(*parent, "chunk", "n_items", F.transform("__l", lambda x: x["__v"]).alias(alias))
+
+
+def hierarchy_levels(definitions: Sequence[dict], root: str) -> list[str]:
+    """J12 (driver): the chain of entities that hierarchical one-to-many definitions declare below ``root``."""
+    below = {d["sourceEntity"]: d["targetEntity"] for d in definitions
+             if d.get("relationshipType") == "hierarchical" and d.get("cardinality") == "one_to_many"
+             and d["sourceEntity"] != d["targetEntity"]}
+    chain = [root]
+    while chain[-1] in below and below[chain[-1]] not in chain:
+        chain.append(below[chain[-1]])
+    return chain
+
+
+def nest(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]], chunk_size: int = 1_000) -> DataFrame:
+    """Nested lists over any number of levels.
+
+    ``levels``: (list name, columns) from the outermost entity inwards; the first column of a level is its key. Each
+    entity holds the sorted list of the next level's entities under that level's name, merged once however many
+    rows name it. A list longer than ``chunk_size`` continues in further entries of its parent with the next ``chunk``.
+    """
+    inner = df.select(*[c for _, cols in levels for c in cols]).distinct()
+    payload: list[str] = []
+    for depth in range(len(levels) - 1, 0, -1):
+        name, cols = levels[depth]
+        outer = [c for _, cs in levels[:depth] for c in cs]
+        item = F.struct(*cols, *payload)
+        inner = chunked_collect(inner, outer, item, cols[0], chunk_size, alias=name).drop("n_items")
+        inner = inner.withColumnRenamed("chunk", f"{name}_chunk")
+        payload = [f"{name}_chunk", name]
+    return inner

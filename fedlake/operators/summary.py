@@ -220,6 +220,6 @@ def with_position(df: DataFrame, keys: Sequence[tuple[str, bool]], name: str = "
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_min_mid"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_min_mid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    joined = sorted_df.join(F.broadcast(offsets), "_pid")
+    joined = sorted_df.join(offsets, "_pid")  # one row per partition
     return (joined.withColumn(name, F.col("_off") + (F.col("_mid") - F.col("_min_mid")) + 1)
             .drop("_pid", "_mid", "_off", "_min_mid"))

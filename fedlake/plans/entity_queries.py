@@ -665,6 +665,70 @@ def q_nest_hierarchy(spark, sf_dir):
                          F.col("n_items").alias("n_offices"), F.array_join("offices", ";").alias("offices"))
 
 
+@register("nest_agency_offices",
+          f"WITH t AS ({transactions_sql(AGENCY)}), o AS (SELECT DISTINCT awarding_agency_code AS agency_code, "
+          "awarding_agency_name AS agency_name, awarding_sub_agency_code AS sub_agency_code, awarding_sub_agency_name "
+          "AS sub_agency_name, awarding_office_code AS office_code, awarding_office_name AS office_name FROM t), "
+          "u AS (SELECT agency_code, agency_name, sub_agency_code, sub_agency_name, string_agg(CAST(office_code AS "
+          "VARCHAR) || '=' || office_name, ',' ORDER BY office_code) AS offices FROM o GROUP BY ALL) "
+          "SELECT agency_code, agency_name, CAST(count(*) AS BIGINT) AS n_sub_agencies, string_agg(CAST(sub_agency_code "
+          "AS VARCHAR) || '=' || sub_agency_name || '[' || offices || ']', ';' ORDER BY sub_agency_code) AS sub_agencies "
+          "FROM u GROUP BY ALL")
+def q_nest_agency_offices(spark, sf_dir):
+    """Agency with its sub-agencies, each with its offices; the levels come from the hierarchical definitions."""
+    chain = relations.hierarchy_levels(RELATIONSHIPS, "agency")
+    columns = {"agency": ["agency_code", "agency_name"], "sub_agency": ["sub_agency_code", "sub_agency_name"],
+               "office": ["office_code", "office_name"]}
+    lists = {"agency": "agencies", "sub_agency": "sub_agencies", "office": "offices"}
+    a = mapping.extract_entity(transactions_for(spark, sf_dir, AGENCY), AGENCY)
+    nested = relations.nest(a, [(lists[e], columns[e]) for e in chain])
+    office = lambda o: F.concat(o["office_code"].cast("string"), F.lit("="), o["office_name"])
+    sub = lambda s: F.concat(s["sub_agency_code"].cast("string"), F.lit("="), s["sub_agency_name"], F.lit("["),
+                             F.array_join(F.transform(s["offices"], office), ","), F.lit("]"))
+    return nested.select("agency_code", "agency_name", F.size("sub_agencies").cast("long").alias("n_sub_agencies"),
+                         F.array_join(F.transform("sub_agencies", sub), ";").alias("sub_agencies"))
+
+
+_PLACES = ("SELECT contract_award_unique_key, place_of_performance_ref_key AS place FROM (" +
+           _latest_sql(_CONTRACT_SQL, "contract_award_unique_key",
+                       _desc(["historical_totals_as_of_date", "__mod"] + _src_names(CONTRACT)), _src_names(CONTRACT)) + ")")
+
+
+@register("rel_contract_location",
+          f"{_T_CONTRACT}, c AS ({_PLACES}) SELECT 'contract' AS src_type, contract_award_unique_key AS src_id, "
+          "'contract_to_performance_location' AS rel, 'location' AS dst_type, place AS dst_id, "
+          "'place_of_performance' AS role FROM c WHERE place IS NOT NULL")
+def q_rel_contract_location(spark, sf_dir):
+    """Contract -> location of performance, by the contract's place reference (no reference without any part)."""
+    c = _contracts(spark, sf_dir)
+    return relations.reference_edges(c, "contract", "contract_award_unique_key", F.col("place_of_performance_ref.key"),
+                                     "location", "contract_to_performance_location", "place_of_performance")
+
+
+@register("rel_recipient_location",
+          f"WITH t AS ({transactions_sql(RECIPIENT, extra=['last_modified_date', 'contract_transaction_unique_key'])}), "
+          "r AS (" + _latest_sql(_RECIP_SQL, "uei", _desc(["last_modified_date", "contract_transaction_unique_key"] +
+                                                          _src_names(RECIPIENT)), _src_names(RECIPIENT)) + ") "
+          "SELECT 'recipient' AS src_type, CAST(uei AS VARCHAR) AS src_id, 'location_to_recipient' AS rel, 'location' AS "
+          "dst_type, location_ref_key AS dst_id, 'primary_address' AS role FROM r WHERE location_ref_key IS NOT NULL")
+def q_rel_recipient_location(spark, sf_dir):
+    """Recipient -> location of its primary address."""
+    t = transactions_for(spark, sf_dir, RECIPIENT, extra=["last_modified_date", "contract_transaction_unique_key"])
+    r = mapping.extract_entity(t, RECIPIENT, order_by=RECIPIENT["order_by"])
+    return relations.reference_edges(r, "recipient", "uei", F.col("location_ref.key"), "location",
+                                     "location_to_recipient", "primary_address")
+
+
+@register("rel_contract_parent",
+          f"WITH t AS ({transactions_sql({}, extra=['award_id_piid', 'parent_award_id_piid'])}) SELECT DISTINCT award_id_piid AS child_id, "
+          "parent_award_id_piid AS parent_id, parent_award_id_piid IN (SELECT award_id_piid FROM t) AS parent_found FROM t "
+          "WHERE parent_award_id_piid IS NOT NULL AND parent_award_id_piid <> award_id_piid")
+def q_rel_contract_parent(spark, sf_dir):
+    """Contract child_of parent contract by award number; missing parents flagged."""
+    t = transactions_for(spark, sf_dir, {}, extra=["award_id_piid", "parent_award_id_piid"])
+    return relations.self_parent_edges(t, "award_id_piid", "parent_award_id_piid")
+
+
 # --- Q1-Q9: documented questions ---------------------------------------------------------
 
 _QCOLS = ["contract_award_unique_key", "awarding_agency_code", "funding_agency_code", "funding_sub_agency_code",

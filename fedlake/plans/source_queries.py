@@ -81,6 +81,28 @@ def q_scan_jsonl(spark, sf_dir):
     return files.scan_jsonl(spark, path, EVENT_SCHEMA)
 
 
+@register("scan_csv_mixed_headers",
+          "SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CAST(o_custkey AS VARCHAR) AS customer_key, o_orderstatus AS status, "
+          "CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS priority FROM orders")
+def q_scan_csv_mixed_headers(spark, sf_dir):
+    """One folder of CSVs whose headers differ in order and columns, and a file set with another separator and quote;
+    every cell under the column its own header names."""
+    o = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_key"), F.col("o_custkey").cast("string").alias("customer_key"),
+        F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), (F.col("o_orderkey") % 3).alias("_k"))
+    path = scratch_path(spark, "orders-mixed-csv")
+    layouts = [["order_key", "customer_key", "status"], ["status", "priority", "order_key", "customer_key"],
+               ["customer_key", "status", "order_key"]]
+    for k, cols in enumerate(layouts):
+        w = o.where(F.coalesce("_k", F.lit(0)) == k).select(*cols).write.option("header", True)
+        if k == 2:
+            w = w.option("sep", ";").option("quote", "'").option("quoteAll", True)
+        w.csv(f"{path}/{'other' if k == 2 else 'main'}/part{k}")
+    main = files.scan_csv(spark, f"{path}/main/*")
+    other = files.scan_csv(spark, f"{path}/other/*", sep=";", quote="'")
+    return main.unionByName(other, allowMissingColumns=True).select("order_key", "customer_key", "status", "priority")
+
+
 @register("export_views",
           " UNION ALL ".join(
               f"SELECT '{k}' AS view, CAST(count(*) AS BIGINT) AS n FROM ("

@@ -56,7 +56,7 @@ def q_stream_process(spark, sf_dir):
     per batch through foreachBatch; the sink read back equals the batch result."""
     src = _event_files(spark, sf_dir, "events-stream")
     out = scratch_path(spark, "events-processed")
-    stream = S.process_records(S.read_jsonl_stream(spark, src, EVENT_SCHEMA), EVENT_RULES, parse=_parse)
+    stream = S.process_records(S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=1), EVENT_RULES, parse=_parse)
     S.run_available(_flat(stream), S.batch_folder_sink(out), scratch_path(spark, "events-ckpt"))
     return spark.read.parquet(out).drop("batch_id")
 
@@ -66,7 +66,7 @@ def q_stream_sink(spark, sf_dir):
     """Raw records through the per-batch idempotent folder sink."""
     src = _event_files(spark, sf_dir, "events-sink")
     out = scratch_path(spark, "events-raw")
-    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA).select("event_id", "value")
+    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=1).select("event_id", "value")
     S.run_available(stream, S.batch_folder_sink(out), scratch_path(spark, "events-sink-ckpt"))
     return spark.read.parquet(out).drop("batch_id")
 
@@ -78,7 +78,7 @@ def q_stream_stats(spark, sf_dir):
     src = _event_files(spark, sf_dir, "events-stats")
     out = scratch_path(spark, "events-batch-stats")
     data_out = scratch_path(spark, "events-stats-data")
-    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA)
+    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=1)
     progress = S.run_available(stream, S.fan_out(S.batch_folder_sink(data_out), S.stats_sink(out, ["event_type"])),
                                scratch_path(spark, "events-stats-ckpt"))
     per_batch = spark.read.parquet(out)

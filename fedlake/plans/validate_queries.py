@@ -348,6 +348,54 @@ def q_violations_by_rule(spark, sf_dir):
     return V.violations_by_rule(V.validate(o, ORDER_RULES))
 
 
+@register("rule_date_range",
+          "SELECT o_orderkey, coalesce(CAST(o_orderdate AS DATE) NOT BETWEEN DATE '1994-01-01' AND DATE '1997-12-31', false) "
+          "AS out_of_range, CASE WHEN o_orderkey % 5 = 0 THEN true ELSE false END AS bad_text FROM orders")
+def q_rule_date_range(spark, sf_dir):
+    """dates within bounds, on a date column and on text (text that is no date fails, null passes)."""
+    o = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate",
+        F.when(F.col("o_orderkey") % 5 == 0, "soon").when(F.col("o_orderkey") % 5 == 1, None)
+        .otherwise("1995-05-05").alias("due"))
+    out = V.validate(o, [{"field": "o_orderdate", "type": "date_range", "id": "d", "min": "1994-01-01", "max": "1997-12-31"},
+                         {"field": "due", "type": "date_range", "id": "t", "min": "1995-01-01"}])
+    has = lambda i: F.exists("violations", lambda v: v["rule_id"] == i)
+    return out.select("o_orderkey", has("d").alias("out_of_range"), has("t").alias("bad_text"))
+
+
+@register("rule_conditional_null",
+          "SELECT o_orderkey, coalesce(o_orderkey % 4 = 1 AND o_totalprice > 100000, false) AS failed FROM orders")
+def q_rule_conditional_null(spark, sf_dir):
+    """A condition that is null is not met, so its rule does not apply."""
+    o = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.when(F.col("o_orderkey") % 4 < 2, F.col("o_orderkey") % 4).alias("k"))
+    out = V.validate(o, [{"field": "o_totalprice", "type": "conditional", "params": {
+        "when": "k = 1", "rule": {"type": "range", "params": {"max": 100000}}}}])
+    return out.select("o_orderkey", (F.size("violations") > 0).alias("failed"))
+
+
+@register("config_lost_values",
+          "SELECT l_orderkey, l_linenumber, l_linenumber % 3 = 0 AS lost_money, l_linenumber % 3 = 1 AS too_precise, "
+          "l_linenumber % 2 = 0 AND l_linenumber % 3 = 2 AS lost_date FROM lineitem")
+def q_config_lost_values(spark, sf_dir):
+    """V2, V10, V14 from the config: text that cleaning cannot convert, or rounds, is reported, not only nulled; the date
+    group is checked only where the amount group passed."""
+    import os
+
+    from ..spec import clean_and_validate, load_config
+    cfg = load_config(os.path.join(os.path.dirname(__file__), "award_rules.yaml"))
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") % 3 == 0, "n/a").when(F.col("l_linenumber") % 3 == 1, "$1.234").otherwise("$1,234.50")
+        .alias("federal_action_obligation"),
+        F.when(F.col("l_linenumber") % 2 == 0, "not a date").otherwise("09/30/1999").alias("solicitation_date"))
+    out = clean_and_validate(li, cfg)
+    has = lambda i: F.exists("violations", lambda v: v["rule_id"] == i)
+    return out.select("l_orderkey", "l_linenumber", has("federal_action_obligation:converted").alias("lost_money"),
+                      has("federal_action_obligation:numeric.money:precision").alias("too_precise"),
+                      has("solicitation_date:converted").alias("lost_date"))
+
+
 # --- config-driven cleaning + validation (F48 + V15 from field properties) ---------------
 
 _CFG_COLS = ["contract_transaction_unique_key", "federal_action_obligation", "potential_total_value_of_award",

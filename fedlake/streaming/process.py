@@ -34,7 +34,7 @@ def process_records(df: DataFrame, rules: Sequence[dict], parse: Callable[[DataF
     return out
 
 
-def read_jsonl_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1) -> DataFrame:
+def read_jsonl_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000) -> DataFrame:
     """R1 source: JSON-lines files arriving in ``path``; malformed lines dropped."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .option("mode", "DROPMALFORMED")

@@ -93,3 +93,12 @@ def test_enum_and_codes(spark):
 def test_raise_policy(spark):
     with pytest.raises(Exception):
         one(spark, strings.str_match(F.col("x"), "[0-9]+", on_error="raise"), "abc")
+
+
+def test_error_policies_keep_and_flag(spark):
+    from fedlake.functions.numbers import num_round_clamp
+    df = spark.createDataFrame([("1.5",), ("abc",)], "s string")
+    kept = [r.v for r in df.select(num_round_clamp("s", on_error="keep").alias("v")).collect()]
+    assert kept == ["1.5", "abc"]
+    flagged = [r.v for r in df.select(num_round_clamp("s", on_error="flag").alias("v")).collect()]
+    assert flagged[0].value == 1.5 and flagged[0].error is None and flagged[1].value is None and flagged[1].error

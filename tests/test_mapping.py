@@ -128,3 +128,22 @@ def test_role_edges_and_resolution(spark):
     assert got == [("c1", "contract_to_awarding_agency", "a:1", True),
                    ("c1", "contract_to_funding_agency", "a:9", False),
                    ("c2", "contract_to_awarding_agency", "a:1", True)]
+
+
+def test_reference_without_parts_and_constants(spark):
+    from fedlake.operators import mapping as M
+    df = spark.createDataFrame([(None, None), ("a", None)], "x string, y string")
+    keys = [r.k for r in df.select(M.map_reference(df, {"entity": "e", "key_fields": ["x", "y"]})["key"].alias("k")).collect()]
+    assert keys == [None, "a:"]
+    o = df.select(M.map_object(df, {"fields": {"kind": "not_applicable", "x": "x", "gone": {"field": "z"}}}).alias("o")).first().o
+    assert o.kind == "not_applicable" and o.gone is None
+
+
+def test_required_derived_field(spark):
+    import pytest
+    from fedlake.operators.derive import derive_fields
+    df = spark.createDataFrame([(None, None)], "a string, b string")
+    spec = {"c": {"type": "first_non_null", "sources": ["a", "b"], "required": True}}
+    assert derive_fields(df, spec, on_missing="flag").first().missing_fields == ["c"]
+    with pytest.raises(Exception, match="required field c"):
+        derive_fields(df, spec).collect()

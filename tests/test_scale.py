@@ -59,3 +59,36 @@ def test_entity_get_prunes_partitions(spark):
     store.write_entities(store.to_store_rows(rows, "thing"), root)
     plan = store.get_entity(spark, root, "thing", "x" * 64)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(entity_type" in plan and "shard" in plan.split("PartitionFilters")[1]
+
+
+def test_joins_are_sized_by_bytes(spark):
+    from fedlake.operators.joins import join_small
+    big = spark.range(1_000_000).withColumnRenamed("id", "k")
+    wide = spark.range(5000).select(F.col("id").alias("j"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 80).alias("text"))
+    joined = join_small(big, wide, F.col("k") == F.col("j"), materialize=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    assert "Broadcast" not in plan and "SinglePartition" not in plan
+
+
+def test_chunks_keep_the_order_of_a_repeated_key(spark):
+    df = spark.range(5000).select(F.lit("p").alias("p"), (F.col("id") % 3).alias("k"), "id")
+    rows = relations.chunked_collect(df, ["p"], F.col("k"), "k", chunk_size=1000).orderBy("chunk").collect()
+    assert [r.n_items for r in rows] == [1000] * 5
+    flat = [x for r in rows for x in r["items"]]
+    assert flat == sorted(flat)
+
+
+def test_unchanged_batch_writes_nothing(spark):
+    root = scratch_path(spark, "t-append")
+    rows = spark.createDataFrame([(str(i),) for i in range(50)], "v string")
+    assert store.upsert(spark, store.to_store_rows(rows, "thing"), root) == 50
+    before = sorted(spark.read.parquet(root).inputFiles())
+    assert store.upsert(spark, store.to_store_rows(rows, "thing"), root) == 0
+    assert sorted(spark.read.parquet(root).inputFiles()) == before
+    more = spark.createDataFrame([("new",)], "v string")
+    assert store.upsert(spark, store.to_store_rows(more, "thing"), root) == 1
+    assert set(before) < set(spark.read.parquet(root).inputFiles())

@@ -112,3 +112,36 @@ def test_entity_csv_roundtrip(spark):
     line = df.select(sinks.entity_csv_line(["a", "b", "c"]).alias("l"))
     back = line.select("l", sinks.entity_from_csv_line("l", ["a", "b", "c"]).alias("e")).first()
     assert back.e.a == "1" and back.e.b == "A, B"
+
+
+def test_each_file_by_its_own_header(spark, tmp_path):
+    _write(tmp_path / "a.csv", "id,name\n1,x\n")
+    _write(tmp_path / "b.csv", "name,extra,id\ny,e,2\n")
+    rows = {r.id: r for r in files.scan_csv(spark, str(tmp_path / "*.csv")).collect()}
+    assert rows["1"].name == "x" and rows["1"].extra is None and rows["2"].name == "y" and rows["2"].extra == "e"
+    _write(tmp_path / "c.txt", "id;'na;me'\n3;'a;b'\n")
+    r = files.scan_csv(spark, str(tmp_path / "c.txt"), sep=";", quote="'").first()
+    assert r["na;me"] == "a;b"
+
+
+def test_jsonl_schema_from_all_lines(spark, tmp_path):
+    _write(tmp_path / "x.jsonl", '{"a": 1}\n{"a": 2, "b": "late"}\n')
+    schema = files.jsonl_schema(spark, str(tmp_path / "x.jsonl"))
+    assert sorted(r.b or "" for r in files.scan_jsonl(spark, str(tmp_path / "x.jsonl"), schema).collect()) == ["", "late"]
+
+
+def test_zip_members_by_their_own_header(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "m.zip", "w") as z:
+        z.writestr("a.csv", 'id,name\n1,"two\nlines"\n')
+        z.writestr("b.csv", "name,id\nz,2\n")
+    rows = {r.id: r.name for r in files.scan_zip_csv(spark, str(tmp_path)).collect()}
+    assert rows == {"1": "two\nlines", "2": "z"}
+
+
+def test_crosswalk_selection_and_grouping(spark):
+    df = spark.createDataFrame([("PIID", "Award Attribute", "d1"), ("PIID", "Other", "d2"), ("X", "Award Attribute", "d3")],
+                               "Element string, Grouping string, Definition string")
+    got = files.select_crosswalk(df, {"award_id_piid": {"element": "PIID", "grouping": "Award Attribute"}}).collect()
+    assert [(r.field, r.Definition) for r in got] == [("award_id_piid", "d1")]
+    got = files.group_crosswalk(df, {"contract": [{"grouping": "Award Attribute", "elements": ["PIID", "X"]}]}).collect()
+    assert sorted((r.entity, r.Definition) for r in got) == [("contract", "d1"), ("contract", "d3")]

@@ -79,3 +79,18 @@ def test_compare_null_side_passes_and_equal_values(spark):
 def test_stats(spark):
     st = V.validation_stats(V.validate(_people(spark), RULES)).first()
     assert (st.records, st.valid_records, st.invalid_records, st.n_warning, st.n_error) == (2, 1, 1, 1, 3)
+
+
+def test_policy_counts_only_the_entitys_fields(spark):
+    out = V.validate(_people(spark), RULES)
+    assert V.apply_error_policy(out, "skip", fields=["name"]).count() == 1
+    assert V.apply_error_policy(out, "abort", fields=["k"]).count() == 2
+    with pytest.raises(ValueError):
+        V.apply_error_policy(out, "abort", fields=["email"])
+
+
+def test_group_error_level_and_null_condition(spark):
+    df = spark.createDataFrame([(None, 5), (True, 5)], "c boolean, v int")
+    rule = {"field": "v", "type": "conditional", "group": "g", "params": {"when": "c", "rule": {"type": "range", "params": {"max": 1}}}}
+    a, b = V.validate(df, [rule], groups={"g": {"error_level": "warning"}}).collect()
+    assert a.violations == [] and [v.severity for v in b.violations] == ["warning"]
