@@ -22,18 +22,15 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import packed_counts
 from .mixing import word_count
 
 ORDER = 3
 BACKOFF = 0.4
 HASH_BITS = 58
-#: Text in a block and n-grams in a bucket, about.
-BLOCK_BYTES = 16 << 20
-BUCKET_NGRAMS = 3 << 20
 REMEMBERED = 300_000
 
 
@@ -119,16 +116,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """Whole numbers as compressed byte planes."""
-    return zstandard.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel()
-
-
 def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """One row per input row: (id_col, n_words, log_score, mean_score, shortened).
@@ -141,9 +128,8 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, id_col:
     text = F.coalesce(F.col(text_col), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text)).alias("bytes"), F.sum(word_count(text)).alias("words")).first()
     words = int(size["words"] or 0)
-    n_blocks = max(1, math.ceil((size["bytes"] or 0) / BLOCK_BYTES))
-    bucket_bits = max(0, math.ceil(math.log2(max(1, words * order) / BUCKET_NGRAMS)))
-    shift = np.uint64(HASH_BITS - bucket_bits)
+    n_blocks = packed_counts.n_blocks(size["bytes"] or 0)
+    shift = packed_counts.bucket_shift(words * order, HASH_BITS)
     id_type = docs.schema[id_col].dataType.simpleString()
     # both sides of the last join read this one exchange
     dealt = docs.select(
@@ -152,43 +138,18 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, id_col:
 
     def explode(t: pa.Table) -> pa.Table:
         grams = Ngrams(t.column("text").to_pylist(), order)
-        bucket = (grams.keys >> shift).astype(np.int64)
-        used, starts = np.unique(bucket, return_index=True)
-        ends = np.append(starts[1:], len(bucket))
-        return pa.table({
-            "block": pa.array([t.column("block")[0].as_py()] * len(used), pa.int32()), "bucket": pa.array(used, pa.int32()),
-            # differences to the n-gram before; the first one keeps its value
-            "grams": pa.array([_pack(np.diff(grams.keys[a:b], prepend=np.uint64(0))) for a, b in zip(starts, ends)], pa.binary()),
-            "counts": pa.array([_pack(grams.counts[a:b]) for a, b in zip(starts, ends)], pa.binary())})
-
-    def add(t: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_unpack(g.as_py()), dtype=np.uint64) for g in t.column("grams")]
-        counts = np.concatenate([_unpack(c.as_py()) for c in t.column("counts")]).astype(np.int64)
-        all_keys = np.concatenate(keys)
-        order_ = np.argsort(all_keys, kind="stable")
-        s = all_keys[order_]
-        fresh = np.ones(len(s), bool)
-        fresh[1:] = s[1:] != s[:-1]
-        runs = np.cumsum(fresh) - 1
-        sums = np.add.reduceat(counts[order_], np.flatnonzero(fresh))
-        totals = np.empty(len(s), np.int64)
-        totals[order_] = sums[runs]
-        ends = np.cumsum([len(k) for k in keys])
-        return pa.table({"block": t.column("block"), "bucket": t.column("bucket"),
-                         "totals": pa.array([_pack(totals[e - len(k):e]) for k, e in zip(keys, ends)], pa.binary())})
+        return packed_counts.to_rows(t.column("block")[0].as_py(), grams.keys, grams.counts, shift)
 
     def sum_up(texts: pa.Table, counted: pa.Table) -> pa.Table:
         grams = Ngrams(texts.column("text").to_pylist(), order)
-        by_bucket = sorted(zip(counted.column("bucket").to_pylist(), counted.column("totals")), key=lambda r: r[0])
-        totals = np.concatenate([np.zeros(0, np.int64), *(_unpack(x.as_py()).astype(np.int64) for _, x in by_bucket)])
-        log_score, shortened = grams.scores(totals, words, backoff)
+        log_score, shortened = grams.scores(packed_counts.totals_of(counted), words, backoff)
         n = grams.lengths
         mean = [s / k if k else None for s, k in zip(log_score.tolist(), n.tolist())]
         return pa.table({"id": texts.column("id"), "n_words": pa.array(n, pa.int64()), "log_score": pa.array(log_score, pa.float64()),
                          "mean_score": pa.array(mean, pa.float64()), "shortened": pa.array(shortened, pa.int64())})
 
-    exploded = dealt.groupBy("block").applyInArrow(explode, "block int, bucket int, grams binary, counts binary")
-    counted = exploded.groupBy("bucket").applyInArrow(add, "block int, bucket int, totals binary")
+    exploded = dealt.groupBy("block").applyInArrow(explode, packed_counts.EXPLODED)
+    counted = packed_counts.counted(exploded)
     scored = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         sum_up, f"id {id_type}, n_words long, log_score double, mean_score double, shortened long")
     return scored.withColumnRenamed("id", id_col)

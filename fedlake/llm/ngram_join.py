@@ -3,9 +3,10 @@
 Two documents link when their sets of word shingles have a Jaccard similarity of at least ``percent`` / 100.
 
 1. Sets. Documents with the same set are one class (they link by themselves); only classes are searched.
-2. Lists. All shingles have one global order (rare before frequent, by a counting sketch of fixed size over all documents, then
-   by hash). Classes that link share a shingle among the first ``n - ceil(percent n / 100) + 1`` of each, so only those
-   are put in inverted lists. A list is named by its smallest class, and classes that share a list form a *bucket*
+2. Lists. Every shingle's number of documents is counted (``packed_counts``). A document of n shingles with fewer than
+   ``ceil(percent n / 100)`` that another one has as well links with nothing. Shingles have one global order, rare ones
+   first; classes that link share one of the first ``n - ceil(percent n / 100) + 1`` of each, so only those that
+   more than one document has are put in inverted lists. A list is named by its smallest class, and classes that share a list form a *bucket*
    under that name. Every linked pair meets in a bucket.
 3. Search. Classes are first searched against the index of their buckets' names, which joins most groups of near copies
    to one component at a cost of one row each. Every bucket that still holds several components is then searched in whole: all
@@ -21,10 +22,8 @@ import math
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
-from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,10 +31,12 @@ from pyspark.sql import functions as F
 
 from fedlake.session import materialize
 
+from . import packed_counts
 from .components import components
+from .mixing import word_count
 
-CELLS_LOG = 18
-CELL_BLOCK = 1 << 12
+#: Bits of the hashes that documents are counted by, beyond those that number the words of the corpus.
+SPARE_BITS = 10
 #: Shingles in the index of a block, about.
 BLOCK_TOKENS = 400_000
 #: Weight of DivideSkip's choice of long lists.
@@ -84,12 +85,6 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def ordered(h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Sorted hashes in the global order: those of frequent cells last."""
-    late = frequent[(h >> np.uint64(64 - CELLS_LOG)).astype(np.int64)]
-    return np.concatenate([h[~late], h[late]])
-
-
 class Index:
     """Inverted lists of the sets of a block."""
 
@@ -178,39 +173,6 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]
         yield start, held
 
 
-def frequent_cells(rows: DataFrame, k: int) -> np.ndarray:
-    """Which of 2^CELLS_LOG hash cells hold frequent shingles, by counts over all documents.
-
-    A cell is frequent if its count stands out of what the mean lets expect; any other choice would give the
-    same links, in more or less time.
-    """
-    def count(batches):
-        shingler, cells = Shingler(k), np.zeros(1 << CELLS_LOG, np.int64)
-        for batch in batches:
-            for _, texts in _texts(batch, 0):
-                h = np.concatenate([shingler.hashes(t) for t in texts])
-                cells += np.bincount((h >> np.uint64(64 - CELLS_LOG)).astype(np.int64), minlength=len(cells))
-        blocks = cells.astype("<u4").reshape(-1, CELL_BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()),
-                                          pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "counts"])
-
-    def add(key: tuple[Any, ...], parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(CELL_BLOCK, np.int64)
-        for part in parts:
-            for c in part["counts"]:
-                total += np.frombuffer(c, "<u4")
-        yield pd.DataFrame({"block": [key[0]], "counts": [total.astype("<i8").tobytes()]})
-
-    summed = rows.select("text").mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(
-        add, "block int, counts binary")
-    cells = np.zeros((1 << CELLS_LOG) // CELL_BLOCK * CELL_BLOCK, np.int64).reshape(-1, CELL_BLOCK)
-    for r in summed.collect():  # 2^CELLS_LOG counts
-        cells[r["block"]] = np.frombuffer(r["counts"], "<i8")
-    cells = cells.ravel()
-    mean = cells.mean()
-    return cells > mean + 8 * mean ** 0.5 + 8
-
-
 def _searched(rows: DataFrame, percent: int) -> DataFrame:
     """Links found in rows (key, role, rep, label, hashes): in each key the rows of role 0 are the index, those of role 1
     the queries. A link is kept if the labels differ. Rows of a key come together, index first."""
@@ -250,25 +212,41 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     are compared by 64-bit hashes.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_cells(rows, k))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(word_count(F.col("text"))).alias("words")).first()
+    words = int(size["words"] or 0)
+    n_blocks = packed_counts.n_blocks(size["bytes"] or 0)
+    # counts only rank shingles, so two that share a shorter hash do no harm
+    bits = min(64, words.bit_length() + SPARE_BITS)
+    cut, shift = np.uint64(64 - bits), packed_counts.bucket_shift(words, bits)
+    # both sides of the join below read this one exchange
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)).cast("int")).repartition(n_blocks, "block")
+
+    def explode(t: pa.Table) -> pa.Table:
+        shingler = Shingler(k)
+        h = np.concatenate([shingler.hashes(x.as_py()) for x in t.column("text")])
+        keys, counts = np.unique(h >> cut, return_counts=True)
+        return packed_counts.to_rows(t.column("block")[0].as_py(), keys, counts, shift)
 
-    def sketch(batches):
+    def sketch(texts: pa.Table, counted: pa.Table) -> pa.Table:
         shingler = Shingler(k)
-        for batch in batches:
-            for start, texts in _texts(batch, 1):
-                sizes, marks, firsts = [], [], []
-                for t in texts:
-                    h = shingler.hashes(t)
-                    n = len(h)
-                    sizes.append(n)
-                    marks.append(xxhash.xxh3_128_digest(h.tobytes()) if n else None)
-                    firsts.append(ordered(h, frequent.value)[:n - needed(n, percent) + 1].view(np.int64) if n else [])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-                     pa.array(firsts, pa.list_(pa.int64()))], names=["id", "n", "mark", "first"])
-
-    sketched, _ = materialize(rows.mapInArrow(sketch, "id long, n long, mark binary, first array<long>"), "shingle_sketch")
+        sets = [shingler.hashes(x.as_py()) for x in texts.column("text")]
+        totals = packed_counts.totals_of(counted)
+        keys = np.unique(np.concatenate(sets) >> cut)
+        marks, firsts = [], []
+        for h in sets:
+            least = needed(len(h), percent)
+            docs_of = totals[np.searchsorted(keys, h >> cut)]
+            order = np.argsort(docs_of, kind="stable")[:len(h) - least + 1]
+            linked = len(h) and (docs_of > 1).sum() >= least
+            marks.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
+            firsts.append(h[order[docs_of[order] > 1]].view(np.int64) if linked else [])
+        return pa.table({"id": texts.column("id"), "n": pa.array([len(h) for h in sets], pa.int64()),
+                         "mark": pa.array(marks, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))})
+
+    counted = packed_counts.counted(dealt.groupBy("block").applyInArrow(explode, packed_counts.EXPLODED))
+    sketched = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
+        sketch, "id long, n long, mark binary, first array<long>")
+    sketched, _ = materialize(sketched, "shingle_sketch")
     in_classes = sketched.where("n > 0 and id is not null")
     # n and first are functions of the set that mark stands for
     classes = in_classes.groupBy("mark").agg(F.min("id").alias("rep"), F.first("first").alias("first"))
