@@ -55,6 +55,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -80,11 +81,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application: functions that
-    run in Python workers are pickled by reference to it. A local master reads
-    it from the driver's own path."""
+    """Send this package to the Python workers, once per application: functions
+    that run there are pickled by reference to it, and a worker does not see the
+    driver's own import path."""
     sc = spark.sparkContext
-    if re.fullmatch(r"local(\[.*\])?", sc.master) or sc.applicationId in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     here = os.path.dirname(os.path.abspath(__file__))
     # executors fetch the file from the driver whenever they start, so it stays until the driver ends
