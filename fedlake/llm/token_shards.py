@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +28,26 @@ SHARD_TOKENS = 4 << 20
 REMEMBERED = 400_000
 FLUSH_BYTES = 8 << 20
 
-# Every match of byte-level pre-tokenisation ends before a space that follows a non-blank character.
+# Every match of byte-level pre-tokenisation ends before a space or line feed that follows a non-blank character, and
+# between letters and these signs.
 _UNSAFE = re.compile(r"\s ")
 _CHUNK = re.compile(r"\s*\S+|\s+")
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,!?#$%&*|;:]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from U+0100 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in prints else chr(next(others)) for b in range(256)}
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library. Texts are cut into words at safe boundaries; each distinct
-    word of a batch goes to the library once, and frequent ones are remembered."""
+    """Ids of texts by the tokenizers library.
+
+    Texts are cut at safe boundaries: into words and, for words not met before, into letters and closing signs.
+    Words of letters go to the library's model, anything else through its whole pipeline; the ids of words are remembered.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -42,38 +55,58 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.bits = max(1, (max(self.tok.get_vocab_size(), 2) - 1).bit_length())
-        self.kind = "<u2" if self.bits <= 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
+        self.kind, self.code = ("<u2", "H") if self.bits <= 16 else ("<u4", "I")
+        self.letters = _byte_letters()
+        #: ids of words with a space before them, and without
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _piped(self, text: str) -> bytes:
+        return self._ids(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _letters(self, word: str, plain: int) -> bytes:
+        """Ids of a word of letters."""
+        known = self.known[plain]
+        ids = known.get(word)
+        if ids is None:
+            model = (word if plain else " " + word).encode().decode("latin-1").translate(self.letters)
+            ids = self._ids([t.id for t in self.tok.model.tokenize(model)])
+            if len(known) < REMEMBERED:
+                known[word] = ids
+        return ids
+
+    def _word(self, word: str, plain: int) -> bytes:
+        """Ids of " " + word, or of word itself if ``plain``, between two safe boundaries."""
+        ids = self.known[plain].get(word)
+        if ids is not None:
+            return ids
+        if m := _WORD.fullmatch(word):
+            letters, signs = m.groups()
+            ids = self._letters(letters, plain)
+            return ids + self._word(signs, 1) if signs else ids
+        if "\n" in word and all(lines := word.split("\n")) and "".join(lines) == "".join(word.split()):
+            # a single line feed between other characters is a match of its own
+            return self._word(lines[0], plain) + b"".join([self._word("\n", 1) + self._word(x, 1) for x in lines[1:]])
+        ids = self._piped(word if plain else " " + word)
+        if len(self.known[plain]) < REMEMBERED:
+            self.known[plain][word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text, little-endian, in ``kind``."""
         if not text:
-            return []
+            return b""
         if _UNSAFE.search(text):
-            return _CHUNK.findall(text)
+            return b"".join([self._word(c[1:], 0) if c[0] == " " and not c[1:2].isspace() else self._piped(c)
+                             for c in _CHUNK.findall(text)])
         parts = text.split(" ")
-        return [w for w in (parts[0], *[" " + p for p in parts[1:]]) if w]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, little-endian, in ``kind``."""
-        known, cut = self.known, [self.words(t) for t in texts]
-        fresh = list({w for words in cut for w in words if w not in known})
-        found = dict(zip(fresh, (np.array(e.ids, self.kind).tobytes()
-                                 for e in self.tok.encode_batch_fast(fresh, add_special_tokens=False))))
-        if len(known) < REMEMBERED:
-            known.update(found)
-        else:
-            found = _Both(known, found)
-            return [b"".join([found[w] for w in words]) for words in cut]
-        return [b"".join([known[w] for w in words]) for words in cut]
-
-
-class _Both(dict):
-    def __init__(self, first: dict, second: dict):
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key):
-        return self.first[key]
+        ids = list(map(self.known[0].get, parts))
+        ids[0] = self._word(parts[0], 1) if parts[0] else b""
+        if None in ids:
+            ids = [self._word(p, 0) if i is None else i for p, i in zip(parts, ids)]
+        return b"".join(ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -102,7 +135,7 @@ def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
                 texts.append(t.as_py())
                 size += len(texts[-1])
                 if size >= FLUSH_BYTES or k == batch.num_rows - 1:
-                    coded = [c + end for c in enc.encode(texts)]
+                    coded = [enc.encode(x) + end for x in texts]
                     width = len(end)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(start, len(texts)), pa.array([len(c) // width for c in coded], pa.int64()),
