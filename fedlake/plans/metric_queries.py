@@ -120,10 +120,11 @@ def _thresholds(spark):
     return spark.createDataFrame(THRESHOLDS, "check string, minimum double")
 
 
-@register("quality_gate", _GATE_SQL)
+@register("quality_gate", "SELECT *, printf('%s: %.1f (minimum %.1f)', \"check\", coalesce(value, 0.0), minimum) AS message "
+                          f"FROM ({_GATE_SQL})")
 def q_quality_gate(spark, sf_dir):
     """Data-quality metrics against minimum thresholds (pass flag per check)."""
-    return metrics.quality_gate(_gate_metrics(spark, sf_dir), _thresholds(spark)).drop("message")
+    return metrics.quality_gate(_gate_metrics(spark, sf_dir), _thresholds(spark))
 
 
 @register("quality_gate_summary",
@@ -135,11 +136,11 @@ def q_quality_gate_summary(spark, sf_dir):
 
 
 @register("daily_history_30",
-          "SELECT CAST(ts AS DATE) AS day, arg_min(value, ts) AS value, min(ts) AS first_ts FROM events "
+          "SELECT CAST(ts AS DATE) AS day, first(value ORDER BY ts, event_id) AS value, min(ts) AS first_ts FROM events "
           "WHERE ts IS NOT NULL GROUP BY 1 ORDER BY day DESC LIMIT 30")
 def q_daily_history_30(spark, sf_dir):
     """One entry per day (first event wins), the last 30 days."""
-    return metrics.daily_history(load(spark, sf_dir, "events"), "ts", "value", 30)
+    return metrics.daily_history(load(spark, sf_dir, "events"), "ts", "value", 30, tiebreak="event_id")
 
 
 _FY_SQL = ("SELECT CAST(year(CAST(l.l_shipdate AS DATE) + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_year, "

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str, fields: Sequence[str] | None = None, mode: str = "error") -> None:
@@ -60,15 +61,15 @@ def export_views(views: Mapping[str, DataFrame], root: str, fmt: str = "parquet"
 
 
 def entity_csv_line(field_order: Sequence[str]) -> Column:
-    """Entity row -> CSV text in a fixed field order; missing -> ``""``."""
+    """Entity row -> CSV text in a fixed field order, quotes doubled; missing -> ``""``."""
     return F.to_csv(F.struct(*[F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("")).alias(f)
-                               for f in field_order]))
+                               for f in field_order]), {"escape": '"'})
 
 
 def entity_from_csv_line(c, field_order: Sequence[str]) -> Column:
     """CSV text -> struct of string fields in the same order."""
     schema = ", ".join(f"`{f}` string" for f in field_order)
-    return F.from_csv(F.col(c) if isinstance(c, str) else c, schema)
+    return F.from_csv(F.col(c) if isinstance(c, str) else c, schema, {"escape": '"'})
 
 
 def iso_text(c: Column, kind: str) -> Column:
@@ -81,20 +82,50 @@ def iso_text(c: Column, kind: str) -> Column:
         .otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
+def _portable(c: Column, kind: T.DataType) -> Column:
+    """A value as JSON holds it, at any depth: decimals as strings, dates and timestamps as ISO text."""
+    if isinstance(kind, T.DecimalType):
+        return c.cast("string")
+    if isinstance(kind, T.DateType):
+        return iso_text(c, "date")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return iso_text(c, "timestamp")
+    if isinstance(kind, T.StructType):
+        made = F.struct(*[_portable(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), made)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _portable(x, kind.elementType))
+    return c
+
+
 def entity_json(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """Entity row -> JSON: decimals as strings, dates and timestamps as
-    ISO text, nested structs as objects, null keys omitted."""
-    from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
-    cols = []
-    for f in df.schema.fields:
-        if columns and f.name not in columns:
-            continue
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, DecimalType):
-            c = c.cast("string")
-        elif isinstance(f.dataType, DateType):
-            c = iso_text(c, "date")
-        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
-            c = iso_text(c, "timestamp")
-        cols.append(c.alias(f.name))
-    return F.to_json(F.struct(*cols))
+    ISO text (nested ones too), nested structs as objects, null keys omitted."""
+    return F.to_json(F.struct(*[_portable(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+                                for f in df.schema.fields if not columns or f.name in columns]))
+
+
+def _as_text(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return T.StringType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return kind
+
+
+def _typed(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        made = F.struct(*[_typed(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), made)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _typed(x, kind.elementType))
+    return c if _as_text(kind) == kind else c.try_cast(kind)
+
+
+def entity_from_json(c, schema: T.StructType) -> Column:
+    """JSON text as ``entity_json`` writes it -> struct of ``schema``: strings become decimals, dates and
+    timestamps again, absent keys null; a value that is not of its type is null."""
+    col = F.col(c) if isinstance(c, str) else c
+    return _typed(F.from_json(col, _as_text(schema)), schema)

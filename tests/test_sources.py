@@ -145,3 +145,18 @@ def test_crosswalk_selection_and_grouping(spark):
     assert [(r.field, r.Definition) for r in got] == [("award_id_piid", "d1")]
     got = files.group_crosswalk(df, {"contract": [{"grouping": "Award Attribute", "elements": ["PIID", "X"]}]}).collect()
     assert sorted((r.entity, r.Definition) for r in got) == [("contract", "d1"), ("contract", "d3")]
+
+
+def test_entity_text_forms_round_trip(spark):
+    from decimal import Decimal
+    import datetime as dt
+    df = spark.createDataFrame(
+        [("1", 'say "hi", x', (Decimal("1.50"), dt.date(2024, 1, 2)), [(Decimal("2.25"),)]), ("2", None, None, None)],
+        "k string, t string, n struct<m:decimal(10,2),d:date>, l array<struct<m:decimal(10,2)>>")
+    line = df.select("k", "t", sinks.entity_csv_line(["k", "t"]).alias("c"))
+    back = {r.k: r for r in line.select("k", "c", sinks.entity_from_csv_line("c", ["k", "t"]).alias("r")).collect()}
+    assert back["1"].r.t == 'say "hi", x' and '""hi""' in back["1"].c
+    j = df.select(sinks.entity_json(df).alias("j"))
+    assert '"m":"1.50"' in j.first().j and '"m":"2.25"' in j.first().j
+    again = j.select(sinks.entity_from_json("j", df.schema).alias("e")).select("e.*")
+    assert sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
