@@ -35,9 +35,13 @@ REMEMBERED = 300_000
 
 
 class Ngrams:
-    """All n-grams of the documents of a block, sorted by hash."""
+    """The distinct n-grams of the documents of a block, one order after the other.
 
-    def __init__(self, texts: list[str], order: int):
+    ``keys`` (ascending) and ``counts`` are those of all orders. With ``places`` each word knows, for each order, the n-gram
+    that ends there and how often it stands in the word's own document.
+    """
+
+    def __init__(self, texts: list[str], order: int, places: bool):
         known: dict[bytes, int] = {}
         codes = [np.zeros(0, np.uint64)]
         lengths = []
@@ -53,42 +57,52 @@ class Ngrams:
                         got[i] = known[words[i]] = xxhash.xxh3_64_intdigest(words[i])
             codes.append(np.array(got, np.uint64))
         w = np.concatenate(codes)
+        del known, codes
         self.order, self.lengths = order, np.array(lengths, np.int64)
         self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.lengths)
         starts = np.cumsum(self.lengths) - self.lengths
         self.place = (np.arange(len(w)) - np.repeat(starts, self.lengths)).astype(np.int32)
-        hashes, ends, h = [], [], np.zeros(len(w), np.uint64)
+        distinct, counts, self.ends, self.key_at, self.own = [], [], [], [], []
+        h = np.zeros(len(w), np.uint64)
         for n in range(1, order + 1):
-            at = np.flatnonzero(self.place >= n - 1)
+            at = np.flatnonzero(self.place >= n - 1).astype(np.int32)
             before = h[at - 1] if n > 1 else np.zeros(len(at), np.uint64)
-            h = h.copy()
-            h[at] = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + w[at] + np.uint64(n))
-            hashes.append(h[at] >> np.uint64(64 - HASH_BITS))
-            ends.append(at)
-        self.ends = ends
-        all_h = np.concatenate(hashes)
-        docs = np.concatenate([self.doc[at] for at in ends])
-        self.sorted = np.argsort(all_h, kind="stable")  # documents stay in order within an n-gram
-        s, d = all_h[self.sorted], docs[self.sorted]
-        fresh = np.ones(len(s), bool)
-        fresh[1:] = s[1:] != s[:-1]
-        self.key_of = np.cumsum(fresh) - 1
-        self.keys = s[fresh]
-        self.counts = np.bincount(self.key_of, minlength=len(self.keys))
-        fresh[1:] |= d[1:] != d[:-1]
-        runs = np.cumsum(fresh) - 1
-        self.own_sorted = np.bincount(runs)[runs] if len(runs) else runs
+            now = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + w[at] + np.uint64(n))
+            h = np.zeros(len(w), np.uint64)
+            h[at] = now
+            now >>= np.uint64(64 - HASH_BITS)
+            by = np.argsort(now, kind="stable").astype(np.int32) if places else None  # documents stay in order
+            s = now[by] if places else np.sort(now)
+            fresh = np.ones(len(s), bool)
+            fresh[1:] = s[1:] != s[:-1]
+            distinct.append(s[fresh])
+            counts.append(np.diff(np.append(np.flatnonzero(fresh), len(s))))
+            if places:
+                self.ends.append(at)
+                key_at, own = np.empty(len(s), np.int32), np.empty(len(s), np.int32)
+                key_at[by] = np.cumsum(fresh) - 1
+                d = self.doc[at][by]
+                fresh[1:] |= d[1:] != d[:-1]
+                size = np.diff(np.append(np.flatnonzero(fresh), len(s)))
+                own[by] = np.repeat(size, size)
+                self.key_at.append(key_at)
+                self.own.append(own)
+        keys = np.concatenate(distinct)
+        by = np.argsort(keys, kind="stable")
+        self.keys, self.counts = keys[by], np.concatenate(counts)[by]
+        self.sizes = [len(x) for x in distinct]
+        self.merged = by
 
     def others(self, totals: np.ndarray) -> list[np.ndarray]:
         """For each order, the count of the n-gram that ends at each word, outside the word's document."""
-        left = np.empty(len(self.sorted), np.int64)
-        left[self.sorted] = totals[self.key_of] - self.own_sorted
-        out, at = [], 0
-        for ends in self.ends:
+        apart = np.empty(len(totals), np.int64)
+        apart[self.merged] = totals
+        out, first = [], 0
+        for ends, key_at, own, size in zip(self.ends, self.key_at, self.own, self.sizes):
             c = np.zeros(len(self.doc), np.int64)
-            c[ends] = left[at:at + len(ends)]
+            c[ends] = apart[first:first + size][key_at] - own
             out.append(c)
-            at += len(ends)
+            first += size
         return out
 
     def scores(self, totals: np.ndarray, words: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +110,7 @@ class Ngrams:
         c = self.others(totals)
         outside = words - np.repeat(self.lengths, self.lengths)
         longest = np.minimum(self.place + 1, self.order)
-        used = np.zeros(len(self.place), np.int64)
+        used = np.zeros(len(self.place), np.int32)
         log_s = longest * math.log(backoff) - np.log(outside + 1.0)
         for n in range(1, self.order + 1):
             at = np.flatnonzero(c[n - 1] > 0)
@@ -137,11 +151,11 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, id_col:
         F.col(id_col).alias("id"), text.alias("text")).repartition(n_blocks, "block")
 
     def explode(t: pa.Table) -> pa.Table:
-        grams = Ngrams(t.column("text").to_pylist(), order)
+        grams = Ngrams(t.column("text").to_pylist(), order, False)
         return packed_counts.to_rows(t.column("block")[0].as_py(), grams.keys, grams.counts, shift)
 
     def sum_up(texts: pa.Table, counted: pa.Table) -> pa.Table:
-        grams = Ngrams(texts.column("text").to_pylist(), order)
+        grams = Ngrams(texts.column("text").to_pylist(), order, True)
         log_score, shortened = grams.scores(packed_counts.totals_of(counted), words, backoff)
         n = grams.lengths
         mean = [s / k if k else None for s, k in zip(log_score.tolist(), n.tolist())]

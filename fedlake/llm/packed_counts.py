@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 #: Text in a block and keys in a bucket, about.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_KEYS = 3 << 20
 
 EXPLODED = "block int, bucket int, keys binary, counts binary"
