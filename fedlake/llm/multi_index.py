@@ -182,7 +182,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
                      pa.array([q] * len(used), pa.list_(pa.float64())),
                      pa.array([cells[bucket == b] for b in used], pa.list_(pa.int32()))], names=["bucket", "id", "v", "cells"])
 
-    asked = coded.where(is_query).select("id", "v").repartition("id").mapInArrow(
+    # a walk over the cells costs far more than its row's bytes tell, so the number of tasks is set
+    tasks = max(2 * spark.sparkContext.defaultParallelism, n // 20_000)
+    asked = coded.where(is_query).select("id", "v").repartition(tasks, "id").mapInArrow(
         visit, "bucket int, id long, v array<double>, cells array<int>")
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), parts_of - 1))).select(
         "bucket", "part", F.lit(1).alias("role"), "id", "v", F.lit(None).cast("int").alias("cell"), "cells")
