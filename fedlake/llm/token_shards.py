@@ -25,7 +25,7 @@ from . import wavelet
 END_ID = 0
 SHARD_TOKENS = 4 << 20
 #: Words whose ids a worker remembers; further ones are encoded each time.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 FLUSH_BYTES = 8 << 20
 
 # Every match of byte-level pre-tokenisation ends before a space or line feed that follows a non-blank character, and
@@ -85,7 +85,11 @@ class Encoder:
         if m := _WORD.fullmatch(word):
             letters, signs = m.groups()
             ids = self._letters(letters, plain)
-            return ids + self._word(signs, 1) if signs else ids
+            if signs:
+                ids += self._word(signs, 1)
+                if len(self.known[plain]) < REMEMBERED:
+                    self.known[plain][word] = ids
+            return ids
         if "\n" in word and all(lines := word.split("\n")) and "".join(lines) == "".join(word.split()):
             # a single line feed between other characters is a match of its own
             return self._word(lines[0], plain) + b"".join([self._word("\n", 1) + self._word(x, 1) for x in lines[1:]])
