@@ -285,7 +285,7 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     groups = near_groups(docs, k, percent, id_col, text_col)
     alone, _ = materialize(groups.where(F.col("component_id") == F.col(id_col)).select(
         F.col(id_col).alias("_id")), "near_stay")
-    stay = alone.distinct()
+    stay = alone.distinct().hint("merge")  # ids grow with the corpus: a shuffle join at every size
     kept = docs.alias("d").join(stay, F.col(f"d.{id_col}") == F.col("_id"), "left_semi")
     if alone.groupBy("_id").count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates([id_col])
@@ -314,7 +314,8 @@ def _all_links(rows: DataFrame, buckets: DataFrame, k: int, percent: int) -> Dat
                          pa.array(part, pa.binary())], names=["rep", "n", "hashes"])
 
     wanted = buckets.select(F.col("rep").alias("id")).distinct()
-    sets = rows.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    # a shuffle join at every size: texts that go on are few, but their ids grow with the corpus
+    sets = rows.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
     sets, _ = materialize(sets.mapInArrow(sets_of, "rep long, n long, hashes binary"), "shingle_sets")
 
     # against the names of buckets: each class goes to its smallest, names in several parts of the index if many come
