@@ -37,23 +37,43 @@ _NAMES = frozenset(
     "recommended related reply replies search share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "widget widgets".split())
 _QUALIFIERS = frozenset("with has no without".split())
+#: Names that text elements often have, too.
+_LOOSE = frozenset("banner header menu modal notice notices recommended related reply search social widget widgets".split())
+#: Elements whose classes and ids name a part of the page; those of others name a part of its text.
+_CONTAINERS = frozenset(
+    "address article aside center details dialog div dl figure footer form header hgroup main menu nav ol search section "
+    "table tbody tfoot thead tr ul".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|svg|canvas|title)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[a-z/!?][^>]*(?:>|\Z)", re.I | re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+# every attribute with its value, so that no value is read as a name
+_ATTR = re.compile(r"""([^\s"'/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?|"[^"]*"|'[^']*'""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
-def _is_furniture(name: str, attrs: str) -> bool:
-    if name in _FURNITURE:
+def _names_furniture(label: str, container: bool, inside: bool) -> bool:
+    """Whether one class or id of an element, in an article or not, names furniture."""
+    words = [w.lower() for w in _WORD.findall(label)]
+    named = {w for i, w in enumerate(words) if w in _NAMES and not (i and words[i - 1] in _QUALIFIERS)}
+    if container:
+        return bool(named - {"header"} if inside else named)  # a header in an article is the article's
+    if inside and not all(w in named or w.isdigit() for w in words):
+        return False
+    return bool(named - _LOOSE)
+
+
+def _is_furniture(name: str, attrs: str, inside: bool) -> bool:
+    """Whether an element is furniture by its tag or attributes, ``inside`` an article or not."""
+    if name in _FURNITURE and not (inside and name == "header"):
         return True
     if not attrs or attrs.isspace() or name in ("html", "body", "article", "main"):
         return False
     for m in _ATTR.finditer(attrs):
-        key, value = m[1].lower(), (m[2] or "").strip("\"'")
+        key, value = (m[1] or "").lower(), (m[2] or "").strip("\"'")
         if key == "role":
             if value.lower() in _ROLES:
                 return True
@@ -62,11 +82,9 @@ def _is_furniture(name: str, attrs: str) -> bool:
         elif key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        else:
-            for label in value.split():
-                words = [w.lower() for w in _WORD.findall(label)]
-                if any(w in _NAMES and not (i and words[i - 1] in _QUALIFIERS) for i, w in enumerate(words)):
-                    return True
+        elif key == "class" or (key == "id" and not (inside and name in _HEADINGS)):  # ids of headings are made of their text
+            if any(_names_furniture(label, name in _CONTAINERS, inside) for label in value.split()):
+                return True
     return False
 
 
@@ -126,7 +144,7 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
             marked = True
         elif name == "a":
             state["links"] = 1
-        elif name not in _VOID and _is_furniture(name, m["attrs"]):
+        elif name not in _VOID and _is_furniture(name, m["attrs"], state["articles"] > 0):
             end_line()
             skip, depth = name, 1
             out.extend([("", 0, False)] * WINDOW)

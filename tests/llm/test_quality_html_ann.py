@@ -80,6 +80,22 @@ def test_main_text():
     assert len(html_text.main_text(long)) == 50_000 * len("some words & more ") - 1
 
 
+@pytest.mark.parametrize("part", [
+    '<p title="the hidden cost">T</p>', '<div data-id="ad-12">T</div>', '<blockquote cite="https://x.org/?id=share">T</blockquote>',
+    "<p data-class='ad' alt=class=ad>T</p>", '<h2 class="section-header">T</h2>', '<div class="article-header">T</div>',
+    '<p class="widget-text">T</p>', '<h3 class="header">T</h3>', '<h2 id="related-work">T</h2>', '<p class="social">T</p>',
+    '<header><h1>T</h1><nav>no</nav></header>'])
+def test_article_text_stays(part):
+    assert html_text.main_text(f"<article><p>a</p>{part}<p>b</p></article>") == "a T b"
+
+
+@pytest.mark.parametrize("part", [
+    "<div title='x' class='ad'>T</div>", "<div CLASS=share>T</div>", "<p hidden>T</p>", "<p title=x hidden=''>T</p>", "<p class='ad-1'>T</p>",
+    "<div class='search-box'>T</div>", "<div id='comments'>T</div>", "<p aria-hidden='true'>T</p>", "<footer>T</footer>"])
+def test_furniture_of_an_article_goes(part):
+    assert html_text.main_text(f"<article><p>a</p>{part}<p>b</p></article>") == "a b"
+
+
 def test_extract(spark):
     rows = [(1, "u", ARTICLE, "x"), (1, "u", ARTICLE, "x"), (2, None, None, "x"), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
