@@ -2,8 +2,9 @@
 
 Markup is stripped into lines, one per block-level element. The weight of a line is its text length; lines
 of page furniture (menus, forms, adverts, comments ...) weigh nothing. Weights are summed over sliding windows of
-WINDOW lines; text begins where the sums surge above a threshold and ends where they dive to nothing, and all lines
-between are kept. If the page marks its article, only lines in it weigh anything and any weight is a surge.
+WINDOW lines; text begins where the sums first surge above a threshold, and from there all lines are kept but those of a
+dive: WINDOW lines or more without weight, as lists of links are. Furniture removed after the beginning is no dive. If the
+page marks its article, only lines in it weigh anything and any weight is a surge.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 WINDOW = 3
 #: Sum of a window at which text begins on a page without an article element.
 SURGE = 80
-#: Share of a line's text in links from which it weighs nothing, on such a page.
+#: Share of a line's text in links from which only what is beside them weighs, on such a page.
 LINKS = 0.5
 FLUSH_CHARS = 4 << 20
 
@@ -89,13 +90,14 @@ def _is_furniture(name: str, attrs: str, inside: bool) -> bool:
 
 
 def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines of a page, as (text, characters of it in links, in an article), and whether it marks an article.
+    """Lines of a page, as (text, weight, in an article), and whether it marks an article.
 
-    An empty text stands for furniture. Character references are decoded, white space is one space.
+    An empty text stands for furniture. The weight is the text's length; for a line of links, the number of letters and
+    digits beside them. Character references are decoded, white space is one space.
     """
     out: list[tuple[str, int, bool]] = []
     words: list[str] = []
-    in_link = [0]
+    in_link: list[str] = []
     state = {"articles": 0, "links": 0}
     skip, depth, marked, at = None, 0, False, 0
 
@@ -104,14 +106,17 @@ def lines(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
             part = _html.unescape(part)
             words.append(part)
             if state["links"]:
-                in_link[0] += len(part.strip())
+                in_link.append(part.strip())
 
     def end_line() -> None:
         joined = " ".join("".join(words).split())
         if joined:
-            out.append((joined, in_link[0], state["articles"] > 0))
+            weight = len(joined)
+            if sum(map(len, in_link)) >= LINKS * weight:
+                weight = sum(map(str.isalnum, joined)) - sum(map(str.isalnum, "".join(in_link)))
+            out.append((joined, weight, state["articles"] > 0))
         words.clear()
-        in_link[0] = 0
+        in_link.clear()
 
     for m in _TAG.finditer(html):
         text(html[at:m.start()])
@@ -157,26 +162,28 @@ def main_text(html: str) -> str:
     """The main text of a page; empty if it has none."""
     found, marked = lines(html)
     if marked:
-        weights = [len(t) if inside else 0 for t, _, inside in found]
-        surge = 1
+        return " ".join(t for t, _, inside in found if inside and t)
+    weights = [w for _, w, _ in found]
+    sums = [sum(weights[i:i + WINDOW]) for i in range(len(weights))]
+    # if no window of a short page is a surge, its text begins with its first line
+    surge = SURGE if max(sums, default=0) >= SURGE else 1
+    for start, (t, weight, _) in enumerate(found):
+        # surge: the window that begins here is high enough, and this line is not of links or has its share of it
+        if weight and sums[start] >= surge and (weight == len(t) or weight * WINDOW >= surge):
+            break
     else:
-        weights = [len(t) if t and links < LINKS * len(t) else 0 for t, links, _ in found]
-        # a short page without an article still has a text: its highest window is a surge
-        surge = min(SURGE, max((sum(weights[i:i + WINDOW]) for i in range(len(weights))), default=0))
+        return ""
     kept: list[str] = []
-    i, n = 0, len(weights)
-    while i < n:
-        # surge: the window that begins here is high enough, and this line has text
-        if not weights[i] or sum(weights[i:i + WINDOW]) < max(1, surge):
-            i += 1
-            continue
-        # dive: a whole window of lines without text
-        j = i
-        while j < n and any(weights[j:j + WINDOW]):
-            if weights[j]:
-                kept.append(found[j][0])
-            j += 1
-        i = j
+    gap: list[str] = []
+    for t, weight, _ in found[start:]:
+        if weight:
+            # dive: a whole window of lines without weight; removed elements are none
+            if len(gap) < WINDOW:
+                kept.extend(gap)
+            kept.append(t)
+            gap = []
+        elif t:
+            gap.append(t)
     return " ".join(kept)
 
 

@@ -96,6 +96,29 @@ def test_furniture_of_an_article_goes(part):
     assert html_text.main_text(f"<article><p>a</p>{part}<p>b</p></article>") == "a b"
 
 
+def test_page_without_article():
+    body = "<p>" + "a long paragraph " * 9 + "</p>"
+    ad = '<div class="ad">x</div>'
+
+    def text(html):
+        got = html_text.main_text(f"<div>{html}</div>")
+        assert "x" not in got and got.startswith("a long paragraph")
+        return got.rpartition("paragraph ")[2]
+
+    assert text(body + ad + "<p>A short last one.</p>") == "A short last one."
+    assert text(body + ad + "<p>Yes?</p><p>No.</p>" + ad + "<ul><li>one<li>two</ul>" + ad * 5 + "<p>end</p>") == "Yes? No. one two end"
+    half = "<p>See the <a href=u>whole long statement of it</a> too.</p>"
+    assert text(body + half) == text(body + ad + half) == "See the whole long statement of it too."
+    # a link alone between lines of text stays; a list of links and what links end the page do not
+    link = "<p><a href=u>link</a></p>"
+    assert text(body + link + "<p>end</p>" + link) == "link end"
+    assert text(body + link * 9 + "<p>end</p>") == "end"
+    assert text(link * 2 + body + "end") == "end"
+    assert html_text.main_text("<p>First.</p>" + ad + "<p>Then a second.</p>") == "First. Then a second."
+    first = "<p>" + "word " * 20 + "<a href=u>" + "word " * 20 + "</a></p>"
+    assert html_text.main_text(first + body) == ("word " * 40 + "a long paragraph " * 9).strip()
+
+
 def test_extract(spark):
     rows = [(1, "u", ARTICLE, "x"), (1, "u", ARTICLE, "x"), (2, None, None, "x"), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
