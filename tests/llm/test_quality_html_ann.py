@@ -119,6 +119,45 @@ def test_page_without_article():
     assert html_text.main_text(first + body) == ("word " * 40 + "a long paragraph " * 9).strip()
 
 
+LONG = "a long paragraph " * 9 + "end"
+
+
+@pytest.mark.parametrize("html", [
+    # comments and teasers beside and in an article
+    f"<article><p>{LONG}</p><section class=comments><article class=comment>no</article></section></article>",
+    f"<article><p>{LONG}</p><article id=comment-12 class='comment even'>no</article></article>",
+    f"<article><p>{LONG}</p></article><aside class=related><article>no</article><article>no</article></aside>",
+    f"<aside><div><article><p>no</article></aside><main><p>{LONG}</p></main><nav><article>no</article></nav>",
+    # and as the only articles
+    f"<body><p>{LONG}</p><section class=comments><article class=comment>no</article></section></body>",
+    f"<p>{LONG}</p><article class='teaser-card'>no</article><div class=sidebar><article>no</article></div>",
+    # furniture that was never closed
+    f"<nav><ul><li>no<article><p>{LONG}</p></article><nav>no</nav>",
+    f"<div><div class=ad>no<article><p>{LONG}</p></article>",
+    f"<section><div class=ad>no</section><article><p>{LONG}</p></article><div>no</div>",
+    f"<p class=ad>no<p>{LONG}</p>",
+    f"<ul><li class=ad>no<li>{LONG}</ul>",
+    # articles that furniture's names do not concern, and wrappers of a page
+    f"<article class='post category-social comments-open'><p>{LONG}</p></article><p>no</p>",
+    f"<form id=page><nav>no</nav><article><p>{LONG}</p></article></form>",
+    f"<div class=header-fixed><main><p>{LONG}</p></main></div><article class=teaser>no</article>",
+    f"<div class=layout-sidebar><article><p>{LONG}</p></article></div><p>no</p>"])
+def test_articles_that_are_not_the_page_s(html):
+    assert html_text.main_text(html) == LONG
+
+
+def test_ends():
+    def ends(html):
+        tags = [((m["name"] or "").lower(), bool(m["close"])) for m in html_text._TAG.finditer(html)]
+        return [e for e, (_, closing) in zip(html_text._ends(tags), tags) if not closing]
+
+    assert ends("<div><p>a<p>b<br></div><p>") == [(4, True), (2, False), (4, False), (6, False), (6, False)]
+    assert ends("<b><i></b></i></b>") == [(2, True), (3, True)]
+    assert ends("<table><tr><td><p>a<td>b<tr><td></table>") == [
+        (7, True), (5, False), (4, False), (4, False), (5, False), (7, False), (7, False)]
+    assert ends("<head><body><p><span></body></span>") == [(1, False), (4, True), (4, False), (4, False)]
+
+
 def test_extract(spark):
     rows = [(1, "u", ARTICLE, "x"), (1, "u", ARTICLE, "x"), (2, None, None, "x"), (None, "v", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
