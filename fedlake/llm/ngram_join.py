@@ -207,9 +207,9 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
 
     ``component_id`` is the smallest id reachable by links, the row's own if it has none. Null and empty texts
     have no shingles and link with nothing. A null id takes no part and has a null component.
-    Rows that repeat an id are one document for linking. Other columns are
+    Rows that repeat an id are one document for linking, with the links of each of their texts. Other columns are
     left out, whatever their names. An empty table gives no rows. Shingles
-    are compared by 64-bit hashes.
+    are compared by 64-bit hashes, and sets of an id that has several go by such a hash.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(word_count(F.col("text"))).alias("words")).first()
@@ -248,8 +248,15 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
         sketch, "id long, n long, mark binary, first array<long>")
     sketched, _ = materialize(sketched, "shingle_sketch")
     in_classes = sketched.where("n > 0 and id is not null")
+    # ids that stand in several classes
+    several, n_several = materialize(
+        in_classes.select("id", "mark").distinct().groupBy("id").count().where("count > 1").select("id"), "ids_of_several")
     # n and first are functions of the set that mark stands for
     classes = in_classes.groupBy("mark").agg(F.min("id").alias("rep"), F.first("first").alias("first"))
+    if n_several:
+        # such an id names no class: its classes go by their sets
+        classes = classes.join(several, F.col("rep") == F.col("id"), "left").select(
+            "mark", F.when(F.col("id").isNotNull(), _set_name()).otherwise(F.col("rep")).alias("rep"), "first", F.col("rep").alias("least"))
     classes, _ = materialize(classes, "shingle_classes")
 
     postings = classes.select("rep", F.explode("first").alias("shingle"))
@@ -259,19 +266,23 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     buckets, n = materialize(buckets, "buckets")
     links, label = None, None
     if n:
-        links = _all_links(rows, buckets, k, percent)
+        wanted = buckets.select("rep").distinct()
+        if n_several:
+            wanted = wanted.join(classes.select("rep", "least"), "rep").select(
+                F.col("least").alias("id"), (F.col("rep") != F.col("least")).alias("several")).distinct()
+        else:
+            wanted = wanted.withColumnRenamed("rep", "id")
+        links = _all_links(_sets(rows, wanted, k), buckets, percent)
     own = sketched.select("id", "n", "mark")
     of_class = classes.select("mark", "rep")
     if links is not None:
         label = components(links)
         of_class = of_class.join(label, F.col("rep") == F.col("node"), "left").select(
             "mark", F.coalesce("component", "rep").alias("rep"))
-    # an id that stands in several classes links them
-    several = in_classes.select("id", "mark").distinct().groupBy("id").count().where("count > 1")
     of_class, _ = materialize(of_class, "class_components")
     member = own.join(of_class, "mark", "left").select("id", "n", F.coalesce("rep", "id").alias("component_id"))
     member, _ = materialize(member, "members")
-    if several.limit(1).count():
+    if n_several:  # an id that stands in several classes links them
         member = _united(member)
     return member.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                          F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
@@ -292,32 +303,63 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
 
 
+def _set_name():
+    """A number for a class that its smallest id does not name, by its set."""
+    return F.xxhash64("mark")
+
+
 def _united(member: DataFrame) -> DataFrame:
-    """Unite the components of rows that share an id."""
+    """Unite the components of rows that share an id, under the smallest id of each."""
     known = member.where("id is not null")
     joined = components(known.select(F.col("id").alias("a"), F.col("component_id").alias("b")))
-    return member.alias("m").join(joined.alias("j"), F.col("m.id") == F.col("j.node"), "left").select(
-        "m.id", "m.n", F.coalesce("j.component", "m.component_id").alias("component_id"))
+    placed = known.select("id", "component_id").distinct().join(joined, F.col("component_id") == F.col("node"), "left").select(
+        "id", F.coalesce("component", "component_id").alias("component"))
+    placed, _ = materialize(placed.distinct(), "united")
+    least = placed.groupBy("component").agg(F.min("id").alias("least"))
+    of_id = placed.join(least, "component").select(F.col("id").alias("of"), "least")
+    return member.join(of_id, F.col("id") == F.col("of"), "left").select(
+        "id", "n", F.coalesce("least", "component_id").alias("component_id"))
 
 
-def _all_links(rows: DataFrame, buckets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links between classes that join everything that is linked."""
+def _sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(rep, n, hashes): the sets of classes by the texts of the wanted ids. If wanted has a column ``several``, ids for which it
+    is true have several sets, each under its own name."""
+    by_set = "several" in wanted.columns
+
     def sets_of(batches):
-        shingler = Shingler(k)
+        shingler, seen = Shingler(k), set()
         for batch in batches:
             for start, texts in _texts(batch, 1):
                 h = [shingler.hashes(t).tobytes() for t in texts]
                 for at in range(0, len(h), 256):
                     part = h[at:at + 256]
-                    yield pa.RecordBatch.from_arrays(
+                    out = pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(start + at, len(part)), pa.array([len(x) // 8 for x in part], pa.int64()),
                          pa.array(part, pa.binary())], names=["rep", "n", "hashes"])
+                    if not by_set:
+                        yield out
+                        continue
+                    # a set once, also if an id has several texts of it
+                    marks = [xxhash.xxh3_128_digest(x) if x else None for x in part]
+                    own = batch.column(2).slice(start + at, len(part)).to_pylist()
+                    stay = [i for i, m in enumerate(marks) if m and not (own[i] and (m in seen or seen.add(m)))]
+                    out = out.append_column("mark", pa.array([m if s else None for m, s in zip(marks, own)], pa.binary()))
+                    yield out.take(pa.array(stay, pa.int64()))
 
-    wanted = buckets.select(F.col("rep").alias("id")).distinct()
     # a shuffle join at every size: texts that go on are few, but their ids grow with the corpus
-    sets = rows.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
-    sets, _ = materialize(sets.mapInArrow(sets_of, "rep long, n long, hashes binary"), "shingle_sets")
-
+    if not by_set:
+        sets = rows.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+        sets = sets.mapInArrow(sets_of, "rep long, n long, hashes binary")
+    else:
+        sets = rows.join(wanted.hint("merge"), "id").withColumn("_text", F.xxhash64("text")).dropDuplicates(["id", "_text"])
+        sets = sets.select("id", "text", "several").mapInArrow(sets_of, "rep long, n long, hashes binary, mark binary").select(
+            F.when(F.col("mark").isNotNull(), _set_name()).otherwise(F.col("rep")).alias("rep"), "n", "hashes")
+    sets, _ = materialize(sets, "shingle_sets")
+    return sets
+
+
+def _all_links(sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+    """Links between classes that join everything that is linked."""
     # against the names of buckets: each class goes to its smallest, names in several parts of the index if many come
     home = buckets.groupBy("rep").agg(F.min(F.struct("name", "length")).alias("home")).select(
         "rep", F.col("home.name").alias("name"), F.col("home.length").alias("length"))

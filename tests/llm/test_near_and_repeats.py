@@ -55,6 +55,22 @@ def test_near_groups_against_brute_force(spark, monkeypatch, k, percent):
         [i for i, c in want.items() if i == c] + [i for i, _ in rows if i is None])
 
 
+def test_ids_with_several_texts(spark):
+    """Near copies of each text of such an id, and of other texts, are linked; a repeated id of one set stays as it was."""
+    def text(name, changed=None):
+        return " ".join("changed" if j == changed else f"{name}{j}" for j in range(120))
+
+    rows = [(5, text("a")), (5, text("b")), (5, text("c")), (9, text("b", 50)), (8, text("a", 50)), (7, text("c", 50)),
+            (3, text("d")), (4, text("d")), (4, text("e")), (6, text("e", 50)), (10, text("f")), (10, text("F")), (11, text("f", 50)),
+            (-4, text("g")), (12, text("g")), (12, text("h")), (13, text("h", 60)), (14, text("h")), (5, None), (20, "z"), (None, text("a"))]
+    want = united(rows, 4, 85)
+    assert [want[i] for i in (9, 8, 7, 6, 11, 13)] == [5, 5, 5, 3, 10, -4]
+    for order in (rows, rows[::-1]):
+        got = ngram_join.near_groups(documents(spark, [(i, t, "en", "s", 1) for i, t in order]), 4, 85).collect()
+        assert len(got) == len(rows)
+        assert {(r.doc_id, r.component_id) for r in got} == {*want.items(), (None, None)}
+
+
 def test_chain_of_near_copies_in_one_large_bucket(spark, monkeypatch):
     """Each text is near the next only; blocks are small, so the bucket is searched in several."""
     monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 2_000)
