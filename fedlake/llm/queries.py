@@ -72,7 +72,7 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .token_shards import read_shards, write_shards
 
-    path = write_shards(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
+    path = write_shards(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), added=True)
     return read_shards(spark, path)
 
 

@@ -47,14 +47,21 @@ class Encoder:
 
     Texts are cut at safe boundaries: into words and, for words not met before, into letters and closing signs.
     Words of letters go to the library's model, anything else through its whole pipeline; the ids of words are remembered.
+    With ``added``, the strings of the tokenizer's added tokens have their ids, as the library's default is; otherwise
+    they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.bits = max(1, (max(self.tok.get_vocab_size(), 2) - 1).bit_length())
+        self.tok.encode_special_tokens = not added
+        tokens = self.tok.get_added_tokens_decoder() if added else {}
+        self.added = {t.content: i for i, t in tokens.items()}
+        #: around such tokens the text can be cut
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if tokens and not any(
+            t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens.values()) else None
+        self.bits = max(1, max(self.tok.get_vocab_size() - 1, 1, *tokens).bit_length())
         self.kind, self.code = ("<u2", "H") if self.bits <= 16 else ("<u4", "I")
         self.letters = _byte_letters()
         #: ids of words with a space before them, and without
@@ -100,6 +107,18 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, little-endian, in ``kind``."""
+        if any(a in text for a in self.added):
+            if self.cut is None:
+                return self._piped(text)
+            ids, at = [], 0
+            for m in self.cut.finditer(text):
+                ids += [self._ordinary(text[at:m.start()]), self._ids([self.added[m[0]]])]
+                at = m.end()
+            return b"".join([*ids, self._ordinary(text[at:])])
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if not text:
             return b""
         if _UNSAFE.search(text):
@@ -113,25 +132,26 @@ class Encoder:
         return b"".join(ids)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, added: bool) -> Encoder:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = Encoder(path, added)
+    return _ENCODERS[path, added]
 
 
-def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+                added: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids): every whole text's ids with END_ID after them, as binary; null texts are empty."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
-        enc = _encoder(tokenizer_path)
+        enc = _encoder(tokenizer_path, added)
         end = np.array([END_ID], enc.kind).tobytes()
         for batch in batches:
             start, size, texts = 0, 0, []
@@ -150,21 +170,22 @@ def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id",
-                 text_col: str = "text") -> str:
+                 text_col: str = "text", added: bool = False) -> str:
     """Encode ``docs`` and write their shards in ascending document id order; returns the folder.
 
     Shards hold about SHARD_TOKENS ids (a longer document is a shard of its own). A null id comes first;
-    rows that share an id follow each other by their ids' checksum and length. An empty table writes no shard.
+    rows that share an id follow each other by their ids' checksum and length. An empty table writes no shard. With ``added``, strings of added
+    tokens have their ids; otherwise they are ordinary text.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token_shards")
-    tokens, _ = materialize(token_table(docs, tokenizer_path, id_col, text_col), "token_table")
+    tokens, _ = materialize(token_table(docs, tokenizer_path, id_col, text_col, added), "token_table")
     order = ["doc_id", "crc", "n_tokens", "place"]
     ordered = tokens.withColumn("crc", F.crc32("ids")).withColumn("place", F.monotonically_increasing_id())
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
 
     def build(batches):
-        enc = _encoder(tokenizer_path)
+        enc = _encoder(tokenizer_path, added)
         part, held, size, number = TaskContext.get().partitionId(), [], 0, 0
         for batch in batches:
             for d, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):

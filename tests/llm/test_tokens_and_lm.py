@@ -47,6 +47,22 @@ def test_pieces_give_the_ids_of_the_whole(reference):
     assert byte_bpe.decode_ids(enc, np.array([half], "<u4").tobytes()) == b"\xc3"
 
 
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    from fedlake.llm.queries import QUERIES
+
+    end = "<|endoftext|>"
+    samples = ["", end, end * 2, f"a {end} b", f"a  {end}\n\n b c{end}", f"quote '{end}', and <|endoftext| >.", *texts()[-8:]]
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = [tok.encode(t, add_special_tokens=False).ids for t in samples]
+    enc = token_shards.Encoder(P.path("byte_bpe_50k.json"), added=True)
+    assert [np.frombuffer(enc.encode(t), enc.kind).tolist() for t in samples] == want and 50256 in want[1]
+    documents(spark, [(i, t, "en", "s", 1) for i, t in enumerate(samples)]).write.parquet(f"{tmp_path}/documents.parquet")
+    at = 0
+    for r, ids in zip(QUERIES["op8_token_shards"](spark, str(tmp_path)).orderBy("start").collect(), want):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes()))
+        at += r.n_tokens
+
+
 def test_shards_read_back(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(token_shards, "SHARD_TOKENS", 5_000)
     docs = documents(spark)
