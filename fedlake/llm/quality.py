@@ -7,7 +7,8 @@ Words share SLOTS hashed slots, so the table of context vectors is SLOTS x DIM w
 the corpus; the sums are of whole numbers, so they do not depend on the order of tasks.
 
 A document is the mean of its words' context vectors and of the index vectors of their shapes (runs of letters,
-capitals, digits and other signs; a word that repeats the one before has a shape of its own). The network has one
+capitals, digits and other signs; a word that repeats the one before has a shape of its own). Longer words than PIECE
+are cut, and each piece is a word. The network has one
 hidden layer and is trained in numpy on at most ``sample`` labelled documents.
 """
 
@@ -31,6 +32,8 @@ SLOTS = 8192
 SHAPES = 512
 NONZERO = 4
 BLOCK = 256
+#: Characters of a word, at most.
+PIECE = 64
 #: Labelled documents the network is fitted to, at most.
 SAMPLE = 20_000
 THRESHOLD = 0.7
@@ -57,7 +60,7 @@ def index_vectors(n: int, salt: int) -> np.ndarray:
 
 def shape(word: str) -> int:
     """Number of a word's shape, from 1."""
-    s = word[:64]
+    s = word
     for pattern, by in _RUNS:
         s = pattern.sub(by, s)
     return 1 + xxhash.xxh3_64_intdigest(s) % (SHAPES - 1)
@@ -78,6 +81,8 @@ class Terms:
             for i, c in enumerate(codes):
                 if c is None:
                     w = words[i]
+                    if len(w) > PIECE:  # never remembered, so no long word is missed
+                        return self.of([x[at:at + PIECE] for x in words for at in range(0, len(x), PIECE)])
                     codes[i] = known[w] = xxhash.xxh3_64_intdigest(w) % SLOTS * SHAPES + shape(w)
         code = np.array(codes, np.int64)
         slots, shapes = code // SHAPES, code % SHAPES

@@ -44,6 +44,21 @@ def test_few_labels(spark, rows):
     assert quality.score(none, *quality.train(none, labels)).count() == 0
 
 
+def test_texts_without_blanks_count_whole():
+    terms = quality.Terms()
+    cjk = "漢字仮名交じり文" * 40
+    table = np.random.default_rng(2).normal(size=(quality.SLOTS, quality.DIM)).astype(np.float32)
+    slots, shapes = terms.of(["a", cjk + "x1", "b"])
+    assert len(slots) == len(shapes) == 2 + -(-(len(cjk) + 2) // 64)
+    a, b = quality.pooled(terms, [cjk + "!!9 end", cjk + "tail end"], table), quality.pooled(terms, [cjk + "!!9 end"], table)
+    assert np.array_equal(a[0], b[0]) and not np.array_equal(a[0, quality.DIM:-1], a[1, quality.DIM:-1])
+    # what stands after the first piece has its shapes
+    one, other = quality.pooled(terms, ["a" * 64 + "7" * 64, "a" * 64 + "b" * 64], table)
+    assert not np.array_equal(one[quality.DIM:-1], other[quality.DIM:-1])
+    # shorter words as before, also after a long one
+    assert np.array_equal(terms.of(["a", "b" * 64])[0], quality.Terms().of(["a", "b" * 64])[0]) and len(terms.of(["b" * 64])[0]) == 1
+
+
 def test_temperature_and_network():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 5))
