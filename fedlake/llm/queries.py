@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their DuckDB SQL where SQL can express them."""
+"""The registered queries of the operators, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -126,3 +126,105 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY ALL),
+gn AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT gn.lang, gn.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (gn.n + v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (v.n + v.v) AS q
+  FROM gn JOIN v USING (lang) JOIN k USING (lang)
+  LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM n WHERE part = 'pair' OR rank <= 200"""
+
+
+@query(OP11_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the term distributions of documents' sources from each other, and the terms that set each off."""
+    from .divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every whole text of documents, by transducers compiled from the tokenizer."""
+    import public_tokenizers as P
+
+    from .token_transducer import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+l AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+w AS (
+  SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         min(doc_id) OVER (PARTITION BY t) AS first_id
+  FROM d),
+m AS (
+  SELECT source, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         [len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws),
+          100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+          regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > first_id, false)] AS f
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT source, good, toxic, f, count(*) AS n FROM m GROUP BY ALL),
+i AS (SELECT unnest(range(1, 6)) AS i),
+o AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT o, i AS step, o[i] AS k, o[1:i - 1] AS earlier FROM o, i),
+x AS (
+  SELECT source, o, step, k, n, good, toxic, f[k] AS fails,
+         len(list_filter(earlier, lambda y: f[y])) > 0 AS gone, len(list_filter(f, lambda y: y)) AS failed
+  FROM c, s),
+r AS (
+  SELECT source, o, step, k,
+         sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND fails AND good THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND fails AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM x GROUP BY ALL)
+SELECT source AS part, array_to_string(list_transform(o, lambda y: 'ABCDE'[y]), '') AS filter_order,
+       CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY source, k) AS BIGINT) AS shapley
+FROM r"""
+
+
+@query(OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of documents at every step of all 120 orders, by source."""
+    from .filter_audit import audit, failures
+
+    return audit(failures(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
