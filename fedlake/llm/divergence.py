@@ -31,7 +31,7 @@ RUN_BYTES = 24 << 20
 #: Rows of an output batch, and bytes of one of long terms.
 OUT_ROWS, OUT_BYTES = 1 << 17, 8 << 20
 #: Counts other than zero in a block of terms, about; cells of a dense part of a block.
-BLOCK_COUNTS = 500_000
+BLOCK_COUNTS = 1 << 16
 DENSE_CELLS = 1 << 20
 #: Widest bucket of fixed width for long terms; longer ones are sorted as byte strings.
 WIDEST = 256
