@@ -22,8 +22,7 @@ def _recipients(spark, sf_dir):
 def _fresh_store(spark, sf_dir, name):
     """Write every customer as a recipient entity into a new store folder."""
     root = scratch_path(spark, f"{name}-store")
-    store.upsert(spark, store.to_store_rows(_recipients(spark, sf_dir), "recipient"), root,
-                 scratch_path(spark, f"{name}-staging"))
+    store.upsert(spark, store.to_store_rows(_recipients(spark, sf_dir), "recipient"), root)
     return root
 
 
@@ -39,7 +38,7 @@ def q_content_id_upsert(spark, sf_dir):
     batch2 = (rec.where(F.col("c_mktsegment") == "BUILDING")
               .unionByName(rec.where(F.col("c_mktsegment") == "AUTOMOBILE")
                            .withColumn("c_acctbal", F.col("c_acctbal") + 1)))
-    store.upsert(spark, store.to_store_rows(batch2, "recipient"), root, scratch_path(spark, "upsert-staging2"))
+    store.upsert(spark, store.to_store_rows(batch2, "recipient"), root)
     return store.list_entities(spark, root, "recipient", RECIPIENT_SCHEMA).select("c_custkey", "c_acctbal")
 
 
@@ -57,7 +56,7 @@ def q_entity_count(spark, sf_dir):
     """Entities per type across two types in one store."""
     root = _fresh_store(spark, sf_dir, "count")
     sup = load(spark, sf_dir, "supplier")
-    store.upsert(spark, store.to_store_rows(sup, "supplier_office"), root, scratch_path(spark, "count-staging2"))
+    store.upsert(spark, store.to_store_rows(sup, "supplier_office"), root)
     return store.count_entities(spark, root)
 
 
@@ -79,8 +78,7 @@ def q_entity_delete(spark, sf_dir):
     """Delete the MACHINERY customers by id; the rest remain."""
     root = _fresh_store(spark, sf_dir, "delete")
     rec = _recipients(spark, sf_dir).where(F.col("c_mktsegment") == "MACHINERY")
-    report = store.delete_entities(spark, root, "recipient", rec.select(store.content_id(rec).alias("id")),
-                                   scratch_path(spark, "delete-staging"))
+    report = store.delete_entities(spark, root, "recipient", rec.select(store.content_id(rec).alias("id")))
     r = report.first()
     if r["requested"] != r["deleted"]:
         raise AssertionError(f"delete removed {r['deleted']} of {r['requested']} ids")

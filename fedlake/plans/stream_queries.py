@@ -1,8 +1,8 @@
 """Streaming queries (R1-R5) over ``events`` files fed to Structured Streaming.
 
-Each query writes the table as JSON-lines files (several files, so the stream
-runs several micro-batches) into a fresh folder under the shared checkpoint
-dir, runs the stream to completion, and returns what the sink holds.
+Each query writes the table as JSON-lines files of a bounded number of records (so their number, and that of the
+micro-batches, follows the data) into a fresh folder under the shared checkpoint dir, runs the stream to
+completion, and returns what the sink holds.
 """
 
 from __future__ import annotations
@@ -38,9 +38,13 @@ def _flat(df):
     return df.select("event_id", "event_type", "k", F.size("violations").alias("n_violations"))
 
 
-def _event_files(spark, sf_dir, name, parts=4):
+#: Records of an arriving file, and files of a micro-batch.
+FILE_RECORDS, BATCH_FILES = 2_000, 8
+
+
+def _event_files(spark, sf_dir, name):
     path = scratch_path(spark, name)
-    sinks.write_json(load(spark, sf_dir, "events").repartition(parts, "event_id"), path)
+    sinks.write_json(load(spark, sf_dir, "events"), path, max_records=FILE_RECORDS)
     return path
 
 
@@ -56,7 +60,7 @@ def q_stream_process(spark, sf_dir):
     per batch through foreachBatch; the sink read back equals the batch result."""
     src = _event_files(spark, sf_dir, "events-stream")
     out = scratch_path(spark, "events-processed")
-    stream = S.process_records(S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=1), EVENT_RULES, parse=_parse)
+    stream = S.process_records(S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=BATCH_FILES), EVENT_RULES, parse=_parse)
     S.run_available(_flat(stream), S.batch_folder_sink(out), scratch_path(spark, "events-ckpt"))
     return spark.read.parquet(out).drop("batch_id")
 
@@ -66,7 +70,7 @@ def q_stream_sink(spark, sf_dir):
     """Raw records through the per-batch idempotent folder sink."""
     src = _event_files(spark, sf_dir, "events-sink")
     out = scratch_path(spark, "events-raw")
-    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=1).select("event_id", "value")
+    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=BATCH_FILES).select("event_id", "value")
     S.run_available(stream, S.batch_folder_sink(out), scratch_path(spark, "events-sink-ckpt"))
     return spark.read.parquet(out).drop("batch_id")
 
@@ -78,7 +82,7 @@ def q_stream_stats(spark, sf_dir):
     src = _event_files(spark, sf_dir, "events-stats")
     out = scratch_path(spark, "events-batch-stats")
     data_out = scratch_path(spark, "events-stats-data")
-    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=1)
+    stream = S.read_jsonl_stream(spark, src, EVENT_SCHEMA, max_files=BATCH_FILES)
     progress = S.run_available(stream, S.fan_out(S.batch_folder_sink(data_out), S.stats_sink(out, ["event_type"])),
                                scratch_path(spark, "events-stats-ckpt"))
     per_batch = spark.read.parquet(out)
@@ -96,18 +100,17 @@ CUSTOMER_JSON_SCHEMA = "c_custkey long, c_name string, c_acctbal double, c_mktse
           "SELECT c_custkey, c_acctbal FROM customer UNION ALL "
           "SELECT c_custkey, c_acctbal + 1 FROM customer WHERE c_mktsegment = 'AUTOMOBILE'")
 def q_stream_upsert(spark, sf_dir):
-    """Two arriving files (all customers; then BUILDING unchanged and
+    """Two arriving folders (all customers; BUILDING unchanged and
     AUTOMOBILE changed) upserted batch by batch into the entity store."""
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     src = scratch_path(spark, "customers-stream")
-    sinks.write_json(c.coalesce(1), f"{src}/file1")
+    sinks.write_json(c, f"{src}/first", max_records=FILE_RECORDS)
     again = c.where(F.col("c_mktsegment") == "BUILDING").unionByName(
         c.where(F.col("c_mktsegment") == "AUTOMOBILE").withColumn("c_acctbal", F.col("c_acctbal") + 1))
-    sinks.write_json(again.coalesce(1), f"{src}/file2")
+    sinks.write_json(again, f"{src}/again", max_records=FILE_RECORDS)
     root = scratch_path(spark, "stream-store")
-    stream = (spark.readStream.schema(CUSTOMER_JSON_SCHEMA).option("maxFilesPerTrigger", 1)
+    stream = (spark.readStream.schema(CUSTOMER_JSON_SCHEMA).option("maxFilesPerTrigger", BATCH_FILES)
               .option("recursiveFileLookup", "true").json(src))
-    sink = S.upsert_sink(spark, lambda b: store.to_store_rows(b, "recipient"), root,
-                         scratch_path(spark, "stream-store-staging"))
+    sink = S.upsert_sink(spark, lambda b: store.to_store_rows(b, "recipient"), root)
     S.run_available(stream, sink, scratch_path(spark, "stream-store-ckpt"))
     return store.list_entities(spark, root, "recipient", RECIPIENT_SCHEMA).select("c_custkey", "c_acctbal")

@@ -30,9 +30,9 @@ JSON_TS_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def write_json(df: DataFrame, path: str, compress: bool = False, mode: str = "error") -> None:
-    """JSON lines, optionally gzip-compressed."""
-    w = (df.write.mode(mode).option("timestampNTZFormat", JSON_TS_NTZ)
+def write_json(df: DataFrame, path: str, compress: bool = False, mode: str = "error", max_records: int = 0) -> None:
+    """JSON lines, optionally gzip-compressed, and in files of at most ``max_records``."""
+    w = (df.write.mode(mode).option("timestampNTZFormat", JSON_TS_NTZ).option("maxRecordsPerFile", max_records)
          .option("timestampFormat", JSON_TS))  # microseconds kept (default writes millis)
     if compress:
         w = w.option("compression", "gzip")

@@ -86,12 +86,11 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
     return [p if isinstance(p, dict) else p.__dict__ for p in q.recentProgress]
 
 
-def upsert_sink(spark: SparkSession, to_rows: Callable[[DataFrame], DataFrame], root: str,
-                staging_base: str) -> Callable[[DataFrame, int], None]:
-    """Each micro-batch is upserted into the entity store (same content id
-    replaces); the staging folder is per batch id, so a replay is idempotent."""
+def upsert_sink(spark: SparkSession, to_rows: Callable[[DataFrame], DataFrame], root: str) -> Callable[[DataFrame, int], None]:
+    """Each micro-batch is upserted into the entity store, of which only the shards its ids fall in are read. A replayed
+    batch finds its ids there and adds nothing."""
     from ..sources import store
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(spark, to_rows(batch), root, f"{staging_base.rstrip('/')}/batch_id={batch_id}")
+        store.upsert(spark, to_rows(batch), root)
     return write
