@@ -262,16 +262,24 @@ def entity_envelope(df: DataFrame, entity_type: str, spec: dict, version: str =
     ).alias("entity"))
 
 
+#: Types whose largest value a hash aggregation can keep in place; others (text, structs) would make Spark sort the rows.
+_FIXED_WIDTH = ("tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz", "boolean")
+
+
 def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> DataFrame:
     """Distinct entities by key: one row per key (null keys dropped).
 
     The surviving source record per key is the one with the largest
     ``order_by`` tuple (e.g. latest ``last_modified_date``, then modification
     number), then the largest source record, so the result is fully
-    deterministic; it is mapped after the choice. Built with a ``max`` over
-    ``struct(order..., source columns)``: it aggregates map-side (a hot key
-    never ships its raw records to one task) and only the columns the spec
-    reads cross the shuffle, not the mapped structs and constants.
+    deterministic; it is mapped after the choice.
+
+    The choice has two phases, so that raw rows are never sorted. First the largest value of the leading order column is found
+    per key, by a hash aggregation of keys and that one column, and only rows that have it stay (a join sized by the
+    planner). Without an order column of fixed width the rows are reduced to their distinct
+    records by hash instead. What is left, a few rows a key, is decided by the whole order. Both phases combine
+    map-side, so a hot key never ships its raw records to one task, and only the columns the spec reads cross a shuffle.
+    With an order column the input is read twice: hand over a table, not an expensive lineage.
     """
     keys = spec["key_fields"]
     m = compile_mappings(df, spec)
@@ -286,14 +294,27 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
 
     srcs = [c for c in spec_sources(spec) if c in df.columns]
     internal = [f"__k{i}" for i in range(len(keys))]
+    orders = [f"__ord{i}" for i in range(len(order_by))]
+    held = [f"__s{i}" for i in range(len(srcs))]
+    by_order = bool(orders) and dict(df.dtypes)[order_by[0]] in _FIXED_WIDTH
+    if not by_order:  # before any key is computed
+        heads = [k.partition(".")[0] for k in keys]
+        df = df.select(*[f"`{c}`" for c in dict.fromkeys([*srcs, *order_by, *heads]) if c in df.columns]).distinct()
     pre = df.select(*[key_expr(k).alias(n) for k, n in zip(keys, internal)],
-                    *[F.col(f"`{o}`").alias(f"__ord{i}") for i, o in enumerate(order_by)],
-                    F.struct(*[F.col(f"`{c}`") for c in srcs]).alias("__src"))
+                    *[F.col(f"`{o}`").alias(n) for o, n in zip(order_by, orders)],
+                    *[F.col(f"`{c}`").alias(n) for c, n in zip(srcs, held)])
     nonnull = F.lit(True)
     for n in internal:
         nonnull = nonnull & F.col(n).isNotNull()
     pre = pre.where(nonnull)
-    best = F.max(F.struct(*[F.col(f"__ord{i}") for i in range(len(order_by))], F.col("__src")))
+    if by_order:
+        top = pre.groupBy(*[F.col(n).alias(f"_{n}") for n in internal]).agg(F.max(orders[0]).alias("__top"))
+        same = F.col(orders[0]).eqNullSafe(F.col("__top"))
+        for n in internal:
+            same = same & (F.col(n) == F.col(f"_{n}"))
+        pre = pre.join(top, same).select(*pre.columns)
+    record = F.struct(*[F.col(n).alias(c) for c, n in zip(srcs, held)]).alias("__src")
+    best = F.max(F.struct(*[F.col(n) for n in orders], record))
     rows = pre.groupBy(*internal).agg(best.alias("_m")).select(*internal, "_m.__src.*")
     with warnings.catch_warnings():  # absent sources were reported on the first mapping
         warnings.simplefilter("ignore")

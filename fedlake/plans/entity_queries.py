@@ -670,7 +670,7 @@ def q_nest_hierarchy(spark, sf_dir):
           "awarding_agency_name AS agency_name, awarding_sub_agency_code AS sub_agency_code, awarding_sub_agency_name "
           "AS sub_agency_name, awarding_office_code AS office_code, awarding_office_name AS office_name FROM t), "
           "u AS (SELECT agency_code, agency_name, sub_agency_code, sub_agency_name, string_agg(CAST(office_code AS "
-          "VARCHAR) || '=' || office_name, ',' ORDER BY office_code) AS offices FROM o GROUP BY ALL) "
+          "VARCHAR) || '=' || office_name, ',' ORDER BY CAST(office_code AS VARCHAR)) AS offices FROM o GROUP BY ALL) "
           "SELECT agency_code, agency_name, CAST(count(*) AS BIGINT) AS n_sub_agencies, string_agg(CAST(sub_agency_code "
           "AS VARCHAR) || '=' || sub_agency_name || '[' || offices || ']', ';' ORDER BY sub_agency_code) AS sub_agencies "
           "FROM u GROUP BY ALL")
