@@ -299,7 +299,9 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
     by_order = bool(orders) and dict(df.dtypes)[order_by[0]] in _FIXED_WIDTH
     if not by_order:  # before any key is computed
         heads = [k.partition(".")[0] for k in keys]
-        df = df.select(*[f"`{c}`" for c in dict.fromkeys([*srcs, *order_by, *heads]) if c in df.columns]).distinct()
+        needed = [f"`{c}`" for c in dict.fromkeys([*srcs, *order_by, *heads]) if c in df.columns]
+        # a distinct under a max would be optimised away; the count keeps it
+        df = df.groupBy(*needed).agg(F.count(F.lit(1)).alias("__times")).where(F.col("__times") > 0).drop("__times")
     pre = df.select(*[key_expr(k).alias(n) for k, n in zip(keys, internal)],
                     *[F.col(f"`{o}`").alias(n) for o, n in zip(order_by, orders)],
                     *[F.col(f"`{c}`").alias(n) for c, n in zip(srcs, held)])
