@@ -36,12 +36,13 @@ def main(argv=None) -> int:
     v.add_argument("--input", required=True)
     v.add_argument("--format", choices=["csv", "jsonl", "parquet"], default="csv")
     v.add_argument("--output", required=True)
+    v.add_argument("--fields", help="report columns after the key, comma-separated (default: the usual ones the input has)")
     v.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
 
-    from .session import get_spark
+    from .session import get_spark, materialize
     owned = SparkSession.getActiveSession() is None
     spark = get_spark()
     records = _read(spark, args.input, args.format)
@@ -67,7 +68,9 @@ def main(argv=None) -> int:
         if dict(records.dtypes).get("last_modified_date") == "string":
             typed = typed.withColumn("last_modified_date",
                                      date_parse_multi("last_modified_date", ("%Y-%m-%d", "%m/%d/%Y", "%Y%m%d")))
-        reports = latest_by_group_many(typed, [(g, e) for _, g, e in VIEWS])
+        # the parsed records are written once; every view reads its few columns of them
+        typed, _ = materialize(typed, "view-records")
+        reports = latest_by_group_many(typed, [(g, e) for _, g, e in VIEWS], fields=args.fields and args.fields.split(","))
         names = ["award", "recipient", "parent", "psc", "awarding_subagency", "awarding_office",
                  "funding_subagency", "funding_office"]
         for name, path in export_views(dict(zip(names, reports)), args.output, args.output_format).items():

@@ -22,7 +22,9 @@ null values sort last.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 from importlib.resources import files
 
@@ -96,9 +98,16 @@ def latest_records(df: DataFrame, group: str, date: str, with_total: bool = Fals
 
 
 def _report_fields(df: DataFrame, group: str, fields, additional_fields, with_total: bool) -> list[str]:
-    """Report columns, each once: the group key, the report's fields, then the extra ones that the table has."""
+    """Report columns, each once: the group key, the report's fields, then the extra ones that the table has.
+
+    Of the default fields those that the table lacks are left out, with a warning; fields asked for must be there."""
     extras = set(additional_fields or ()) & set(df.columns)
-    shown = [group, *(default_fields() if fields is None else fields),
+    if fields is None:
+        there = {*df.columns, "row_count"}
+        if absent := [f for f in default_fields() if f not in there]:
+            warnings.warn(f"report columns not in the input: {', '.join(absent)}", stacklevel=3)
+        fields = [f for f in default_fields() if f in there]
+    shown = [group, *fields,
              *filter(extras.__contains__, additional_fields or ()), *["total_count"] * with_total]
     return list(dict.fromkeys(shown))
 
@@ -147,37 +156,19 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
 
 def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]]],
                          date: str = "last_modified_date", value: str = "potential_total_value_of_award",
-                         fields: Sequence[str] | None = None, *, formatted: bool = True) -> list[DataFrame]:
-    """A4: several latest-per-group reports over one table, sharing one pass.
-
-    The per-group tables of all views come from a single scan: each row is
-    exploded into one (view, group as text, date) entry per view and
-    partially aggregated, then written once. Each view then joins its slice
-    and sorts. Group keys are
-    compared as text, so keys must have a faithful text form (codes, ids).
+                         fields: Sequence[str] | None = None, *, formatted: bool = True,
+                         concurrent_jobs: int = 4) -> list[DataFrame]:
+    """A4: several latest-per-group reports ``(group, additional fields)`` over one table.
+
+    Each key has a pass of its own over two columns, the key in its own type and the date, aggregated before the shuffle:
+    a key of few values ships a few rows per task, and no row is multiplied by the number of views. The passes are
+    independent and small, so they are submitted together. ``df`` is read once per view: hand over a table.
     """
-    from ..session import materialize
+    def report(view: tuple[str, Sequence[str]]) -> DataFrame:
+        return latest_by_group(df, view[0], date, value, fields, view[1], formatted=formatted)
 
-    tags = F.array(*[F.struct(F.lit(i).alias("v"), F.col(g).cast("string").alias("g"))
-                     for i, (g, _) in enumerate(views)])
-    ex = df.select(F.col(date).alias("d"), F.explode(tags).alias("x")).select("x.v", "x.g", "d") \
-        .where(F.col("g").isNotNull())
-    per_day = ex.groupBy("v", "g", "d").agg(F.count(F.lit(1)).alias("_n"))
-    tables = per_day.groupBy("v", "g").agg(
-        F.max("d").alias("_max_date"), F.max_by("_n", "d").alias("_n_at_max"),
-        F.sum(F.when(F.col("d").isNull(), F.col("_n"))).alias("_n_null")
-    ).select("v", F.col("g").alias("_g"), "_max_date", F.coalesce("_n_at_max", "_n_null").alias("row_count"))
-    tables, _ = materialize(tables, "latest-tables", ("v",))  # each view reads its own folder
-    out = []
-    for i, (group, extras) in enumerate(views):
-        t = tables.where(F.col("v") == i).drop("v")
-        out_fields = _report_fields(df, group, fields, extras, False)
-        needed = [c for c in dict.fromkeys(out_fields + [date, value, group]) if c != "row_count"]
-        rows = df.where(F.col(group).isNotNull()).select(*needed)
-        cond = (F.col(group).cast("string") == F.col("_g")) & F.col(date).eqNullSafe(F.col("_max_date"))
-        joined = rows.join(t, cond, "inner").drop("_g", "_max_date")
-        out.append(_report(joined, group, date, value, out_fields, formatted, ()))
-    return out
+    with ThreadPoolExecutor(max(1, concurrent_jobs)) as pool:
+        return list(pool.map(report, views))
 
 
 def latest_by_group_join_form(df: DataFrame, group: str, date: str) -> DataFrame:
