@@ -25,7 +25,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 DIM = 64
 SLOTS = 8192
@@ -113,8 +112,10 @@ def _terms(terms: Terms, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.n
 def context_table(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Context vectors of all slots over every document: SLOTS x DIM, scaled to unit length."""
     def run(batches):
-        terms, index = Terms(), index_vectors(SLOTS, 1)
-        sums = np.zeros((SLOTS, DIM), np.int64)
+        # the places of each index vector's +1s, then of its -1s
+        terms, places = Terms(), np.argsort(-index_vectors(SLOTS, 1), axis=1, kind="stable").T
+        places = [*places[:NONZERO // 2], *places[DIM - NONZERO // 2:]]
+        sums = np.zeros(SLOTS * DIM, np.int64)
         for batch in batches:
             for texts in _texts(batch.column(0)):
                 slots, _, counts = _terms(terms, texts)
@@ -122,15 +123,14 @@ def context_table(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 inner = np.ones(len(slots), bool)  # has a neighbour to the right in the same text
                 inner[ends[counts > 0] - 1] = False
                 left = np.flatnonzero(inner)
-                pairs, times = np.unique(slots[left] * SLOTS + slots[left + 1], return_counts=True)
-                a, b = pairs // SLOTS, pairs % SLOTS
+                a, b = slots[left], slots[left + 1]
                 for at, other in ((a, b), (b, a)):
-                    order = np.argsort(at, kind="stable")
-                    for part in np.array_split(order, max(1, len(order) // 100_000)):
-                        if len(part):
-                            where, starts = np.unique(at[part], return_index=True)
-                            sums[where] += np.add.reduceat(
-                                index[other[part]].astype(np.int32) * times[part, None].astype(np.int32), starts, axis=0)
+                    for k in range(NONZERO):
+                        counted = np.bincount(at * DIM + places[k][other], minlength=SLOTS * DIM)
+                        if k < NONZERO // 2:
+                            sums += counted
+                        else:
+                            sums -= counted
         blocks = sums.reshape(-1, BLOCK * DIM)
         used = [i for i in range(len(blocks)) if blocks[i].any()]
         yield pa.RecordBatch.from_arrays(
@@ -272,19 +272,14 @@ def score(docs: DataFrame, table: np.ndarray, net: Network, text_col: str = "tex
     Null and empty texts have a score as well (that of a text without words). All columns and rows stay.
     A column of that name is replaced.
     """
-    docs = docs.drop(score_col)
     shared = docs.sparkSession.sparkContext.broadcast((table, net))
-    names = docs.columns
-    at_text = names.index(text_col)
 
-    def run(batches):
+    # only the texts go to Python, and only the scores come back
+    @F.arrow_udf("double")
+    def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         terms = Terms()
-        for batch in batches:
-            at = 0
-            for texts in _texts(batch.column(at_text)):
-                part = batch.slice(at, len(texts))
-                s = shared.value[1].scores(pooled(terms, texts, shared.value[0]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], names=[*names, score_col])
-                at += len(texts)
+        for column in columns:
+            yield pa.array(np.concatenate([np.zeros(0), *[shared.value[1].scores(pooled(terms, texts, shared.value[0]))
+                                                          for texts in _texts(column)]]), pa.float64())
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    return docs.drop(score_col).withColumn(score_col, scores(F.coalesce(F.col(text_col), F.lit(""))))
