@@ -125,7 +125,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"))
 
 
 OP11_SQL = r"""
