@@ -43,7 +43,16 @@ def _part_sql(status, cols):
             sel.append("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate")
         else:
             sel.append(f"CAST({c} AS VARCHAR) AS {c}")
-    return f"SELECT {', '.join(sel)} FROM orders WHERE o_orderstatus = '{status}'"
+    return f"SELECT {', '.join(sel)} FROM orders WHERE {_part_condition(status)}"
+
+
+def _part_condition(status):
+    """Rows of a part: its status; the last part takes every status that the others do not name, null included."""
+    *named, last = _PARTS
+    if status != last:
+        return f"o_orderstatus = '{status}'"
+    listed = ", ".join(f"'{s}'" for s in named)
+    return f"o_orderstatus IS NULL OR o_orderstatus NOT IN ({listed})"
 
 
 @register("union_csv_parts", " UNION ALL BY NAME ".join(_part_sql(s, c) for s, c in _PARTS.items()))
@@ -54,7 +63,7 @@ def q_union_csv_parts(spark, sf_dir):
     paths = []
     for status, cols in _PARTS.items():
         p = scratch_path(spark, f"orders-{status}")
-        sinks.write_csv(o.where(F.col("o_orderstatus") == status).select(*cols), p)
+        sinks.write_csv(o.where(_part_condition(status)).select(*cols), p)
         paths.append(p)
     return files.union_csv_parts(spark, paths)
 

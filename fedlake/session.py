@@ -36,6 +36,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # batches for Python workers are bounded by bytes: rows may hold whole texts
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
