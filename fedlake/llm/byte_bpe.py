@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from .memory import released
+
 #: Texts are encoded in pieces of about so many characters.
 PIECE_CHARS = 1 << 16
 #: Output batches are cut at about so many bytes.
@@ -101,7 +103,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
         schema = pa.schema([("id", _ARROW[id_type]), ("n_tokens", pa.int64()), ("ids", pa.binary())])
         yield from _batches(schema, made(), 2)
 
-    coded = rows.mapInArrow(run, f"id {id_type}, n_tokens long, ids binary")
+    coded = rows.mapInArrow(lambda batches: released(run(batches)), f"id {id_type}, n_tokens long, ids binary")
     return coded.withColumnRenamed("id", id_col)
 
 
@@ -125,7 +127,7 @@ def decode(coded: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids")
                 yield _appended(batch.slice(start), texts)
 
     schema = StructType([*coded.schema.fields, StructField("decoded", BinaryType())])
-    return coded.mapInArrow(run, schema)
+    return coded.mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def _appended(batch: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:

@@ -33,6 +33,7 @@ from fedlake.session import materialize
 
 from . import packed_counts
 from .components import components
+from .memory import release, released
 from .mixing import word_count
 
 #: Bits of the hashes that documents are counted by, beyond those that number the words of the corpus.
@@ -199,7 +200,7 @@ def _searched(rows: DataFrame, percent: int) -> DataFrame:
                 out = []
 
     dealt = rows.select("key", "role", "rep", "label", "hashes").repartition("key").sortWithinPartitions("key", "role")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(lambda batches: released(run(batches)), "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,6 +241,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
             linked = len(h) and (docs_of > 1).sum() >= least
             marks.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
             firsts.append(h[order[docs_of[order] > 1]].view(np.int64) if linked else [])
+        release()
         return pa.table({"id": texts.column("id"), "n": pa.array([len(h) for h in sets], pa.int64()),
                          "mark": pa.array(marks, pa.binary()), "first": pa.array(firsts, pa.list_(pa.int64()))})
 
@@ -349,10 +351,11 @@ def _sets(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     # a shuffle join at every size: texts that go on are few, but their ids grow with the corpus
     if not by_set:
         sets = rows.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
-        sets = sets.mapInArrow(sets_of, "rep long, n long, hashes binary")
+        sets = sets.mapInArrow(lambda batches: released(sets_of(batches)), "rep long, n long, hashes binary")
     else:
         sets = rows.join(wanted.hint("merge"), "id").withColumn("_text", F.xxhash64("text")).dropDuplicates(["id", "_text"])
-        sets = sets.select("id", "text", "several").mapInArrow(sets_of, "rep long, n long, hashes binary, mark binary").select(
+        sets = sets.select("id", "text", "several").mapInArrow(
+            lambda batches: released(sets_of(batches)), "rep long, n long, hashes binary, mark binary").select(
             F.when(F.col("mark").isNotNull(), _set_name()).otherwise(F.col("rep")).alias("rep"), "n", "hashes")
     sets, _ = materialize(sets, "shingle_sets")
     return sets

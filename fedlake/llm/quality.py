@@ -26,6 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import release, released
+
 DIM = 64
 SLOTS = 8192
 SHAPES = 512
@@ -144,7 +146,8 @@ def context_table(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 total += np.frombuffer(s, "<i8")
         yield pd.DataFrame({"block": [key[0]], "sums": [total.astype("<i8").tobytes()]})
 
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "block int, sums binary")
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
+        lambda batches: released(run(batches)), "block int, sums binary")
     table = np.zeros((SLOTS // BLOCK, BLOCK * DIM))
     for r in rows.groupBy("block").applyInPandas(add, "block int, sums binary").collect():  # SLOTS / BLOCK rows
         table[r["block"]] = np.frombuffer(r["sums"], "<i8")
@@ -281,5 +284,7 @@ def score(docs: DataFrame, table: np.ndarray, net: Network, text_col: str = "tex
         for column in columns:
             yield pa.array(np.concatenate([np.zeros(0), *[shared.value[1].scores(pooled(terms, texts, shared.value[0]))
                                                           for texts in _texts(column)]]), pa.float64())
+        del terms
+        release()
 
     return docs.drop(score_col).withColumn(score_col, scores(F.coalesce(F.col(text_col), F.lit(""))))
