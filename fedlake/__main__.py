@@ -13,13 +13,13 @@ import argparse
 import sys
 
 
-def _read(spark, path: str, fmt: str):
+def _read(spark, path: str, fmt: str, schema: str | None = None):
     from .sources import files
 
     if fmt == "csv":
         return files.scan_csv(spark, path)
     if fmt == "jsonl":
-        return files.scan_jsonl(spark, path, files.jsonl_schema(spark, path))
+        return files.scan_jsonl(spark, path, files.jsonl_schema(spark, path, kept=schema))
     return spark.read.parquet(path)
 
 
@@ -32,12 +32,17 @@ def main(argv=None) -> int:
     c.add_argument("--config", help="YAML/JSON config with field_properties (and optionally entities)")
     c.add_argument("--store", required=True, help="entity store root")
     c.add_argument("--as-of", help="as-of date for not-in-the-future checks (yyyy-MM-dd)")
+    c.add_argument("--on-error", choices=["abort", "skip", "log"], help="error policy of all entities (default: each entity's own)")
+    c.add_argument("--max-errors", type=int, help="invalid records that abort tolerates per entity (default: the entity's, else 0)")
+    c.add_argument("--quarantine", help="folder for invalid records, replaced")
     v = sub.add_parser("views", help="records -> eight latest-per-group views")
     v.add_argument("--input", required=True)
     v.add_argument("--format", choices=["csv", "jsonl", "parquet"], default="csv")
     v.add_argument("--output", required=True)
     v.add_argument("--fields", help="report columns after the key, comma-separated (default: the usual ones the input has)")
     v.add_argument("--output-format", choices=["parquet", "csv"], default="parquet")
+    for command in (c, v):
+        command.add_argument("--schema", help="folder that keeps the schema of JSON lines, used again while the files are the same")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -45,14 +50,15 @@ def main(argv=None) -> int:
     from .session import get_spark, materialize
     owned = SparkSession.getActiveSession() is None
     spark = get_spark()
-    records = _read(spark, args.input, args.format)
+    records = _read(spark, args.input, args.format, args.schema)
     if args.cmd == "convert":
         from . import spec
         from .plans.conversion import convert
         from .plans.entities import ENTITIES
         config = spec.load_config(args.config) if args.config else None
         entities = (config or {}).get("entities") or ENTITIES
-        convert(spark, records, entities, config=config, as_of=args.as_of, store_root=args.store)
+        convert(spark, records, entities, config=config, as_of=args.as_of, store_root=args.store, on_error=args.on_error,
+                max_errors=args.max_errors, quarantine=args.quarantine)
         from .sources.store import count_entities
         for r in count_entities(spark, args.store).collect():
             print(f"{r['entity_type']}: {r['n']}")

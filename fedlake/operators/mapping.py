@@ -31,19 +31,25 @@ from pyspark.sql import functions as F
 MISSING_SOURCES: set[str] = set()
 
 
-def _src(df_cols: set[str], name: str) -> Column:
+def _src(df_cols: set[str], name: str, declared: dict[str, str] | None = None) -> Column:
     if name in df_cols:
         return F.col(f"`{name}`")
     if name not in MISSING_SOURCES:
         warnings.warn(f"mapping source column {name!r} is not in the input; using null", stacklevel=3)
         MISSING_SOURCES.add(name)
-    return F.lit(None).cast("string")
+    return F.lit(None).cast((declared or {}).get(name, "string"))
 
 
-def map_direct(df: DataFrame, mapping: dict[str, str]) -> dict[str, Column]:
-    """copy/rename; a missing source column gives a typed null."""
+def source_schema(spec: dict) -> dict[str, str]:
+    """The source columns that a spec declares, name -> type: ``source_columns`` as a list of names (text) or a mapping."""
+    declared = spec.get("source_columns") or {}
+    return dict(declared) if isinstance(declared, dict) else dict.fromkeys(declared, "string")
+
+
+def map_direct(df: DataFrame, mapping: dict[str, str], declared: dict[str, str] | None = None) -> dict[str, Column]:
+    """copy/rename; a missing source column gives a null of its declared type (else text)."""
     cols = set(df.columns)
-    return {t: _src(cols, s) for t, s in mapping.items()}
+    return {t: _src(cols, s, declared) for t, s in mapping.items()}
 
 
 def map_multi_source(df: DataFrame, sources: Sequence[str], strategy: str = "first_non_null") -> Column:
@@ -60,23 +66,23 @@ def map_multi_source(df: DataFrame, sources: Sequence[str], strategy: str = "fir
     return F.coalesce(*cs) if len(cs) > 1 else cs[0]
 
 
-def map_object(df: DataFrame, spec: dict) -> Column:
+def map_object(df: DataFrame, spec: dict, declared: dict[str, str] | None = None) -> Column:
     """Nested struct from ``fields`` and ``nested_objects``.
 
-    A field value naming an input column reads it; any other value (``primary``,
-    ``"true"``, ``not_applicable``) is a constant. A source column that the input lacks
-    is declared by ``{"field": name}`` and reads as a typed null."""
+    A field value naming an input column, or a column of the ``declared`` source schema (name -> type), reads it; any
+    other value (``primary``, ``"true"``, ``not_applicable``) is a constant. A declared column that the input lacks, or
+    one written ``{"field": name}``, reads as a null of its declared type (else text), with a warning."""
     cols = set(df.columns)
     parts = []
     for k, v in (spec.get("fields") or {}).items():
         if isinstance(v, dict):
-            parts.append((_src(cols, v["field"]) if set(v) == {"field"} else map_object(df, v)).alias(k))
-        elif isinstance(v, str) and v in cols:
-            parts.append(_src(cols, v).alias(k))
+            parts.append((_src(cols, v["field"], declared) if set(v) == {"field"} else map_object(df, v, declared)).alias(k))
+        elif isinstance(v, str) and (v in cols or v in (declared or {})):
+            parts.append(_src(cols, v, declared).alias(k))
         else:
             parts.append(F.lit(v).alias(k))
     for k, v in (spec.get("nested_objects") or {}).items():
-        parts.append(map_object(df, v).alias(k))
+        parts.append(map_object(df, v, declared).alias(k))
     return F.struct(*parts)
 
 
@@ -134,14 +140,15 @@ def _template_object(df: DataFrame, spec: dict) -> Column:
 
 
 def compile_mappings(df: DataFrame, spec: dict) -> dict[str, Column]:
-    """All mappings of one entity, in declaration order of the mapping kinds."""
-    fm = normalise(spec).get("field_mappings", {})
+    """All mappings of one entity, in declaration order of the mapping kinds; its ``source_columns`` tell lost columns
+    from constants."""
+    fm, declared = normalise(spec).get("field_mappings", {}), source_schema(spec)
     out: dict[str, Column] = {}
-    out.update(map_direct(df, fm.get("direct") or {}))
+    out.update(map_direct(df, fm.get("direct") or {}, declared))
     for t, ms in (fm.get("multi_source") or {}).items():
         out[t] = map_multi_source(df, ms["sources"], ms.get("strategy", "first_non_null"))
     for t, ob in (fm.get("object") or {}).items():
-        out[t] = map_object(df, ob)
+        out[t] = map_object(df, ob, declared)
     for t, rf in (fm.get("reference") or {}).items():
         out[t] = map_reference(df, rf)
     for t, tp in (fm.get("template") or {}).items():

@@ -7,7 +7,7 @@ last 30 days).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +62,26 @@ def completeness(df: DataFrame, table: str, columns: Sequence[str] | None = None
                           .otherwise(F.lit(0.0)).alias("pct"))
 
 
+def is_key(df: DataFrame, column: str, hashed: Callable[[Column], Column] = F.xxhash64) -> bool:
+    """No null and no value twice in ``column``, exactly, though only hashes of its values are exchanged.
+
+    Hashes that all differ prove it. Else the rows of one repeated hash are compared by value, which refutes it unless
+    those values merely collide; only then are the rows of all repeated hashes compared. No row: true."""
+    c = F.col(f"`{column}`")
+    if not df.where(c.isNull()).isEmpty():
+        return False
+    again = df.select(hashed(c).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    one = again.agg(F.min("_hash")).first()[0]
+    if one is None:
+        return True
+
+    def differ(rows):
+        return rows.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty()
+
+    return differ(df.where(hashed(c) == one)) and differ(
+        df.select(c).join(again, hashed(c) == F.col("_hash"), "left_semi"))
+
+
 def overall_completeness(report: DataFrame) -> DataFrame:
     """Overall covered/total ratio per table (0 when empty)."""
     return (report.groupBy("table").agg(F.sum("filled").alias("filled"), F.sum("total").alias("total"))

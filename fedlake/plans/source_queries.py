@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import fiscal_year
-from ..operators import summary
+from ..operators import metrics, summary
 from ..session import load, scratch_path
 from ..sources import files, sinks
 from .award import VIEWS, award_narrow, award_narrow_sql, view_columns
@@ -192,7 +192,7 @@ def q_dictionary_merge(spark, sf_dir):
     """A data dictionary CSV profiled from ``documents`` (required = no
     nulls, key = all distinct) overrides the configured properties of the
     ``documents``/``labels`` fields; configured-only fields stay. Distinct values are
-    counted by 64-bit hash, one column at a time, so no text is shuffled."""
+    counted by 64-bit hash, one column at a time, so no text is shuffled but what repeats a hash."""
     d = load(spark, sf_dir, "documents")
     lab = load(spark, sf_dir, "labels")
     # configured properties: the tables' own schemas (driver metadata)
@@ -203,12 +203,11 @@ def q_dictionary_merge(spark, sf_dir):
     for c, kind in d.dtypes:
         prof = d.select(F.col(c).isNotNull().alias("filled"), F.xxhash64(c).alias("h")).groupBy("filled", "h").agg(
             F.count(F.lit(1)).alias("n")).agg(
-            F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("filled"),
-            F.count_if("filled").alias("values"))
+            F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("filled"))
         profiles.append(prof.select(
             F.lit(c).alias("field_name"), F.lit(None).cast("string").alias("type"), F.lit(f"column {c}").alias("description"),
             F.when(F.col("filled") == F.col("rows"), "true").otherwise("false").alias("required"),
-            F.when(F.col("values") == F.col("rows"), "true").otherwise("false").alias("is_key"),
+            F.lit(str(metrics.is_key(d, c)).lower()).alias("is_key"),
             F.lit(f"profile, {kind}").alias("groups"), F.lit("max_length,").alias("validation_rules")))
     rows = reduce(lambda a, b: a.unionByName(b), profiles)
     path = scratch_path(spark, "dictionary-csv")

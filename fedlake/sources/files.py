@@ -7,14 +7,19 @@ the cleaning rules), never with schema inference.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import json
 import zipfile
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import islice
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,34 +34,46 @@ def string_schema(columns: Sequence[str], corrupt: bool = False) -> T.StructType
     return T.StructType(fields)
 
 
-def _first_line(spark: SparkSession, file: str, encoding: str) -> str | None:
-    """First line of one file of any store Spark reads, decompressed by suffix."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-    stream = path.getFileSystem(conf).open(path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-    try:
-        return reader.readLine()
-    finally:
-        reader.close()
+#: One task a file, so that a task may stop after a file's first line; rows go to Python singly, so that little more is read.
+_HEADS = {"spark.sql.files.maxPartitionBytes": "1t", "spark.sql.files.openCostInBytes": "1t",
+          "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+#: Files named in one row of the header scan's result.
+_FILES_A_ROW = 1000
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task; what follows is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8", sep: str = ",",
                 quote: str = '"') -> dict[tuple[str, ...], list[str]]:
     """Header -> files that have it, for all files of a path, folder or glob (BOM removed).
 
-    Reads one line of each file; files without any line are left out, and a path without a header line raises."""
+    A Spark job of one task a file reads first lines, whatever store or compression Spark reads, and groups the files by
+    line; the driver gets each file's path once, as Spark's own listing holds it, and a line only as often as its
+    files fill rows of ``_FILES_A_ROW``. Files without any line are left out, and a path without a header line raises."""
+    probe = spark.newSession()
+    for k, v in _HEADS.items():
+        probe.conf.set(k, v)
+    text = probe.read.text(path)
+    rows = len(text.inputFiles()) // _FILES_A_ROW + 1
+    lines = text.where("_metadata.file_block_start = 0").select(
+        F.col("value").cast("binary").alias("line"), F.col("_metadata.file_path").alias("file"))
+    found = (lines.mapInArrow(_first_row, "line binary, file string")
+             .groupBy("line", F.pmod(F.xxhash64("file"), F.lit(rows))).agg(F.collect_list("file").alias("files")).collect())
     out: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        line = _first_line(spark, file, encoding)
-        if line is not None:
-            out.setdefault(tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote))), []).append(file)
+    for r in found:
+        # a cut character at the end (the line feed's other half in UTF-16) is no part of the line
+        line = codecs.getincrementaldecoder(encoding)("replace").decode(bytes(r["line"])).lstrip("\ufeff")
+        out.setdefault(tuple(next(csv.reader([line], delimiter=sep, quotechar=quote), ())), []).extend(map(unquote, r["files"]))
     if not out:
         raise ValueError(f"CSV at {path} has no header row")
-    return out
+    # in the order of the first file of each, as columns appear in it
+    return {h: sorted(fs) for h, fs in sorted(out.items(), key=lambda kv: min(kv[1]))}
 
 
 def csv_header(spark: SparkSession, path: str, encoding: str = "UTF-8", sep: str = ",", quote: str = '"') -> list[str]:
@@ -112,8 +129,33 @@ def union_csv_parts(spark: SparkSession, paths: Sequence[str], **kw) -> DataFram
     return scan_csv(spark, list(paths), **kw)
 
 
-def jsonl_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema of JSON lines from all lines, in one distributed pass; simple values are strings."""
+def _listing_mark(spark: SparkSession, path: str) -> str:
+    """Count and hash sum of the files' paths, lengths and times, from their listing; no content is read."""
+    files = spark.read.format("binaryFile").load(path)
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    n, total = files.agg(F.count(F.lit(1)), F.sum(mark)).first()
+    return f"{n}:{total}"
+
+
+def jsonl_schema(spark: SparkSession, path: str, kept: str | None = None) -> T.StructType:
+    """Schema of JSON lines from all lines, in one distributed pass; simple values are strings.
+
+    ``kept``: a folder that keeps the schema with the state of the files it was read from. While they are the same, later
+    runs take it from there and read no line; any new, lost or changed file means a pass over all lines again."""
+    if kept is not None:
+        mark = _listing_mark(spark, path)
+        try:
+            known = spark.read.schema("mark string, schema string").parquet(kept).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            known = None
+        if known is not None and known["mark"] == mark:
+            return T.StructType.fromJson(json.loads(known["schema"]))
+        schema = jsonl_schema(spark, path)
+        spark.createDataFrame([(mark, schema.json())], "mark string, schema string").coalesce(1).write.mode(
+            "overwrite").parquet(kept)
+        return schema
     schema = spark.read.option("primitivesAsString", True).option("mode", "DROPMALFORMED").json(path).schema
     if not schema.fields:
         raise ValueError(f"no records in {path}")

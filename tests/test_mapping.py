@@ -147,3 +147,17 @@ def test_required_derived_field(spark):
     assert derive_fields(df, spec, on_missing="flag").first().missing_fields == ["c"]
     with pytest.raises(Exception, match="required field c"):
         derive_fields(df, spec).collect()
+
+
+def test_declared_source_column_that_is_lost_is_a_typed_null(spark):
+    df = spark.createDataFrame([("k1", "A")], "key string, kind string")
+    spec = {"key_fields": ["key"], "source_columns": {"price_code": "int", "kind": "string"},
+            "field_mappings": {"direct": {"key": "key"},
+                               "object": {"o": {"fields": {"code": "price_code", "kind": "kind", "role": "primary"}}}}}
+    mapping.MISSING_SOURCES.discard("price_code")
+    with pytest.warns(UserWarning, match="price_code"):
+        out = mapping.extract_entity(df, spec)
+    assert dict(out.dtypes)["o"] == "struct<code:int,kind:string,role:string>"
+    assert out.first().o.asDict() == {"code": None, "kind": "A", "role": "primary"}
+    names = {**spec, "source_columns": ["price_code"]}     # a list of names: text
+    assert dict(mapping.extract_entity(df, names).dtypes)["o"].startswith("struct<code:string")

@@ -160,3 +160,58 @@ def test_entity_text_forms_round_trip(spark):
     assert '"m":"1.50"' in j.first().j and '"m":"2.25"' in j.first().j
     again = j.select(sinks.entity_from_json("j", df.schema).alias("e")).select("e.*")
     assert sorted(map(str, again.collect())) == sorted(map(str, df.collect()))
+
+
+def test_csv_headers_read_first_lines_in_tasks(spark, tmp_path):
+    folder = tmp_path / "odd names & 100%"
+    folder.mkdir()
+    _write(folder / "a 1.csv", "x,y\n1,2\n")
+    _write(folder / "b+1.csv", "\ufeffy,z\r\n3,4\r\n")
+    _write(folder / "empty.csv", "")
+    with gzip.open(folder / "c.csv.gz", "wt") as f:
+        f.write("x,y\n5,6\n")
+    _write(folder / "long.csv", '"x","y"\n' + "".join(f"{i},{i}\n" for i in range(200_000)))
+    heads = files.csv_headers(spark, str(folder))
+    assert {h: [f.rsplit("/", 1)[1] for f in fs] for h, fs in heads.items()} == {
+        ("x", "y"): ["a 1.csv", "c.csv.gz", "long.csv"], ("y", "z"): ["b+1.csv"]}
+    rows = files.scan_csv(spark, str(folder))
+    assert rows.columns == ["x", "y", "z"] and rows.count() == 200_003
+    assert [tuple(r) for r in rows.where("z IS NOT NULL").collect()] == [(None, "3", "4")]
+    latin = tmp_path / "latin.csv"
+    _write(latin, "na\u00efve,b\n\u00e9,2\n", encoding="latin-1")
+    assert files.scan_csv(spark, str(latin), encoding="ISO-8859-1").first().asDict() == {"na\u00efve": "\u00e9", "b": "2"}
+    # the session's own scan settings stay
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "1t"
+
+
+def test_jsonl_schema_kept_beside_the_data(spark, tmp_path, monkeypatch):
+    data, kept = tmp_path / "in", str(tmp_path / "schema")
+    data.mkdir()
+    _write(data / "1.json", '{"a": 1}\n')
+    assert files.jsonl_schema(spark, str(data), kept).names == ["a"]
+    reader = type(spark.read)
+    monkeypatch.setattr(reader, "json", lambda *a, **k: pytest.fail("the input was read again"))
+    assert files.jsonl_schema(spark, str(data), kept).names == ["a"]
+    monkeypatch.undo()
+    _write(data / "2.json", '{"b": {"c": "x"}}\n')  # another file: the schema is made anew
+    assert files.jsonl_schema(spark, str(data), kept).names == ["a", "b"]
+    assert files.scan_jsonl(spark, str(data), files.jsonl_schema(spark, str(data), kept)).count() == 2
+
+
+def test_is_key_is_exact_under_colliding_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from fedlake.operators import metrics
+
+    def parity(c):
+        return c % 2
+
+    distinct = spark.range(1000).select("id", F.lit(1).alias("same"), F.when(F.col("id") > 0, F.col("id")).alias("gap"))
+    assert metrics.is_key(distinct, "id")
+    assert metrics.is_key(distinct, "id", parity)          # every hash collides, no value repeats
+    assert not metrics.is_key(distinct, "same")
+    assert not metrics.is_key(distinct, "gap")             # a null
+    assert metrics.is_key(distinct.limit(0), "id")
+    odd = distinct.select("id").union(spark.createDataFrame([(7,)], "id long"))
+    assert not metrics.is_key(odd, "id", parity)           # the repeated value is not under the first hash looked at
+    assert not metrics.is_key(odd, "id")

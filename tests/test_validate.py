@@ -94,3 +94,31 @@ def test_group_error_level_and_null_condition(spark):
     rule = {"field": "v", "type": "conditional", "group": "g", "params": {"when": "c", "rule": {"type": "range", "params": {"max": 1}}}}
     a, b = V.validate(df, [rule], groups={"g": {"error_level": "warning"}}).collect()
     assert a.violations == [] and [v.severity for v in b.violations] == ["warning"]
+
+
+def test_conversion_counts_errors_in_its_one_write(spark, tmp_path):
+    from fedlake.plans.conversion import convert
+    from fedlake.sources import store
+
+    df = spark.createDataFrame([("k1", "A", 1), ("k1", "A", 1), ("k2", "X", 2), (None, "X", 3), ("k3", None, 4)],
+                               "key string, kind string, n int")
+    rules = [{"field": "kind", "type": "enum", "params": {"values": ["A"]}}]
+
+    def entities(policy, **options):
+        return {"thing": {"key_fields": ["key"], "field_mappings": {"direct": {"key": "key", "kind": "kind"}},
+                          "entity_processing": {"processing_options": {"error_handling": policy, **options}}},
+                "other": {"key_fields": ["n"], "field_mappings": {"direct": {"n": "n"}}}}
+
+    held, root = str(tmp_path / "held"), str(tmp_path / "store")
+    with pytest.raises(ValueError, match="thing: 1 invalid"):
+        convert(spark, df, entities("abort"), rules=rules, store_root=root, quarantine=held)
+    assert not (tmp_path / "store").exists()               # no entity is stored, earlier ones neither
+    assert [(r.key, r.n, r.invalid_for) for r in spark.read.parquet(held).collect()] == [("k2", 2, ["thing"])]
+    out = convert(spark, df, entities("abort", max_errors=1), rules=rules)
+    assert sorted(r.key for r in out["thing"].collect()) == ["k1", "k2", "k3"] and out["other"].count() == 4
+    out = convert(spark, df, entities("abort"), rules=rules, on_error="skip", store_root=root, quarantine=held)
+    assert sorted(r.key for r in out["thing"].collect()) == ["k1", "k3"]
+    assert {r.entity_type: r.n for r in store.count_entities(spark, root).collect()} == {"thing": 2, "other": 4}
+    assert spark.read.parquet(held).count() == 1           # replaced
+    out = convert(spark, df.limit(0), entities("abort"), rules=rules, quarantine=held)
+    assert out["thing"].isEmpty() and spark.read.parquet(held).isEmpty()
