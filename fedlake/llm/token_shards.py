@@ -30,9 +30,9 @@ FLUSH_BYTES = 8 << 20
 
 # Every match of byte-level pre-tokenisation ends before a space or line feed that follows a non-blank character, and
 # between letters and these signs.
-_UNSAFE = re.compile(r"\s ")
 _CHUNK = re.compile(r"\s*\S+|\s+")
-_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,!?#$%&*|;:]*)")
+_SIGNS = ".,!?#$%&*|;:"
+_WORD = re.compile(rf"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([{_SIGNS}]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -64,7 +64,10 @@ class Encoder:
         self.bits = max(1, max(self.tok.get_vocab_size() - 1, 1, *tokens).bit_length())
         self.kind, self.code = ("<u2", "H") if self.bits <= 16 else ("<u4", "I")
         self.letters = _byte_letters()
-        #: ids of words with a space before them, and without
+        self.space = self.letters[0x20]
+        #: the bytes of each id
+        self.bytes = [i.to_bytes(2 if self.bits <= 16 else 4, "little") for i in range(1 << self.bits)]
+        #: ids of words with a space before them, and without; of the former none is empty or ends with a blank
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def _ids(self, ids: list[int]) -> bytes:
@@ -78,8 +81,9 @@ class Encoder:
         known = self.known[plain]
         ids = known.get(word)
         if ids is None:
-            model = (word if plain else " " + word).encode().decode("latin-1").translate(self.letters)
-            ids = self._ids([t.id for t in self.tok.model.tokenize(model)])
+            # letters of ASCII stand for themselves
+            model = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([self.bytes[t.id] for t in self.tok.model.tokenize(model if plain else self.space + model)])
             if len(known) < REMEMBERED:
                 known[word] = ids
         return ids
@@ -89,8 +93,9 @@ class Encoder:
         ids = self.known[plain].get(word)
         if ids is not None:
             return ids
-        if m := _WORD.fullmatch(word):
-            letters, signs = m.groups()
+        letters = word.rstrip(_SIGNS)
+        if letters.isascii() and letters.isalpha() or _WORD.fullmatch(word):
+            signs = word[len(letters):]
             ids = self._letters(letters, plain)
             if signs:
                 ids += self._word(signs, 1)
@@ -101,7 +106,7 @@ class Encoder:
             # a single line feed between other characters is a match of its own
             return self._word(lines[0], plain) + b"".join([self._word("\n", 1) + self._word(x, 1) for x in lines[1:]])
         ids = self._piped(word if plain else " " + word)
-        if len(self.known[plain]) < REMEMBERED:
+        if len(self.known[plain]) < REMEMBERED and word and not word[-1].isspace():
             self.known[plain][word] = ids
         return ids
 
@@ -121,14 +126,16 @@ class Encoder:
         """Ids of a text without added tokens."""
         if not text:
             return b""
-        if _UNSAFE.search(text):
-            return b"".join([self._word(c[1:], 0) if c[0] == " " and not c[1:2].isspace() else self._piped(c)
-                             for c in _CHUNK.findall(text)])
         parts = text.split(" ")
         ids = list(map(self.known[0].get, parts))
-        ids[0] = self._word(parts[0], 1) if parts[0] else b""
-        if None in ids:
-            ids = [self._word(p, 0) if i is None else i for p, i in zip(parts, ids)]
+        ids[0] = b"" if not parts[0] else self._word(parts[0], 1) if len(parts) == 1 or not parts[0][-1].isspace() else None
+        missing = [k for k, i in enumerate(ids) if i is None]
+        # a space after a blank is no boundary; words met before never leave one
+        if any(k < len(parts) - 1 and (not parts[k] or parts[k][-1].isspace()) for k in missing):
+            return b"".join([self._word(c[1:], 0) if c[0] == " " and not c[1:2].isspace() else self._piped(c)
+                             for c in _CHUNK.findall(text)])
+        for k in missing:
+            ids[k] = self._word(parts[k], 0)
         return b"".join(ids)
 
 
