@@ -34,7 +34,8 @@ class WaveletMatrix:
         for k in range(bits - 1, -1, -1):
             one = (cur >> np.array(k, cur.dtype)) & np.array(1, cur.dtype) != 0
             planes.append(np.packbits(one, bitorder="little"))
-            cur = np.concatenate([cur[~one], cur[one]])
+            if k:  # places are cheaper to take by than masks
+                cur = np.concatenate([cur.take(np.flatnonzero(~one)), cur.take(np.flatnonzero(one))])
         return cls(len(ids), bits, planes)
 
     @staticmethod
@@ -123,8 +124,8 @@ class WaveletMatrix:
         for k in range(self.bits - 1, -1, -1):
             one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             up = np.empty(self.n, kind)
-            up[~one] = cur[:self.zeros[k]]
-            up[one] = cur[self.zeros[k]:] | np.array(1 << (self.bits - 1 - k), kind)
+            up[np.flatnonzero(~one)] = cur[:self.zeros[k]]
+            up[np.flatnonzero(one)] = cur[self.zeros[k]:] | np.array(1 << (self.bits - 1 - k), kind)
             cur = up
         return cur
 
