@@ -4,7 +4,8 @@
    leftmost of equal ones. Equal windows have equal anchors at the same place, so only windows of equal anchors need be
    compared. Strings that are frequent (by a counting sketch of fixed size over all bytes) are last in that order, so
    only windows made of nothing but frequent strings have a frequent anchor.
-2. Contexts. Neighbouring windows of one anchor form a context, the bytes they cover. Contexts are first counted by hash:
+2. Contexts. Neighbouring windows of one anchor form a context, the bytes they cover. Contexts are first counted by a
+   128-bit digest of their bytes (no polynomial hash, which texts can be built to collide in):
    all windows of a context that occurs twice are repeated, wherever its copies are, and one of each different
    context goes on. (A frequent anchor has few different contexts: all of one frequent text, cut at different places.)
 3. Suffix sort. The different contexts of an anchor come together. Their suffixes, one per window, are sorted by
@@ -24,7 +25,8 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fedlake.session import materialize
@@ -105,8 +107,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray, frequent: np.ndarray, length: int) -> list[np.ndarray]:
-    """Contexts of a text: arrays of (anchor hash, context hash, first window, last window, place of the anchor)."""
+    """Contexts of a text: arrays of (anchor hash, context digest in two words, first window, last window, place of the anchor).
+
+    The digest covers the bytes and the anchor's place in them, so that equal digests mean equal windows at equal places.
+    """
     out = []
+    raw = memoryview(data)
     place_bits = np.uint64(22)
     for begin in range(0, len(data) - length + 1, CHUNK):
         part = data[begin:begin + CHUNK + length - 1]
@@ -118,13 +124,9 @@ def contexts(data: np.ndarray, frequent: np.ndarray, length: int) -> list[np.nda
         lo = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         hi = np.append(lo[1:], len(anchor)) - 1
         at = anchor[lo]
-        n = len(part)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[part] * powers(n)[n:0:-1], out=sums[1:])
-        end = hi + length
-        whole = (sums[end] - sums[lo]) * _inverse_powers(n)[n - end]
-        whole = _mix(whole + _mix(((end - lo) << 20 | (at - lo)).astype(np.uint64)))
-        out.append(np.stack([grams[at].view(np.int64), whole.view(np.int64), lo + begin, hi + begin, at + begin]))
+        spans = zip((lo + begin).tolist(), (hi + begin + length).tolist(), (at - lo).tolist())
+        digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[i:j], seed) for i, j, seed in spans), "<i8").reshape(-1, 2)
+        out.append(np.stack([grams[at].view(np.int64), *digests.T, lo + begin, hi + begin, at + begin]))
     return out
 
 
@@ -300,23 +302,24 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                 if made:
                     c = np.concatenate(made, axis=1)
                     # first window; number of further windows and the anchor's place after the first, both below length
-                    span = (c[3] - c[2]) << 16 | (c[4] - c[2])
+                    span = (c[4] - c[3]) << 16 | (c[5] - c[3])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(uids)), pa.array(c[0]), pa.array(c[1]), pa.array(c[2]),
-                         pa.array(span.astype(np.int32), pa.int32())], names=["uid", "anchor", "context", "lo", "span"])
+                        [pa.array(np.concatenate(uids)), *map(pa.array, c[:4]), pa.array(span.astype(np.int32), pa.int32())],
+                        names=["uid", "anchor", "context", "context2", "lo", "span"])
 
-    found = long.mapInArrow(find, "uid long, anchor long, context long, lo long, span int")
+    found = long.mapInArrow(find, "uid long, anchor long, context long, context2 long, lo long, span int")
     found, _ = materialize(found, "window_contexts")
     place = F.struct("uid", "lo", "span")
-    different = found.groupBy("anchor", "context").agg(F.min(place).alias("one"), F.max(place).alias("last"))
-    different = different.select("anchor", "context", "one", (F.col("one") != F.col("last")).alias("often"))
+    key = ["anchor", "context", "context2"]
+    different = found.groupBy(*key).agg(F.min(place).alias("one"), F.max(place).alias("last"))
+    different = different.select(*key, "one", (F.col("one") != F.col("last")).alias("often"))
     # anchors that more than one place has
     of_anchor = different.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("contexts"), F.count_if("often").alias("repeated"))
     different, _ = materialize(different, "different_contexts")
     of_anchor, _ = materialize(of_anchor.where("contexts > 1 or repeated > 0"), "shared_anchors")
 
-    whole = found.join(different.where("often").select("anchor", "context"), ["anchor", "context"]).select(
+    whole = found.join(different.where("often").select(*key), key).select(
         "uid", F.col("lo").alias("start"), (F.col("lo") + F.shiftright("span", 16) + length).alias("stop"))
     compared = different.join(of_anchor.where("contexts > repeated and contexts > 1").select("anchor"), "anchor")
     wanted = compared.select("one.uid", "one.lo", "one.span", "anchor", "often").groupBy("uid").agg(
@@ -369,6 +372,26 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.union(sorted_)
 
 
+def told_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(id, uid, data) of (id, uid, apart, data) with a uid for each different row, (uid, size) of those that stand more than once,
+    and the number of these.
+
+    Different rows whose 64-bit ``uid`` is the same differ in the second hash ``apart`` and get uids made of it, until none is shared.
+    Rows of one uid repeat each other in whole, and one of them stands for all.
+    """
+    attempt = 0
+    while True:
+        twice = rows.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("data")).cast("long").alias("size"),
+                                        (F.min("apart") != F.max("apart")).alias("shared"))
+        twice, several = materialize(twice.where("n > 1").drop("n"), "repeated_rows")
+        shared = twice.where("shared").select("uid", "shared")
+        if not several or shared.isEmpty():
+            return rows.select("id", "uid", "data"), twice.select("uid", "size"), several
+        attempt += 1
+        new: Column = F.when(F.col("shared"), F.xxhash64(F.lit(attempt), "apart")).otherwise(F.col("uid"))
+        rows = rows.join(shared, "uid", "left").select("id", new.alias("uid"), "apart", "data")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id_col, n_bytes, n_removed, n_spans, kept, spans).
 
@@ -377,10 +400,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     in id and text repeat each other. Other columns are left out. An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("uid"), text.cast("binary").alias("data"))
-    # rows of one uid repeat each other in whole; one of them stands for all
-    twice = rows.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("data")).alias("size"))
-    twice, several = materialize(twice.where("n > 1").select("uid", F.col("size").cast("long").alias("size")), "repeated_rows")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("uid"),
+                       F.xxhash64(F.lit("apart"), text, F.col(id_col)).alias("apart"), text.cast("binary").alias("data"))
+    rows, twice, several = told_apart(rows)
     spans = repeated_spans(rows, length)
     if several:
         spans = spans.union(twice.where(F.col("size") >= length).select("uid", F.lit(0).cast("long"), "size")).distinct()

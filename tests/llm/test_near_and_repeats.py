@@ -160,6 +160,34 @@ def test_a_frequent_text_cut_at_many_places(spark):
         [r[1].encode() for r in rows], 400)
 
 
+def thue_morse(n):
+    return np.array([i.bit_count() & 1 for i in range(n)], np.uint8) + 97
+
+
+def test_contexts_that_collide_in_the_polynomial_hash(spark):
+    one, other = thue_morse(4096), 195 - thue_morse(4096)
+    p = suffix_dedup.Prefixes(np.concatenate([one, other]))
+    assert p.of(np.array([0]), 4096) == p.of(np.array([4096]), 4096)
+    none_frequent = np.zeros(1 << suffix_dedup.CELLS_LOG, bool)
+    digests = [np.concatenate(suffix_dedup.contexts(x, none_frequent, 4096), axis=1)[1:3, 0].tolist() for x in (one, other)]
+    assert digests[0] != digests[1]
+    rows = [one.tobytes().decode(), other.tobytes().decode(), one.tobytes().decode()[:4000]]
+    got = suffix_dedup.remove_repeats(documents(spark, [(i, t, "en", "s", 1) for i, t in enumerate(rows)]), 4096).collect()
+    assert [r.n_removed for r in got] == [0, 0, 0]
+    rows.append("x" + rows[0])
+    got = suffix_dedup.remove_repeats(documents(spark, [(i, t, "en", "s", 1) for i, t in enumerate(rows)]), 4096).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {0: 4096, 1: 0, 2: 0, 3: 4096}
+
+
+def test_different_rows_of_one_uid(spark):
+    rows = [(1, 7, 100, b"a"), (2, 7, 200, b"bb"), (2, 7, 200, b"bb"), (3, 8, 300, b"c"), (4, 9, 400, b"d"), (4, 9, 400, b"d")]
+    apart, twice, several = suffix_dedup.told_apart(spark.createDataFrame(rows, "id long, uid long, apart long, data binary"))
+    got = apart.collect()
+    assert len(got) == 6 and len({r.uid for r in got}) == 4 and len({(r.uid, r.id) for r in got}) == 4
+    of = {r.id: r.uid for r in got}
+    assert several == 2 and {(r.uid, r["size"]) for r in twice.collect()} == {(of[2], 2), (of[4], 1)}
+
+
 def test_sorted_suffixes():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
