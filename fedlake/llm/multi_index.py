@@ -20,14 +20,14 @@ from pyspark.sql import Window
 
 from fedlake.session import materialize
 
-CENTROIDS = 128
+#: Centroids of a half: the number of vectors to this power, within these bounds. (Cells are counted on the driver: 8 MB at most.)
+GROWTH = 0.4
+FEWEST, MOST = 128, 1024
 #: Vectors that centroids and share are fitted on, at most.
 SAMPLE = 20_000
 SAMPLE_QUERIES = 400
 #: Recall that the share of entries is chosen for, on the sample.
 AIM = 0.96
-#: Entries that every query sees at least.
-LEAST = 2_000
 #: Entries in one part of the index.
 PART_ENTRIES = 20_000
 QUERY_BLOCK = 256
@@ -125,20 +125,30 @@ def valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.size("v") == (length["d"] if length else 0))
 
 
+def centroids(n: int) -> int:
+    """Centroids of a half for an index of ``n`` vectors: more of them, and so finer cells, the more vectors there are."""
+    return int(min(MOST, max(FEWEST, np.ceil(n ** GROWTH))))
+
+
+def fitted(rows: DataFrame, n: int, k: int) -> Codebook:
+    """Centroids and share of entries for ``n`` rows (id, v), from a sample of at most SAMPLE of them by hash of the id."""
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v").toPandas()  # bounded by SAMPLE
+    x = np.array(sample["v"].tolist(), np.float64)
+    return fit(x, min(centroids(n), max(1, len(x) // 8)), k)
+
+
 def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The k nearest found of each query by inner product: (query_id, rank, vec_id, score), score in double precision.
 
     Queries are the valid rows for which the condition ``is_query`` (on the column ``id``) holds; candidates are all valid rows of
-    another id. Ties go to the smaller id; with fewer candidates all are returned. Null ids and invalid vectors
+    another id. Ties go to the smaller id; with fewer than k candidates all are returned. Null ids and invalid vectors
     take no part; other columns are left out. Rows that repeat an id are entries each. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     rows, n = materialize(valid(vectors, id_col, vec_col), "ann_vectors")
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v").toPandas()  # bounded by SAMPLE
-    x = np.array(sample["v"].tolist(), np.float64)
-    book = fit(x, min(CENTROIDS, max(1, len(x) // 8)), k)
+    book = fitted(rows, n, k)
     n_cells = len(book.first) * len(book.second)
     width = len(book.second)
     shared = spark.sparkContext.broadcast(book)
@@ -154,14 +164,16 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
 
     coded, _ = materialize(rows.mapInArrow(code, "id long, v array<double>, cell int"), "ann_entries")
     counts = np.zeros(n_cells, np.int64)
-    for r in coded.groupBy("cell").count().collect():  # at most CENTROIDS^2 cells
+    for r in coded.groupBy("cell").count().collect():  # at most MOST^2 cells
         counts[r["cell"]] = r["count"]
     # rows of centroids are dealt to buckets; a bucket's entries to parts of bounded size
     per_row = counts.reshape(-1, width).sum(axis=1)
     n_buckets = int(min(len(book.first), max(16, n // 200_000)))
     bucket_size = np.bincount(np.arange(len(per_row)) % n_buckets, weights=per_row, minlength=n_buckets)
     parts = np.maximum(1, np.ceil(bucket_size / PART_ENTRIES)).astype(int).tolist()
-    entries = int(max(LEAST, np.ceil(book.share * n)))
+    # a query's own rows are no candidates: k others are seen even if all of these are
+    own = coded.where(is_query).groupBy("id").count().agg(F.max("count")).first()[0] or 0
+    entries = int(max(own + k, np.ceil(book.share * n)))
     shared_counts = spark.sparkContext.broadcast(counts.tolist())
     parts_of = F.element_at(F.array(*map(F.lit, parts)), F.col("bucket") + 1)
     stored = coded.withColumn("bucket", F.pmod(F.floor(F.col("cell") / width).cast("int"), F.lit(n_buckets))).select(

@@ -204,6 +204,33 @@ def test_multi_index_recall(spark):
     assert np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("kind,most", [("clustered", 0.1), ("uniform", 0.6)])
+def test_multi_index_recall_on_many_vectors(spark, kind, most):
+    rng = np.random.default_rng(3)
+    n, d = 50_000, 24
+    x = rng.normal(size=(n, d))
+    if kind == "clustered":
+        x = rng.normal(size=(400, d))[rng.integers(0, 400, n)] + 0.25 * x
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    table = vectors(spark, [(i, v) for i, v in enumerate(x.tolist())])
+    x = np.array(x, np.float32).astype(np.float64)
+    assert multi_index.fitted(multi_index.valid(table, "vec_id", "embedding"), n, 20).share < most
+    got = {}
+    for r in multi_index.search(table, F.col("id") % 250 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q in range(0, n, 250):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert len(got[q]) == 20
+        hits.append(len(got[q] & set(np.argpartition(-s, 20)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_centroids_grow_with_the_vectors():
+    assert [multi_index.centroids(n) for n in (500, 50_000, 10**6, 10**7, 10**10)] == [128, 128, 252, 631, 1024]
+
+
 def test_multi_index_odd_rows(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0, 2.0]), (1, None), (2, [0.0, 0.0, 0.0]), (3, [nan, 1.0, 1.0]), (4, [1.0, None, 1.0]), (5, [inf, 1.0, 1.0]),
