@@ -9,7 +9,8 @@ Tables: documents are dealt to *blocks* of bounded size by hash. Each block is e
 n-grams with counts; these rows go, packed by hash range (*bucket*), to the count table, which is partitioned by that hash. The totals
 come back to the blocks as a join on the same rows, and each block sums the scores of its documents. A block sends each n-gram
 once, however often it stands there, so a frequent n-gram is no hot key. One row carries the n-grams of a block and bucket as
-sorted hash differences, since single rows would take several times the space and time.
+sorted hash differences, since single rows would take several times the space and time: ``score_by_rows`` is that form,
+one row for each distinct n-gram of a document, joined to its count and summed by Spark alone.
 
 N-grams are told apart by HASH_BITS-bit hashes: among 10^10 different ones about one in 10^7 shares its count
 with another.
@@ -24,6 +25,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from fedlake.session import materialize
 
 from . import packed_counts
 from .mixing import word_count
@@ -167,3 +171,50 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, id_col:
     scored = dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         sum_up, f"id {id_type}, n_words long, log_score double, mean_score double, shortened long")
     return scored.withColumnRenamed("id", id_col)
+
+
+def score_by_rows(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The rows of ``score`` by DataFrame operations: exploded n-grams, a count table, their join, and a sum per document.
+
+    A frequent n-gram is counted by partial sums and is one row of the count table; its many documents are on the other side of
+    the join, where adaptive execution splits a partition that is much larger than the others. Only a document's own places
+    come together, so a group is bounded by its text. N-grams are told apart by 64-bit hashes.
+    """
+    numbered, _ = materialize(docs.select(
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text")), "numbered_texts")
+    words = numbered.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def of_order(n: int):
+        ends = F.when(F.size("words") >= n, F.sequence(F.lit(n), F.size("words"))).otherwise(F.array().cast("array<int>"))
+        return F.transform(ends, lambda end: F.struct(
+            F.lit(n).alias("n"), end.alias("place"), F.xxhash64(F.lit(n), F.slice("words", end - (n - 1), n)).alias("gram")))
+
+    # documents are dealt by uid before they are exploded, so that n-grams are gathered by document without an exchange
+    exploded = numbered.repartition("uid").select("uid", split.alias("words")).select(
+        "uid", F.explode(F.flatten(F.array(*(of_order(n) for n in range(1, order + 1))))).alias("g")).select("uid", "g.*")
+    grams = exploded.groupBy("uid", "n", "gram").agg(F.collect_list("place").alias("places"))
+    counts = grams.groupBy("gram").agg(F.sum(F.size("places")).alias("total"))
+    others = grams.join(counts, "gram").select("uid", "n", (F.col("total") - F.size("places")).alias("c"), "places")
+    at_word = others.repartition("uid").select("uid", "n", "c", F.explode("places").alias("place")).groupBy("uid", "place").agg(
+        *(F.max(F.when(F.col("n") == n, F.col("c"))).alias(f"c{n}") for n in range(1, order + 1)))
+    in_order = Window.partitionBy("uid").orderBy("place")
+    outside = words - F.count(F.lit(1)).over(Window.partitionBy("uid"))
+    longest = F.least(F.col("place"), F.lit(order))
+    at_word = at_word.select("uid", longest.alias("longest"), outside.alias("c0"), *(f"c{n}" for n in range(1, order + 1)),
+                             *(F.lag(f"c{n}").over(in_order).alias(f"before{n}") for n in range(1, order)))
+    used, log_s = F.lit(0), -F.log(F.col("c0") + 1.0)
+    for n in range(1, order + 1):
+        below = F.col("c0") if n == 1 else F.col(f"before{n - 1}")
+        seen = F.col(f"c{n}") > 0
+        used = F.when(seen, F.lit(n)).otherwise(used)
+        log_s = F.when(seen, F.log(F.col(f"c{n}") / below)).otherwise(log_s)
+    log_s = log_s + (F.col("longest") - used) * math.log(backoff)
+    sums = at_word.groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n_words"), F.sum(log_s).alias("log_score"), F.count_if(used < F.col("longest")).alias("shortened"))
+    return numbered.select("uid", "id").join(sums, "uid", "left").select(
+        F.col("id").alias(id_col), F.coalesce("n_words", F.lit(0)).alias("n_words"),
+        F.coalesce("log_score", F.lit(0.0)).alias("log_score"), (F.col("log_score") / F.col("n_words")).alias("mean_score"),
+        F.coalesce("shortened", F.lit(0)).alias("shortened"))

@@ -145,8 +145,20 @@ def test_backoff_scores(spark, monkeypatch, order):
         assert i == j and a[0] == b[0] and a[2] == b[2] and a[1] == pytest.approx(b[1])
 
 
+@pytest.mark.parametrize("order", [1, 3])
+def test_scores_by_rows_are_the_scores(spark, order):
+    docs = documents(spark)
+    got, want = (sorted(f(docs, order).collect(), key=lambda r: (str(r.doc_id), r.n_words, r.shortened, r.log_score))
+                 for f in (lm_backoff.score_by_rows, lm_backoff.score))
+    assert len(got) == len(want) == docs.count()
+    for a, b in zip(got, want):
+        assert (a.doc_id, a.n_words, a.shortened) == (b.doc_id, b.n_words, b.shortened)
+        assert a.log_score == pytest.approx(b.log_score) and a.mean_score == (b.mean_score and pytest.approx(b.mean_score))
+
+
 def test_empty_tables(spark):
     none = documents(spark, []).limit(0)
     assert byte_bpe.decode(byte_bpe.encode(none, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
     assert token_shards.read_shards(spark, token_shards.write_shards(none, P.path("byte_bpe_50k.json"))).count() == 0
     assert lm_backoff.score(none).count() == 0
+    assert lm_backoff.score_by_rows(none).count() == 0
