@@ -75,15 +75,33 @@ def fan_out(*sinks: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, in
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
                   name: str | None = None) -> list[dict]:
-    """Drain everything available, then stop; returns the progress reports."""
-    w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    """Drain everything available, then stop; returns the progress reports of all micro-batches, in order.
+
+    Spark keeps only the last reports of a query (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default), so they
+    are gathered at each batch: a batch's report is there before the next batch begins."""
+    reports: dict[tuple, dict] = {}
+    started: list = []
+
+    def gather() -> None:
+        for q in started:
+            for p in q.recentProgress:
+                p = p if isinstance(p, dict) else p.__dict__
+                reports[p["batchId"], p["timestamp"]] = p
+
+    def gathering_sink(batch: DataFrame, batch_id: int) -> None:
+        gather()
+        sink(batch, batch_id)
+
+    w = stream.writeStream.foreachBatch(gathering_sink).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)
     q = w.start()
+    started.append(q)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return [p if isinstance(p, dict) else p.__dict__ for p in q.recentProgress]
+    gather()
+    return [reports[k] for k in sorted(reports)]
 
 
 def upsert_sink(spark: SparkSession, to_rows: Callable[[DataFrame], DataFrame], root: str) -> Callable[[DataFrame, int], None]:

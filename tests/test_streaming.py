@@ -32,3 +32,19 @@ def test_batch_sink_replay_is_idempotent(spark):
     sink(batch, 7)
     sink(batch, 7)  # the same batch id replayed after a failure
     assert spark.read.parquet(out).count() == 10
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark):
+    """Reports of every micro-batch are returned, however few of them Spark itself keeps."""
+    src = scratch_path(spark, "t-many-batches")
+    spark.range(0, 12).select(F.col("id")).repartition(6).write.option("maxRecordsPerFile", 2).json(src)
+    key, seen = "spark.sql.streaming.numRecentProgressUpdates", []
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        stream = S.read_jsonl_stream(spark, src, "id long", max_files=1)
+        progress = S.run_available(stream, lambda b, i: seen.append(b.count()), scratch_path(spark, "t-many-ckpt"))
+    finally:
+        spark.conf.set(key, old)
+    assert len(seen) >= 6 and sum(seen) == 12
+    assert [p["numInputRows"] for p in progress if p["numInputRows"]] == seen
