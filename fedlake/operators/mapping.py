@@ -273,7 +273,18 @@ def entity_envelope(df: DataFrame, entity_type: str, spec: dict, version: str =
 _FIXED_WIDTH = ("tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz", "boolean")
 
 
-def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> DataFrame:
+def latest_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Rows that hold the largest ``order`` value of their key (all of them where it is null throughout; null keys dropped):
+    a hash aggregation of these columns and a join sized by the planner, spread by key and value."""
+    top = df.groupBy(*[F.col(n).alias(f"_{n}") for n in keys]).agg(F.max(order).alias("__top"))
+    same = F.lit(True)
+    for n in keys:  # keys first: a merge join then leaves the rows in key order
+        same = same & (F.col(n) == F.col(f"_{n}"))
+    return df.join(top, same & F.col(order).eqNullSafe(F.col("__top"))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = (), *, reduced: bool = False,
+                   fields: Sequence[str] | None = None) -> DataFrame:
     """Distinct entities by key: one row per key (null keys dropped).
 
     The surviving source record per key is the one with the largest
@@ -287,6 +298,11 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
     records by hash instead. What is left, a few rows a key, is decided by the whole order. Both phases combine
     map-side, so a hot key never ships its raw records to one task, and only the columns the spec reads cross a shuffle.
     With an order column the input is read twice: hand over a table, not an expensive lineage.
+
+    ``reduced`` says that ``df`` went through the first phase already: it holds, of each key, only rows with the largest leading
+    order value (or, without order, distinct records); it is read once then. ``fields`` are the entity fields that the
+    caller reads (default all). If they are key fields no record has to be chosen, as every record of a key has them: the
+    distinct keys are the answer.
     """
     keys = spec["key_fields"]
     m = compile_mappings(df, spec)
@@ -303,8 +319,13 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
     internal = [f"__k{i}" for i in range(len(keys))]
     orders = [f"__ord{i}" for i in range(len(order_by))]
     held = [f"__s{i}" for i in range(len(srcs))]
+    if fields is not None and set(fields) <= {k for k in keys if "." not in k}:
+        present = df.select(*[key_expr(k).alias(n) for k, n in zip(keys, internal)])
+        for n in internal:
+            present = present.where(F.col(n).isNotNull())
+        return present.distinct().select(*[F.col(internal[keys.index(f)]).alias(f) for f in fields])
     by_order = bool(orders) and dict(df.dtypes)[order_by[0]] in _FIXED_WIDTH
-    if not by_order:  # before any key is computed
+    if not by_order and not reduced:  # before any key is computed
         heads = [k.partition(".")[0] for k in keys]
         needed = [f"`{c}`" for c in dict.fromkeys([*srcs, *order_by, *heads]) if c in df.columns]
         # a distinct under a max would be optimised away; the count keeps it
@@ -316,12 +337,8 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
     for n in internal:
         nonnull = nonnull & F.col(n).isNotNull()
     pre = pre.where(nonnull)
-    if by_order:
-        top = pre.groupBy(*[F.col(n).alias(f"_{n}") for n in internal]).agg(F.max(orders[0]).alias("__top"))
-        same = F.col(orders[0]).eqNullSafe(F.col("__top"))
-        for n in internal:
-            same = same & (F.col(n) == F.col(f"_{n}"))
-        pre = pre.join(top, same).select(*pre.columns)
+    if by_order and not reduced:
+        pre = latest_rows(pre, internal, orders[0])
     record = F.struct(*[F.col(n).alias(c) for c, n in zip(srcs, held)]).alias("__src")
     best = F.max(F.struct(*[F.col(n) for n in orders], record))
     rows = pre.groupBy(*internal).agg(best.alias("_m")).select(*internal, "_m.__src.*")
@@ -329,7 +346,8 @@ def extract_entity(df: DataFrame, spec: dict, order_by: Sequence[str] = ()) -> D
         warnings.simplefilter("ignore")
         mapped = compile_mappings(rows.drop(*internal), spec)
     flat_keys = [(i, n) for (k, n), i in zip(zip(keys, key_names), internal) if "." not in k and n not in mapped]
-    return rows.select(*[F.col(i).alias(n) for i, n in flat_keys], *[c.alias(n) for n, c in mapped.items()])
+    out = rows.select(*[F.col(i).alias(n) for i, n in flat_keys], *[c.alias(n) for n, c in mapped.items()])
+    return out if fields is None else out.select(*[F.col(f"`{f}`") for f in fields])
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:

@@ -18,7 +18,7 @@ very same table with plain SQL.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import fiscal_year
 from ..operators import summary
 from ..operators.joins import join_small
+from ..operators.mapping import latest_rows
 from ..session import load
 
 
@@ -236,15 +237,34 @@ def _needed_dims(columns: Iterable[str]) -> list[str]:
     return [d for d in _DIM_ORDER if d in need]
 
 
-def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Narrow award-transaction table (the analysis table) from the test tables."""
+def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, *,
+                 latest: tuple[str, str] | None = None,
+                 distinct: tuple[Sequence[str], Sequence[str]] | None = None) -> DataFrame:
+    """Narrow award-transaction table (the analysis table) from the test tables.
+
+    For a consumer that reads only some rows, these go before the dimensions widen and exchange them; every dimension is a
+    left join, so the rows that stay are the same as if they went at the end. ``latest`` (key, order) keeps the rows with the largest
+    order value of their key, chosen as soon as the two columns are there. ``distinct`` (dimensions, table columns) joins these
+    dimensions first and keeps each combination of the table columns once; all requested columns must follow from those."""
     columns = list(DEFAULT_NARROW if columns is None else columns)
-    df = load(spark, sf_dir, "lineitem")
-    for dim in _needed_dims(columns):
-        table, proj, (lk, rk), _ = _DIMS[dim]
-        side = load(spark, sf_dir, table).select(
-            *[F.col(p) if isinstance(p, str) else F.col(p[0]).alias(p[1]) for p in proj])
-        df = join_small(df, side, F.col(lk) == F.col(rk), "left")
+
+    def joined(df: DataFrame, dims: Iterable[str]) -> DataFrame:
+        for dim in dims:
+            table, proj, (lk, rk), _ = _DIMS[dim]
+            side = load(spark, sf_dir, table).select(
+                *[F.col(p) if isinstance(p, str) else F.col(p[0]).alias(p[1]) for p in proj])
+            df = join_small(df, side, F.col(lk) == F.col(rk), "left")
+        return df
+
+    first = _needed_dims(latest) if latest else list(distinct[0]) if distinct else []
+    df = joined(load(spark, sf_dir, "lineitem"), first)
+    if latest:
+        own = df.columns
+        df = latest_rows(df.select("*", *[narrow_spec()[c].build().alias(f"__{n}") for c, n in zip(latest, ("key", "order"))]),
+                         ["__key"], "__order").select(*own)
+    elif distinct:
+        df = df.select(*distinct[1]).distinct()
+    df = joined(df, [d for d in _needed_dims(columns) if d not in first])
     return df.select(*[narrow_spec()[c].build().alias(c) for c in columns])
 
 
