@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import fmt_date
 from ..functions.numbers import fmt_currency
+from ..session import materialize as _materialize
 from .joins import join_small
 
 
@@ -138,7 +139,7 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
                     fields: Sequence[str] | None = None,
                     additional_fields: Sequence[str] | None = None,
                     *, formatted: bool = True, with_total: bool = False,
-                    tiebreak: Sequence[str] = ()) -> DataFrame:
+                    tiebreak: Sequence[str] = (), write_rows: bool = False) -> DataFrame:
     """A3: latest record(s) per group with tie count, sorted by value desc.
 
     ``fields`` are the default output fields after the group key (award schema
@@ -146,11 +147,15 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
     not already listed. ``with_total`` adds ``total_count`` (all rows of the
     group), the modification count the source describes but does not compute.
     ``tiebreak`` columns extend the sort so that a limit on top is deterministic.
+    ``write_rows`` writes the latest rows before the sort: a sort looks at its input twice (for its ranges, then to deal the
+    rows), and the table behind them is much larger.
     """
     out_fields = _report_fields(df, group, fields, additional_fields, with_total)
     needed = [c for c in dict.fromkeys(out_fields + [date, value, group] + list(tiebreak))
               if c not in ("row_count", "total_count")]
     rows = latest_records(df.select(*needed), group, date, with_total)
+    if write_rows:
+        rows, _ = _materialize(rows, "latest-rows")
     return _report(rows, group, date, value, out_fields, formatted, tiebreak)
 
 
@@ -162,10 +167,11 @@ def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]
 
     Each key has a pass of its own over two columns, the key in its own type and the date, aggregated before the shuffle:
     a key of few values ships a few rows per task, and no row is multiplied by the number of views. The passes are
-    independent and small, so they are submitted together. ``df`` is read once per view: hand over a table.
+    independent and small, so they are submitted together, as are the writes of each view's latest rows, from which its report
+    is sorted. ``df`` is read twice per view, two columns the first time: hand over a table.
     """
     def report(view: tuple[str, Sequence[str]]) -> DataFrame:
-        return latest_by_group(df, view[0], date, value, fields, view[1], formatted=formatted)
+        return latest_by_group(df, view[0], date, value, fields, view[1], formatted=formatted, write_rows=True)
 
     with ThreadPoolExecutor(max(1, concurrent_jobs)) as pool:
         return list(pool.map(report, views))
