@@ -208,6 +208,42 @@ def test_keys_of_entities_need_no_record(spark):
     assert sorted(map(tuple, some.collect()), key=repr) == [("y", "a"), (None, "b")]
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f for f in files if "/shuffle_" in f}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from fedlake.session import materialize
+    before = _shuffle_files(spark)
+    _, n = materialize(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count(), "t-release")
+    assert n == 100
+    materialize(spark.range(1000).repartition(7, "id"), "t-release")
+    assert _shuffle_files(spark) <= before
+
+
+def test_upsert_keeps_one_copy_of_its_rows(spark):
+    import glob
+    base = store.materialize(spark.range(1), "t-where")[0].inputFiles()[0].removeprefix("file:").split("fedlake-tables")[0]
+    held = lambda: set(glob.glob(f"{base}fedlake-tables/store-*"))
+    before, root = held(), scratch_path(spark, "t-copies")
+    for kind in ("thing", "other", "other"):
+        store.upsert(spark, store.to_store_rows(spark.range(30).selectExpr(f"'{kind}' as kind", "id"), kind), root)
+    assert held() == before
+    assert store.count_entities(spark, root).count() == 2 and store.read_store(spark, root).count() == 60
+
+
+def test_upsert_of_repeated_ids_keeps_the_latest_of_each(spark):
+    root = scratch_path(spark, "t-repeats")
+    rows = spark.createDataFrame([("a" * 64, "t", 1, "old", 1), ("a" * 64, "t", 1, "new", 2), ("b" * 64, "t", 2, "x", 1),
+                                  ("b" * 64, "u", 2, "x", 1), ("c" * 64, "t", 3, "p", 5), ("c" * 64, "t", 3, "q", 5)],
+                                 "id string, entity_type string, shard int, data string, n int") \
+        .select("id", "entity_type", "shard", "data", F.timestamp_seconds("n").alias("created_at"))
+    assert store.upsert(spark, rows, root) == 4
+    got = sorted((r.entity_type, r.id[0], r.data) for r in store.read_store(spark, root).collect())
+    assert got == [("t", "a", "new"), ("t", "b", "x"), ("t", "c", "q"), ("u", "b", "x")]
+
+
 def test_views_are_sorted_from_their_written_rows(spark):
     path = scratch_path(spark, "t-many-views")
     spark.range(200).select((F.col("id") % 5).alias("g"), (F.col("id") % 3).alias("h"), F.col("id").alias("v"),
