@@ -37,6 +37,7 @@ class NarrowCol:
     build: Callable[[], Column]  # Spark side, built on use (needs a session)
     sql: str
     needs: tuple[str, ...] = ()
+    one_to_one: str = ""  # the table column that this one only renames: equal where that is, null where that is
 
 
 def _c(name):
@@ -95,7 +96,7 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "funding_sub_agency_name": NarrowCol(lambda: _c("cn_name"), "cn.n_name", ("orders", "customer", "cnation")),
         "funding_office_code": NarrowCol(lambda: _c("c_mktsegment"), "c.c_mktsegment", ("orders", "customer")),
         "funding_office_name": NarrowCol(lambda: F.lower(_c("c_mktsegment")), "lower(c.c_mktsegment)", ("orders", "customer")),
-        "recipient_uei": NarrowCol(lambda: _c("o_custkey"), "o.o_custkey", ("orders",)),
+        "recipient_uei": NarrowCol(lambda: _c("o_custkey"), "o.o_custkey", ("orders",), "o_custkey"),
         "recipient_name": NarrowCol(lambda: _c("c_name"), "c.c_name", ("orders", "customer")),
         "recipient_name_raw": NarrowCol(lambda: F.upper(_c("c_name")), "upper(c.c_name)", ("orders", "customer")),
         "recipient_parent_uei": NarrowCol(lambda: F.floor(_c("o_custkey") / 10) * 10,
@@ -127,7 +128,7 @@ def narrow_spec() -> dict[str, NarrowCol]:
         "last_modified_date": NarrowCol(lambda: _c("l_shipdate"), "l.l_shipdate"),
         # wider transaction columns used by the entity mappings
         "contract_award_unique_key": NarrowCol(lambda: F.concat(F.lit("CONT_AWD_"), _c("l_orderkey").cast("string")),
-                                               "'CONT_AWD_' || CAST(l.l_orderkey AS VARCHAR)"),
+                                               "'CONT_AWD_' || CAST(l.l_orderkey AS VARCHAR)", one_to_one="l_orderkey"),
         "parent_award_id_piid": NarrowCol(lambda: F.floor(_c("l_orderkey") / 8) * 8,
                                           "CAST(floor(l.l_orderkey / 8) * 8 AS BIGINT)"),
         "awarding_agency_code": NarrowCol(lambda: F.lpad(_c("sn_region").cast("string"), 3, "0"),
@@ -239,13 +240,15 @@ def _needed_dims(columns: Iterable[str]) -> list[str]:
 
 def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, *,
                  latest: tuple[str, str] | None = None,
-                 distinct: tuple[Sequence[str], Sequence[str]] | None = None) -> DataFrame:
+                 distinct: tuple[Sequence[str], Sequence[str]] | None = None,
+                 where: tuple[Sequence[str], Callable[[DataFrame], Column]] | None = None) -> DataFrame:
     """Narrow award-transaction table (the analysis table) from the test tables.
 
     For a consumer that reads only some rows, these go before the dimensions widen and exchange them; every dimension is a
     left join, so the rows that stay are the same as if they went at the end. ``latest`` (key, order) keeps the rows with the largest
     order value of their key, chosen as soon as the two columns are there. ``distinct`` (dimensions, table columns) joins these
-    dimensions first and keeps each combination of the table columns once; all requested columns must follow from those."""
+    dimensions first and keeps each combination of the table columns once; all requested columns must follow from those.
+    ``where`` (award columns, condition made from a table that has them) keeps the rows for which the condition holds."""
     columns = list(DEFAULT_NARROW if columns is None else columns)
 
     def joined(df: DataFrame, dims: Iterable[str]) -> DataFrame:
@@ -256,14 +259,19 @@ def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
             df = join_small(df, side, F.col(lk) == F.col(rk), "left")
         return df
 
-    first = _needed_dims(latest) if latest else list(distinct[0]) if distinct else []
+    first = _needed_dims(latest) if latest else list(distinct[0]) if distinct else _needed_dims(where[0]) if where else []
     df = joined(load(spark, sf_dir, "lineitem"), first)
     if latest:
-        own = df.columns
-        df = latest_rows(df.select("*", *[narrow_spec()[c].build().alias(f"__{n}") for c, n in zip(latest, ("key", "order"))]),
-                         ["__key"], "__order").select(*own)
+        own, (key, order) = df.columns, [narrow_spec()[c] for c in latest]
+        # the table's column instead of its renaming: the exchanges carry a number, and no second copy as text
+        df = df.select("*", order.build().alias("__order"), *[] if key.one_to_one else [key.build().alias("__key")])
+        df = latest_rows(df, [key.one_to_one or "__key"], "__order").select(*own)
     elif distinct:
         df = df.select(*distinct[1]).distinct()
+    elif where:
+        own = df.columns
+        df = df.select("*", *[narrow_spec()[c].build().alias(c) for c in where[0]])
+        df = df.where(where[1](df)).select(*own)
     df = joined(df, [d for d in _needed_dims(columns) if d not in first])
     return df.select(*[narrow_spec()[c].build().alias(c) for c in columns])
 

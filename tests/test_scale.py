@@ -242,3 +242,28 @@ def test_upsert_of_repeated_ids_keeps_the_latest_of_each(spark):
     assert store.upsert(spark, rows, root) == 4
     got = sorted((r.entity_type, r.id[0], r.data) for r in store.read_store(spark, root).collect())
     assert got == [("t", "a", "new"), ("t", "b", "x"), ("t", "c", "q"), ("u", "b", "x")]
+
+
+def test_agency_keys_ask_later_sources_only_where_the_first_lack(spark):
+    from fedlake.operators import mapping
+    from fedlake.plans import entities as E
+    d = _award_tables(spark, scratch_path(spark, "t-award"))
+    keys = E.AGENCY["key_fields"]
+    t = E.transactions_for(spark, d, E.AGENCY)
+    assert t.where("awarding_office_code IS NULL OR awarding_sub_agency_code IS NULL OR awarding_agency_code IS NULL").count()
+    want = mapping.extract_entity(t, E.AGENCY, fields=keys).select(*[F.col(k).cast("string") for k in keys])
+    got = E.agency_keys(spark, d)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # transactions are filtered before the tables of the later sources are joined
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    orders = [i for i, line in enumerate(plan.splitlines()) if "(l_orderkey" in line and "Join" in line]
+    assert len(orders) == 1 and any("Filter" in line and "isnull(lpad" in line for line in plan.splitlines()[orders[0]:])
+
+
+def test_latest_transactions_exchange_the_key_of_the_table(spark):
+    from fedlake.plans import entities as E
+    d = _award_tables(spark, scratch_path(spark, "t-award"))
+    t = E.latest_transactions(spark, d, E.CONTRACT, "contract_award_unique_key", E.CONTRACT["order_by"])
+    # the text is made after the choice, so it is neither grouped by nor exchanged
+    plan = t._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CONT_AWD_") == 1 and plan.index("CONT_AWD_") < plan.index("Aggregate")
