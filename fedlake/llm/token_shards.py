@@ -14,6 +14,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -69,6 +70,8 @@ class Encoder:
         self.bytes = [i.to_bytes(2 if self.bits <= 16 else 4, "little") for i in range(1 << self.bits)]
         #: ids of words with a space before them, and without; of the former none is empty or ends with a blank
         self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        #: ids of a line feed between other characters
+        self.feed = self._piped("\n")
 
     def _ids(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -93,6 +96,9 @@ class Encoder:
         ids = self.known[plain].get(word)
         if ids is not None:
             return ids
+        if "\n" in word and (lines := word.split("\n")) == word.split():
+            # a single line feed between other characters is a match of its own
+            return self._word(lines[0], plain) + b"".join([self.feed + self._word(x, 1) for x in lines[1:]])
         letters = word.rstrip(_SIGNS)
         if letters.isascii() and letters.isalpha() or _WORD.fullmatch(word):
             signs = word[len(letters):]
@@ -102,9 +108,6 @@ class Encoder:
                 if len(self.known[plain]) < REMEMBERED:
                     self.known[plain][word] = ids
             return ids
-        if "\n" in word and all(lines := word.split("\n")) and "".join(lines) == "".join(word.split()):
-            # a single line feed between other characters is a match of its own
-            return self._word(lines[0], plain) + b"".join([self._word("\n", 1) + self._word(x, 1) for x in lines[1:]])
         ids = self._piped(word if plain else " " + word)
         if len(self.known[plain]) < REMEMBERED and word and not word[-1].isspace():
             self.known[plain][word] = ids
@@ -138,6 +141,44 @@ class Encoder:
             ids[k] = self._word(parts[k], 0)
         return b"".join(ids)
 
+    def encode_all(self, texts: pa.Array) -> pa.Array:
+        """Ids of each of one or more whole texts, as ``encode`` has them, with END_ID after them.
+
+        A word that stands in several places of the texts is looked up once.
+        """
+        n = len(texts)
+        parts = pc.split_pattern(texts, " ")
+        bounds = parts.offsets.to_numpy().astype(np.int64)
+        first, last, text = bounds[:-1], bounds[1:] - 1, np.repeat(np.arange(n), np.diff(bounds))
+        coded = parts.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known[0].get, words))
+        blank = np.zeros(len(words), bool)
+        for k in [k for k, i in enumerate(ids) if i is None]:
+            w = words[k]
+            ids[k] = self._word(w, 0)
+            blank[k] = not w or w[-1].isspace()
+        heads = [words[c] for c in codes[first].tolist()]
+        starts = [self._word(w, 1) if w else b"" for w in heads]
+        # a space after a blank is no boundary: such texts, and those with added tokens, are encoded by themselves
+        joined = blank[codes]
+        joined[last] = False
+        joined[first] &= np.array([w != "" for w in heads])
+        alone = np.logical_or.reduceat(joined, first)
+        for a in self.added:
+            alone |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(alone).tolist():
+            starts[i] = self.encode(texts[i].as_py())
+        # the words' ids in order: a text's start, its further words and the end
+        nothing, end = len(words) + n, len(words) + n + 1
+        order = np.full(len(codes) + n, end)
+        order[np.arange(len(codes)) + text] = np.where(alone[text], nothing, codes)
+        order[first + np.arange(n)] = len(words) + np.arange(n)
+        found = pa.array([*ids, *starts, b"", self.bytes[END_ID]], pa.binary()).take(pa.array(order))
+        _, offsets, data = found.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[bounds + np.arange(n + 1)]
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), data])
+
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
@@ -159,19 +200,17 @@ def token_table(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
 
     def run(batches):
         enc = _encoder(tokenizer_path, added)
-        end = np.array([END_ID], enc.kind).tobytes()
+        width = len(enc.bytes[END_ID])
         for batch in batches:
-            start, size, texts = 0, 0, []
-            for k, t in enumerate(batch.column(1)):
-                texts.append(t.as_py())
-                size += len(texts[-1])
-                if size >= FLUSH_BYTES or k == batch.num_rows - 1:
-                    coded = [enc.encode(x) + end for x in texts]
-                    width = len(end)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, len(texts)), pa.array([len(c) // width for c in coded], pa.int64()),
-                         pa.array(coded, pa.binary())], schema=schema)
-                    start, size, texts = k + 1, 0, []
+            size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64)
+            start = 0
+            while start < batch.num_rows:
+                stop = min(batch.num_rows, int(np.searchsorted(size, (size[start - 1] if start else 0) + FLUSH_BYTES)) + 1)
+                coded = enc.encode_all(batch.column(1).slice(start, stop - start))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, stop - start),
+                     pc.divide(pc.binary_length(coded).cast(pa.int64()), width), coded], schema=schema)
+                start = stop
 
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -63,6 +64,45 @@ def test_added_tokens_as_the_library_has_them(spark, tmp_path):
         at += r.n_tokens
 
 
+@pytest.mark.parametrize("added", [True, False])
+def test_texts_encoded_together_have_the_ids_of_each(added):
+    bits = ["", " ", "\n", "\n\n", "\t", "\r\n", "the", "The,", "it's", "don't", "Größe", "çé.", "12", "a1", "x\ny", "日本",
+            "\u3000", "ª", "ŉ", "!?", "é\n", "<|endoftext|>"]
+    rng = np.random.default_rng(3)
+    samples = ["", " ", "  ", "a ", " a", "a\n", "\n", "a \n b", "a\t b", *texts()[-8:]]
+    samples += ["".join(bits[i] + " " * (i % 3) for i in rng.integers(0, 66, rng.integers(0, 12)) % len(bits)) for _ in range(2_000)]
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = not added
+    enc = token_shards.Encoder(P.path("byte_bpe_50k.json"), added=added)
+    for n in (1, 7, len(samples)):
+        got = [x for i in range(0, len(samples), n) for x in enc.encode_all(pa.array(samples).slice(i, n)).to_pylist()]
+        assert [np.frombuffer(x, enc.kind).tolist() for x in got] == [
+            tok.encode(t, add_special_tokens=False).ids + [token_shards.END_ID] for t in samples]
+
+
+def test_words_that_repeat_are_encoded_once(spark, monkeypatch):
+    seen = Counter()
+    for name in ("_piped", "_word"):
+        def counted(self, text, *rest, _fn=getattr(token_shards.Encoder, name), _name=name):
+            seen[_name] += 1
+            return _fn(self, text, *rest)
+        monkeypatch.setattr(token_shards.Encoder, name, counted)
+    monkeypatch.setattr(token_shards, "REMEMBERED", 0)
+    enc = token_shards.Encoder(P.path("byte_bpe_50k.json"))
+    # line feeds do not go through the whole pipeline each time
+    enc.encode("one line\nand another " * 200)
+    assert seen["_piped"] < 10
+    # no word is remembered, yet those of one batch are looked up once
+    seen.clear()
+    monkeypatch.setattr(token_shards, "_ENCODERS", {})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["some words of a text"] * 50)], names=["doc_id", "text"])
+    run = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, schema: run.append(f))
+    token_shards.token_table(spark.createDataFrame([(1, "")], "doc_id long, text string"), P.path("byte_bpe_50k.json"))
+    (out,) = run[0](iter([batch]))
+    assert out.column(1).to_pylist() == [6] * 50 and seen["_word"] <= 50 + 5
+
+
 def test_shards_read_back(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(token_shards, "SHARD_TOKENS", 5_000)
     docs = documents(spark)
