@@ -47,7 +47,7 @@ def main(argv=None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from .session import get_spark, materialize
+    from .session import get_spark, materialize, path_bytes, scratch_path, slices_for
     owned = SparkSession.getActiveSession() is None
     spark = get_spark()
     records = _read(spark, args.input, args.format, args.schema)
@@ -75,8 +75,10 @@ def main(argv=None) -> int:
             typed = typed.withColumn("last_modified_date",
                                      date_parse_multi("last_modified_date", ("%Y-%m-%d", "%m/%d/%Y", "%Y%m%d")))
         # the parsed records are written once; every view reads its few columns of them
-        typed, _ = materialize(typed, "view-records")
-        reports = latest_by_group_many(typed, [(g, e) for _, g, e in VIEWS], fields=args.fields and args.fields.split(","))
+        path = scratch_path(spark, "view-records")
+        typed, _ = materialize(typed, "view-records", path=path, compression="zstd")
+        reports = latest_by_group_many(typed, [(g, e) for _, g, e in VIEWS], fields=args.fields and args.fields.split(","),
+                                       slices=slices_for(path_bytes(spark, path)))
         names = ["award", "recipient", "parent", "psc", "awarding_subagency", "awarding_office",
                  "funding_subagency", "funding_office"]
         for name, path in export_views(dict(zip(names, reports)), args.output, args.output_format).items():

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import fmt_date
 from ..functions.numbers import fmt_currency
+from ..session import in_slice, materialize
 from .joins import join_small
 
 
@@ -87,14 +88,20 @@ def latest_date_table(df: DataFrame, group: str, date: str, with_total: bool = F
     return out.select(*cols)
 
 
-def latest_records(df: DataFrame, group: str, date: str, with_total: bool = False) -> DataFrame:
+def latest_records(df: DataFrame, group: str, date: str, with_total: bool = False, slices: int = 1) -> DataFrame:
     """All rows at their group's latest date plus ``row_count`` (and
-    ``total_count``); unformatted, unsorted."""
+    ``total_count``); unformatted, unsorted.
+
+    ``slices``, for a large ``df``: where the group table is not broadcast the rows are joined in so many slices of the key,
+    and what is latest is written, so that the exchanges on disk are those of one slice and of the few rows that stay."""
     table = latest_date_table(df, group, date, with_total)
     keyed = df.where(F.col(group).isNotNull())
     cond = (F.col(group) == F.col("_g")) & F.col(date).eqNullSafe(F.col("_max_date"))
-    joined = join_small(keyed, table, cond, "inner", materialize=True)
-    return joined.drop("_g", "_max_date")
+    joined = join_small(keyed, table, cond, "inner", materialize=True).drop("_g", "_max_date")
+    if slices > 1 and "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString():
+        joined, _ = materialize([joined.where(in_slice([F.col(group)], k, slices)) for k in range(slices)], "latest-records",
+                                compression="zstd")
+    return joined
 
 
 def _report_fields(df: DataFrame, group: str, fields, additional_fields, with_total: bool) -> list[str]:
@@ -138,7 +145,7 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
                     fields: Sequence[str] | None = None,
                     additional_fields: Sequence[str] | None = None,
                     *, formatted: bool = True, with_total: bool = False,
-                    tiebreak: Sequence[str] = ()) -> DataFrame:
+                    tiebreak: Sequence[str] = (), slices: int = 1) -> DataFrame:
     """A3: latest record(s) per group with tie count, sorted by value desc.
 
     ``fields`` are the default output fields after the group key (award schema
@@ -146,26 +153,28 @@ def latest_by_group(df: DataFrame, group: str, date: str = "last_modified_date",
     not already listed. ``with_total`` adds ``total_count`` (all rows of the
     group), the modification count the source describes but does not compute.
     ``tiebreak`` columns extend the sort so that a limit on top is deterministic.
+    ``slices`` as in ``latest_records``.
     """
     out_fields = _report_fields(df, group, fields, additional_fields, with_total)
     needed = [c for c in dict.fromkeys(out_fields + [date, value, group] + list(tiebreak))
               if c not in ("row_count", "total_count")]
-    rows = latest_records(df.select(*needed), group, date, with_total)
+    rows = latest_records(df.select(*needed), group, date, with_total, slices)
     return _report(rows, group, date, value, out_fields, formatted, tiebreak)
 
 
 def latest_by_group_many(df: DataFrame, views: Sequence[tuple[str, Sequence[str]]],
                          date: str = "last_modified_date", value: str = "potential_total_value_of_award",
                          fields: Sequence[str] | None = None, *, formatted: bool = True,
-                         concurrent_jobs: int = 4) -> list[DataFrame]:
+                         concurrent_jobs: int = 4, slices: int = 1) -> list[DataFrame]:
     """A4: several latest-per-group reports ``(group, additional fields)`` over one table.
 
     Each key has a pass of its own over two columns, the key in its own type and the date, aggregated before the shuffle:
     a key of few values ships a few rows per task, and no row is multiplied by the number of views. The passes are
     independent and small, so they are submitted together. ``df`` is read once per view: hand over a table.
+    ``slices`` as in ``latest_records``.
     """
     def report(view: tuple[str, Sequence[str]]) -> DataFrame:
-        return latest_by_group(df, view[0], date, value, fields, view[1], formatted=formatted)
+        return latest_by_group(df, view[0], date, value, fields, view[1], formatted=formatted, slices=slices)
 
     with ThreadPoolExecutor(max(1, concurrent_jobs)) as pool:
         return list(pool.map(report, views))
@@ -203,8 +212,6 @@ def with_position(df: DataFrame, keys: Sequence[tuple[str, bool]], name: str = "
     """
     from pyspark.sql import Window
 
-    from ..session import materialize
-
     sorted_df, _ = materialize(sort_mixed(df, keys)
                                .withColumn("_pid", F.spark_partition_id())
                                .withColumn("_mid", F.monotonically_increasing_id()), "sorted")

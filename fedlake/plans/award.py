@@ -29,7 +29,7 @@ from ..functions.dates import fiscal_year
 from ..operators import summary
 from ..operators.joins import join_small
 from ..operators.mapping import latest_rows
-from ..session import load
+from ..session import in_slice, load, slices_for, table_bytes
 
 
 @dataclass(frozen=True)
@@ -241,24 +241,31 @@ def _needed_dims(columns: Iterable[str]) -> list[str]:
 def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, *,
                  latest: tuple[str, str] | None = None,
                  distinct: tuple[Sequence[str], Sequence[str]] | None = None,
-                 where: tuple[Sequence[str], Callable[[DataFrame], Column]] | None = None) -> DataFrame:
+                 where: tuple[Sequence[str], Callable[[DataFrame], Column]] | None = None,
+                 part: tuple[int, int] | None = None) -> DataFrame:
     """Narrow award-transaction table (the analysis table) from the test tables.
 
     For a consumer that reads only some rows, these go before the dimensions widen and exchange them; every dimension is a
     left join, so the rows that stay are the same as if they went at the end. ``latest`` (key, order) keeps the rows with the largest
     order value of their key, chosen as soon as the two columns are there. ``distinct`` (dimensions, table columns) joins these
     dimensions first and keeps each combination of the table columns once; all requested columns must follow from those.
-    ``where`` (award columns, condition made from a table that has them) keeps the rows for which the condition holds."""
+    ``where`` (award columns, condition made from a table that has them) keeps the rows for which the condition holds.
+    ``part`` (i, of n) builds slice i of n by the order key; see ``award_slices``."""
     columns = list(DEFAULT_NARROW if columns is None else columns)
 
+    def side(dim: str) -> DataFrame:
+        table, proj, _, _ = _DIMS[dim]
+        return load(spark, sf_dir, table).select(*[F.col(p) if isinstance(p, str) else F.col(p[0]).alias(p[1]) for p in proj])
+
     def joined(df: DataFrame, dims: Iterable[str]) -> DataFrame:
         for dim in dims:
-            table, proj, (lk, rk), _ = _DIMS[dim]
-            side = load(spark, sf_dir, table).select(
-                *[F.col(p) if isinstance(p, str) else F.col(p[0]).alias(p[1]) for p in proj])
-            df = join_small(df, side, F.col(lk) == F.col(rk), "left")
+            lk, rk = _DIMS[dim][2]
+            df = join_small(df, side(dim), F.col(lk) == F.col(rk), "left")
         return df
 
+    if part is not None:
+        return _narrow_part(load(spark, sf_dir, "lineitem"), columns, side, joined, *part)
+
     first = _needed_dims(latest) if latest else list(distinct[0]) if distinct else _needed_dims(where[0]) if where else []
     df = joined(load(spark, sf_dir, "lineitem"), first)
     if latest:
@@ -276,6 +283,29 @@ def award_narrow(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
     return df.select(*[narrow_spec()[c].build().alias(c) for c in columns])
 
 
+def _narrow_part(lines: DataFrame, columns: list[str], side: Callable[[str], DataFrame],
+                 joined: Callable[[DataFrame, Iterable[str]], DataFrame], part: int, of: int) -> DataFrame:
+    """Slice ``part`` of ``of`` of the narrow table, by the order key. The orders get their customers before the lines get
+    their orders, so that lines are not exchanged by customer, and the lines' own dimensions come first: joined last by
+    order, the rows of an order lie together, and its columns take little room when they are written."""
+    dims = _needed_dims(columns)
+    chain = [d for d in dims if d in ("orders", "customer", "cnation", "cregion")]
+    lk, rk = _DIMS["orders"][2]
+    df = joined(lines.where(in_slice([F.col(lk)], part, of)) if of > 1 else lines, [d for d in dims if d not in chain])
+    if chain:
+        orders = side("orders")
+        orders = joined(orders.where(in_slice([F.col(rk)], part, of)) if of > 1 else orders, chain[1:])
+        df = join_small(df, orders, F.col(lk) == F.col(rk), "left")
+    return df.select(*[narrow_spec()[c].build().alias(c) for c in columns])
+
+
+def award_slices(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> list[DataFrame]:
+    """``award_narrow`` in as many slices as the transactions' bytes ask for: the rows of all are the table's. To be written
+    one after the other (``materialize``), so that the exchanges on disk are those of one."""
+    n = slices_for(table_bytes(spark, sf_dir, "lineitem"))
+    return [award_narrow(spark, sf_dir, columns, part=(i, n)) for i in range(n)]
+
+
 def award_narrow_sql(columns: Iterable[str] | None = None) -> str:
     """The same narrow table as a DuckDB SELECT (for the oracle)."""
     columns = list(DEFAULT_NARROW if columns is None else columns)

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from ..functions.dates import fiscal_year
 from ..operators import metrics, summary
-from ..session import load, scratch_path
+from ..session import load, materialize, path_bytes, scratch_path, slices_for
 from ..sources import files, sinks
-from .award import VIEWS, award_narrow, award_narrow_sql, view_columns
+from .award import VIEWS, award_narrow, award_narrow_sql, award_slices, view_columns
 from .catalog import register
 from .summary_queries import VIEW_FIELDS_ORDER, latest_sql
 
@@ -124,9 +124,9 @@ def q_export_views(spark, sf_dir):
     materialised once; row counts read back per view."""
     cols = list(dict.fromkeys(c for _, g, e in VIEWS for c in view_columns(g, e)))
     narrow_path = scratch_path(spark, "narrow")
-    award_narrow(spark, sf_dir, cols).write.parquet(narrow_path)
-    narrow = spark.read.parquet(narrow_path)
-    reports = summary.latest_by_group_many(narrow, [(g, e) for _, g, e in VIEWS])
+    narrow, _ = materialize(award_slices(spark, sf_dir, cols), "narrow", path=narrow_path, compression="zstd")
+    reports = summary.latest_by_group_many(narrow, [(g, e) for _, g, e in VIEWS],
+                                           slices=slices_for(path_bytes(spark, narrow_path)))
     views = {k: r for (k, _, _), r in zip(VIEWS, reports)}
     root = scratch_path(spark, "views")
     paths = sinks.export_views(views, root)

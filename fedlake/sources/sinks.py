@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import releasing
+
 
 def write_csv(df: DataFrame, path: str, fields: Sequence[str] | None = None, mode: str = "error") -> None:
     """S3: CSV with header and a fixed field list (default: the frame's columns);
@@ -44,7 +46,8 @@ def export_views(views: Mapping[str, DataFrame], root: str, fmt: str = "parquet"
     """One folder per named view (the workbook's sheets); returns the paths.
 
     The views are independent, so their write jobs are submitted together
-    (driver threads only submit; Spark's scheduler shares the executors)."""
+    (driver threads only submit; Spark's scheduler shares the executors). The exchanges
+    of a view go with its write."""
     from concurrent.futures import ThreadPoolExecutor
 
     def write(item):
@@ -53,7 +56,8 @@ def export_views(views: Mapping[str, DataFrame], root: str, fmt: str = "parquet"
         w = df.write.mode(mode)
         if fmt == "csv":
             w = w.option("header", True)
-        w.format(fmt).save(p)
+        with releasing(df.sparkSession):
+            w.format(fmt).save(p)
         return name, p
 
     with ThreadPoolExecutor(max(1, concurrent_jobs)) as pool:

@@ -301,3 +301,47 @@ def test_agencies_are_exchanged_by_the_bytes_of_the_transactions(spark, monkeypa
     assert rows(Q.q_extract_agency(spark, d)) == rows(mapping.extract_entity(E.transactions_for(spark, d, E.AGENCY), E.AGENCY))
     n = -(-session.table_bytes(spark, d, "lineitem") // 64)
     assert n > int(spark.conf.get("spark.sql.shuffle.partitions")) and f", {n})" in seen[0]
+
+
+def _shuffles(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+    return {found.apply(i).name().split("_")[1] for i in range(found.size()) if found.apply(i).name().startswith("shuffle_")}
+
+
+def test_exported_views_leave_no_exchange_on_disk(spark):
+    from fedlake.sources import sinks
+    views = {n: spark.range(2000).select((F.col("id") % 7).alias("g"), "id").orderBy("g", "id") for n in ("a", "b", "c")}
+    before, path = _shuffles(spark), scratch_path(spark, "t-views")
+    paths = sinks.export_views(views, path)
+    assert not _shuffles(spark) - before
+    assert [spark.read.parquet(paths[n]).count() for n in "abc"] == [2000] * 3
+
+
+def test_latest_records_in_slices(spark):
+    df = _skewed(spark)
+    want = sorted((r.g, r.id, r.row_count) for r in summary.latest_records(df, "g", "day").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sliced = summary.latest_records(df, "g", "day", slices=3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan  # written, slice by slice
+    assert sorted((r.g, r.id, r.row_count) for r in sliced.collect()) == want
+
+
+def test_narrow_table_in_slices(spark, monkeypatch):
+    from fedlake import session
+    from fedlake.plans import award
+    monkeypatch.setattr(session, "SLICE_BYTES", 40_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = award.award_slices(spark, SMOKE, None)
+        plan = parts[0]._jdf.queryExecution().executedPlan().toString()
+        table, n = session.materialize(parts, "t-narrow", compression="zstd")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    # lines meet parts, suppliers and orders; customers are joined to orders, nations to customers and suppliers
+    assert len(parts) > 2 and plan.count("hashpartitioning(o_custkey") == 1 and plan.count("hashpartitioning(l_orderkey") == 1
+    whole = award_narrow(spark, SMOKE)
+    assert n == whole.count() and not whole.exceptAll(table).count()
