@@ -122,3 +122,30 @@ def test_conversion_counts_errors_in_its_one_write(spark, tmp_path):
     assert spark.read.parquet(held).count() == 1           # replaced
     out = convert(spark, df.limit(0), entities("abort"), rules=rules, quarantine=held)
     assert out["thing"].isEmpty() and spark.read.parquet(held).isEmpty()
+
+
+def test_records_in_parts_and_slices_give_the_same_entities(spark, monkeypatch):
+    from fedlake import session
+    from fedlake.plans.conversion import convert
+    from fedlake.session import scratch_path
+    from fedlake.sources import store
+
+    rows = [(f"k{i % 40}" if i % 9 else None, i % 7, f"v{i}") for i in range(400)]
+    schema = "k string, d int, v string"
+    spec = {"key_fields": ["k"], "order_by": ["d"], "field_mappings": {"direct": {"k": "k", "v": "v", "d": "d"}},
+            "entity_processing": {"processing_options": {"error_handling": "abort", "max_errors": 51}}}
+    rules = [{"field": "v", "type": "enum", "params": {"values": [r[2] for r in rows[:340]]}}]
+    whole, sliced = scratch_path(spark, "t-whole"), scratch_path(spark, "t-sliced")
+    df = spark.createDataFrame(rows, schema)
+    one = convert(spark, df, {"thing": spec}, rules=rules, store_root=whole, max_errors=60)["thing"]
+    monkeypatch.setattr(session, "SLICE_BYTES", 1000)
+    parts = [spark.createDataFrame(p, schema) for p in (rows[:150], rows[150:151], rows[151:])]
+    batches, real = [], store.upsert
+    monkeypatch.setattr(store, "upsert", lambda s, new, root: batches.append(len(new)) or real(s, new, root))
+    out = convert(spark, parts, {"thing": spec}, rules=rules, store_root=sliced, max_errors=60)["thing"]
+    assert batches[0] > 2 and out.columns == one.columns == ["k", "v", "d"]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, one.collect())) and out.count() == 40
+    ids = [sorted(r.id for r in store.read_store(spark, root).collect()) for root in (whole, sliced)]
+    assert ids[0] == ids[1] and len(ids[0]) == 40
+    with pytest.raises(ValueError, match="thing: 53 invalid"):  # of the records with a key, counted over all parts
+        convert(spark, parts, {"thing": spec}, rules=rules, max_errors=52)
